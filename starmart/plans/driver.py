@@ -47,6 +47,7 @@ from starmart.functions.numeric import to_int
 from starmart.functions.text import clean, clean_lower, clean_upper
 from starmart.operators.star import Dim, star_join
 from starmart.plans import models as M
+from starmart.specs import DRIVER_SCHEMAS
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -80,7 +81,11 @@ SMALL_DIM_ROWS = 10_000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan with the declared schema (no footer inference)."""
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
@@ -156,7 +161,8 @@ def stage_place(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> Da
                            broadcast_max_rows=SMALL_DIM_ROWS)])
     return star_join(supplier.select("s_suppkey", "s_nationkey"),
                      [Dim(nr, "s_nationkey", "n_nationkey", ["severity_level", "treatment_type"],
-                          broadcast_max_rows=SMALL_DIM_ROWS, name="nation")])
+                          broadcast_max_rows=SMALL_DIM_ROWS, name="nation")]) \
+        .select("s_suppkey", "severity_level", "treatment_type")
 
 
 # ---------------------------------------------------------------- enriched star

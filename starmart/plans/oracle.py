@@ -239,3 +239,200 @@ ORACLE: dict[str, str] = {
     "star_enriched": STAR_ENRICHED,
     "mart_fact": MART_FACT,
 }
+
+KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+RECORD_COLUMNS = f"""{KEYS}, student_key, national_id_hashed, gender, age_derived,
+  health_condition, severity_level, treatment_type, bmi, bmi_class, heart_rate,
+  sleep_duration, sleep_adequate, sleep_quality, step_count, exercise_duration,
+  calorie_expenditure, water_intake, hydration_adequate, stress_level,
+  physical_activity_level, activity_type, diet_type, smoking_alcohol,
+  composite_activity_score, health_trend_indicator, CAST(full_date AS VARCHAR) AS full_date"""
+
+STAGE_ORDERS = """
+SELECT o.o_orderkey, o.o_custkey AS student_key, CAST(c.c_name AS VARCHAR) AS national_id,
+  lower(trim(c.c_mktsegment)) AS gender, c.c_acctbal / 100.0 AS age_raw,
+  CAST(o.o_orderdate AS DATE) AS date_of_birth, CAST(o.o_orderdate AS DATE) AS start_date,
+  CAST(NULL AS DATE) AS end_date, upper(trim(o.o_orderstatus)) AS is_current,
+  lower(trim(o.o_orderpriority)) AS health_condition,
+  CAST(o.o_totalprice AS DOUBLE) AS calorie_expenditure
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
+
+AGE_DERIVED = f"""
+SELECT o_orderkey, date_of_birth,
+  CASE WHEN date_of_birth IS NOT NULL
+       THEN CAST(datediff('year', date_of_birth, DATE '2002-01-01') AS INTEGER)
+       ELSE CAST(age_raw AS INTEGER) END AS age_derived
+FROM ({STAGE_ORDERS}) s"""
+
+BAND_QUANTITY = f"""
+SELECT {KEYS}, l_quantity,
+  CASE WHEN l_quantity < 18.5 THEN 'Underweight' WHEN l_quantity < 25.0 THEN 'Normal'
+       WHEN l_quantity < 30.0 THEN 'Overweight' ELSE 'Obese' END AS bmi_class
+FROM lineitem"""
+
+THRESHOLD_FLAGS = f"""
+SELECT {KEYS},
+  CASE WHEN l_discount >= 0.05 THEN TRUE ELSE FALSE END AS sleep_adequate,
+  CASE WHEN l_tax >= 0.04 THEN TRUE ELSE FALSE END AS hydration_adequate
+FROM lineitem"""
+
+ORDINAL_ENCODE = with_star(f"""
+SELECT {KEYS},
+  CASE sleep_quality WHEN 'r' THEN 1 WHEN 'a' THEN 2 WHEN 'n' THEN 3 END AS sleep_quality_encoded,
+  CASE smoking_alcohol WHEN 'f' THEN 1 WHEN 'o' THEN 2 END AS smoking_alcohol_encoded
+FROM fact""")
+
+ONE_HOT_ENCODE = """
+SELECT c_custkey,
+  CASE WHEN lower(trim(c_mktsegment)) = 'household' THEN 1 ELSE 0 END AS gender_male,
+  CASE WHEN lower(trim(c_mktsegment)) = 'machinery' THEN 1 ELSE 0 END AS gender_female,
+  CASE WHEN lower(trim(c_mktsegment)) = 'building' THEN 1 ELSE 0 END AS gender_other
+FROM customer"""
+
+WEEK_OF_MONTH = f"""
+SELECT {KEYS}, CAST(l_shipdate AS DATE) AS full_date,
+  CAST(CEIL(EXTRACT(DAY FROM CAST(l_shipdate AS DATE)) / 7.0) AS INTEGER) AS week_of_month
+FROM lineitem"""
+
+MART_BOOL_AS_INT = MART_FACT_COLUMNS.replace(
+    "sleep_adequate, hydration_adequate",
+    "CAST(sleep_adequate AS INTEGER) AS sleep_adequate, "
+    "CAST(hydration_adequate AS INTEGER) AS hydration_adequate")
+
+CONTRACT_COLUMNS = {
+    "region": ("r_regionkey", "r_name"),
+    "nation": ("n_nationkey", "n_name", "n_regionkey"),
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+    "supplier": ("s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
+    "part": ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+               "o_orderpriority"),
+    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                 "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                 "l_shipdate"),
+    "events": ("event_id", "ts", "user_id", "event_type", "value", "props"),
+}
+
+
+def _contract_sql() -> str:
+    parts = []
+    for t, cols in CONTRACT_COLUMNS.items():
+        names = ", ".join(f"'{c}'" for c in cols)
+        parts.append(
+            f"SELECT '{t}' AS table_name, 'required_columns' AS check_name, 'error' AS severity, "
+            f"CAST(COUNT(*) AS BIGINT) AS observed, CAST({len(cols)} AS BIGINT) AS expected, "
+            f"COUNT(*) = {len(cols)} AS passed FROM information_schema.columns "
+            f"WHERE table_name = '{t}' AND column_name IN ({names})")
+        parts.append(
+            f"SELECT '{t}', 'min_rows', 'error', CAST(COUNT(*) AS BIGINT), CAST(1 AS BIGINT), "
+            f"COUNT(*) >= 1 FROM {t}")
+    return "\nUNION ALL\n".join(parts)
+
+
+ROW_PARITY = """
+SELECT 'lineitem' AS table_name, (SELECT COUNT(*) FROM lineitem) AS source_rows,
+       (SELECT COUNT(*) FROM lineitem) AS staged_rows
+UNION ALL SELECT 'orders', (SELECT COUNT(*) FROM orders),
+       (SELECT COUNT(*) FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)
+UNION ALL SELECT 'part', (SELECT COUNT(*) FROM part), (SELECT COUNT(*) FROM part)
+UNION ALL SELECT 'supplier', (SELECT COUNT(*) FROM supplier),
+       (SELECT COUNT(*) FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+        JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+ROW_PARITY = f"SELECT *, source_rows = staged_rows AS parity_ok FROM ({ROW_PARITY}) p"
+
+ALL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+              "events", "documents", "embeddings", "pages", "benchmark", "labels",
+              "conversations")
+LAYER_SUMMARY = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in sorted(ALL_TABLES))
+
+
+def _null_profile_sql(table: str, cols) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, "
+        f"CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS null_count FROM {table}" for c in cols)
+
+
+DUPLICATE_PROFILE = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) AS total_rows, "
+    f"COUNT(DISTINCT {c}) AS distinct_values, COUNT(*) - COUNT(DISTINCT {c}) AS duplicate_count "
+    f"FROM {t}"
+    for t, c in (("customer", "c_name"), ("orders", "o_custkey"), ("lineitem", "l_orderkey"),
+                 ("part", "p_type")))
+
+CHECK_REPORT = with_star(f""", m AS (SELECT {MART_FACT_COLUMNS} FROM star)
+SELECT 'mart_fact' AS model, column_name, check_name, CAST(failures AS BIGINT) AS failures FROM (
+  SELECT 'health_condition' AS column_name, 'not_null' AS check_name,
+         SUM(CASE WHEN health_condition IS NULL THEN 1 ELSE 0 END) AS failures FROM m
+  UNION ALL SELECT 'bmi_class', 'not_null', SUM(CASE WHEN bmi_class IS NULL THEN 1 ELSE 0 END) FROM m
+  UNION ALL SELECT 'health_trend_indicator', 'not_null',
+         SUM(CASE WHEN health_trend_indicator IS NULL THEN 1 ELSE 0 END) FROM m
+  UNION ALL SELECT 'composite_activity_score', 'not_null',
+         SUM(CASE WHEN composite_activity_score IS NULL THEN 1 ELSE 0 END) FROM m
+  UNION ALL SELECT 'bmi', 'not_null', SUM(CASE WHEN bmi IS NULL THEN 1 ELSE 0 END) FROM m
+  UNION ALL SELECT 'heart_rate', 'not_null', SUM(CASE WHEN heart_rate IS NULL THEN 1 ELSE 0 END) FROM m
+  UNION ALL SELECT 'health_condition', 'accepted_values',
+         SUM(CASE WHEN health_condition IS NOT NULL AND health_condition NOT IN
+             ('1-urgent', '2-high', '3-medium', '4-not specified', '5-low') THEN 1 ELSE 0 END) FROM m
+  UNION ALL SELECT 'bmi_class', 'accepted_values',
+         SUM(CASE WHEN bmi_class IS NOT NULL AND bmi_class NOT IN
+             ('Underweight', 'Normal', 'Overweight', 'Obese') THEN 1 ELSE 0 END) FROM m
+  UNION ALL SELECT 'bmi', 'range',
+         SUM(CASE WHEN bmi IS NOT NULL AND (bmi < 1.0 OR bmi > 50.0) THEN 1 ELSE 0 END) FROM m
+  UNION ALL SELECT 'composite_activity_score', 'range',
+         SUM(CASE WHEN composite_activity_score IS NOT NULL AND
+             (composite_activity_score < 0.0 OR composite_activity_score > 100.0)
+             THEN 1 ELSE 0 END) FROM m
+  UNION ALL SELECT 'l_orderkey+l_linenumber+l_partkey+l_suppkey', 'unique', COUNT(*) FROM (
+    SELECT {KEYS} FROM m WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+      AND l_partkey IS NOT NULL AND l_suppkey IS NOT NULL
+    GROUP BY {KEYS} HAVING COUNT(*) > 1) u
+) r""")
+
+LINEITEM_COLUMNS = CONTRACT_COLUMNS["lineitem"]
+ORDERS_COLUMNS = CONTRACT_COLUMNS["orders"]
+
+ORACLE.update({
+    "stage_lineitem": with_star("SELECT * FROM fact"),
+    "stage_orders": STAGE_ORDERS,
+    "stage_part": with_star("SELECT * FROM lifestyle"),
+    "stage_supplier": with_star("SELECT * FROM place"),
+    "pseudonymised_dim": with_star(
+        "SELECT o_orderkey, student_key, national_id_hashed, first_name, last_name, gender, "
+        "age_derived, start_date, end_date, is_current FROM students"),
+    "age_derived": AGE_DERIVED,
+    "band_quantity": BAND_QUANTITY,
+    "threshold_flags": THRESHOLD_FLAGS,
+    "composite_score": with_star(
+        f"SELECT {KEYS}, composite_activity_score, health_trend_indicator FROM star"),
+    "trend_band": with_star(
+        "SELECT health_condition, health_trend_indicator, COUNT(*) AS record_count "
+        "FROM star GROUP BY health_condition, health_trend_indicator"),
+    "ordinal_encode": ORDINAL_ENCODE,
+    "one_hot_encode": ONE_HOT_ENCODE,
+    "week_of_month": WEEK_OF_MONTH,
+    "list_records_page": with_star(
+        f"SELECT {RECORD_COLUMNS} FROM star WHERE health_condition = '1-urgent' "
+        f"ORDER BY {KEYS} LIMIT 50 OFFSET 100"),
+    "get_record": with_star(f"SELECT {RECORD_COLUMNS} FROM star WHERE l_orderkey = 7"),
+    "metric_filtered_sorted": f"SELECT * FROM ({METRIC_RISK}) r WHERE health_condition = '2-high' "
+                              f"AND physical_activity_level = 'active'",
+    "weekly_filtered": f"SELECT * FROM ({METRIC_WEEKLY}) w WHERE health_condition = '3-medium' "
+                       f"AND year = 1997",
+    "serving_promoted": with_star(f"SELECT {MART_BOOL_AS_INT} FROM star"),
+    "serving_sample": with_star(
+        "SELECT student_key, o_orderkey, substr(national_id_hashed, 1, 8) AS hash_prefix, "
+        "gender, age_derived FROM students ORDER BY student_key, o_orderkey LIMIT 3"),
+    "contract_report": _contract_sql(),
+    "row_parity": ROW_PARITY,
+    "layer_summary": LAYER_SUMMARY,
+    "csv_roundtrip_coerce": "SELECT * FROM customer",
+    "null_profile": _null_profile_sql("lineitem", LINEITEM_COLUMNS) + "\nUNION ALL\n"
+                    + _null_profile_sql("orders", ORDERS_COLUMNS),
+    "duplicate_profile": DUPLICATE_PROFILE,
+    "unique_failures": "SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows FROM lineitem "
+                       "WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL "
+                       "GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1",
+    "check_report": CHECK_REPORT,
+    "not_null_failures": with_star(f"SELECT {KEYS} FROM fact WHERE full_date IS NULL"),
+})

@@ -57,3 +57,253 @@ QUERIES: dict[str, Query] = {
     "star_enriched": star_enriched,
     "mart_fact": mart_fact,
 }
+
+
+# ---------------------------------------------------------------- staging projections (P-01 ... P-07)
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from starmart.functions import features as feat  # noqa: E402
+from starmart.functions.dates import to_date, week_of_month as _wom  # noqa: E402
+from starmart.operators import checks as C  # noqa: E402
+from starmart.operators import profile as P  # noqa: E402
+from starmart.plans import serving as V  # noqa: E402
+from starmart.sources import contract as K  # noqa: E402
+from starmart.sources.layers import bools_to_int, table_counts  # noqa: E402
+from starmart.specs import DRIVER_SCHEMAS  # noqa: E402
+
+LOOKUP_ORDER = 7
+PAGE_FILTERS = {"health_condition": "1-urgent", "gender": "", "bmi_class": None,
+                "diet_type": None}
+
+
+def stage_lineitem(spark, sf):
+    return D.stage_fact(D.read(spark, sf, "lineitem"))
+
+
+def stage_orders(spark, sf):
+    t = D.tables(spark, sf, "orders", "customer")
+    return D.stage_students(t["orders"], t["customer"])
+
+
+def stage_part(spark, sf):
+    return D.stage_lifestyle(D.read(spark, sf, "part"))
+
+
+def stage_supplier(spark, sf):
+    t = D.tables(spark, sf, "supplier", "nation", "region")
+    return D.stage_place(t["supplier"], t["nation"], t["region"])
+
+
+def pseudonymised_dim(spark, sf):
+    return D.mart_dim(spark, sf)
+
+
+def age_derived(spark, sf):
+    s = stage_orders(spark, sf)
+    return s.select("o_orderkey", "date_of_birth",
+                    feat.age_years("date_of_birth", "age_raw", D.AS_OF).alias("age_derived"))
+
+
+# ---------------------------------------------------------------- features (P-14 ... P-21)
+
+
+def band_quantity(spark, sf):
+    li = D.read(spark, sf, "lineitem")
+    return li.select(*D.FACT_KEYS, "l_quantity",
+                     feat.band("l_quantity", feat.BMI_BANDS, feat.BMI_ELSE).alias("bmi_class"))
+
+
+def threshold_flags(spark, sf):
+    li = D.read(spark, sf, "lineitem")
+    return li.select(*D.FACT_KEYS,
+                     feat.flag_ge("l_discount", D.DRIVER_PARAMS.sleep_threshold)
+                     .alias("sleep_adequate"),
+                     feat.flag_ge("l_tax", D.DRIVER_PARAMS.water_threshold)
+                     .alias("hydration_adequate"))
+
+
+def composite_score(spark, sf):
+    return D.enriched(spark, sf).select(*D.FACT_KEYS, "composite_activity_score",
+                                        "health_trend_indicator")
+
+
+def trend_band(spark, sf):
+    return (D.enriched(spark, sf).groupBy("health_condition", "health_trend_indicator")
+            .agg(F.count(F.lit(1)).alias("record_count")))
+
+
+def ordinal_encode(spark, sf):
+    f = D.stage_fact(D.read(spark, sf, "lineitem"))
+    p = D.DRIVER_PARAMS
+    return f.select(*D.FACT_KEYS,
+                    feat.ordinal("sleep_quality", p.sleep_order).alias("sleep_quality_encoded"),
+                    feat.ordinal("smoking_alcohol", p.smoking_order)
+                    .alias("smoking_alcohol_encoded"))
+
+
+def one_hot_encode(spark, sf):
+    c = D.read(spark, sf, "customer")
+    g = F.lower(F.btrim("c_mktsegment"))
+    return c.select("c_custkey", *feat.one_hot(g, D.DRIVER_PARAMS.gender_values))
+
+
+def week_of_month(spark, sf):
+    li = D.read(spark, sf, "lineitem")
+    d = to_date("l_shipdate")
+    return li.select(*D.FACT_KEYS, d.alias("full_date"), _wom(d).alias("week_of_month"))
+
+
+# ---------------------------------------------------------------- serving reads (V-01 ... V-08)
+
+
+def list_records_page(spark, sf):
+    return V.list_students(D.mart_fact(spark, sf), limit=50, offset=100,
+                           key_cols=D.FACT_KEYS, **PAGE_FILTERS)
+
+
+def get_record(spark, sf):
+    return V.get_student(D.mart_fact(spark, sf), {"l_orderkey": LOOKUP_ORDER},
+                         key_cols=D.FACT_KEYS)
+
+
+def metric_filtered_sorted(spark, sf):
+    return V.risk_correlations(M.metric_risk_correlations(D.mart_fact(spark, sf)),
+                               health_condition="2-high", physical_activity_level="active")
+
+
+def weekly_filtered(spark, sf):
+    return V.weekly_activity(M.metric_weekly_activity(D.mart_fact(spark, sf)),
+                             health_condition="3-medium", year=1997, month=0)
+
+
+def serving_promoted(spark, sf):
+    return bools_to_int(D.mart_fact(spark, sf))
+
+
+def serving_sample(spark, sf):
+    return V.sample_students(D.mart_dim(spark, sf), 3, ("student_key", "o_orderkey"))
+
+
+# ---------------------------------------------------------------- contract, layers, ingest
+
+
+CONTRACT_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+                   "events")
+
+
+def contract_report(spark, sf):
+    reports = {}
+    for t in CONTRACT_TABLES:
+        df = spark.read.parquet(f"{sf.rstrip('/')}/{t}.parquet")  # actual file schema
+        reports[t] = K.table_contract(df, t, DRIVER_SCHEMAS[t], min_rows=1)
+    return K.contract_all(reports)
+
+
+def row_parity(spark, sf):
+    t = D.tables(spark, sf, "lineitem", "orders", "customer", "part", "supplier", "nation",
+                 "region")
+    pairs = {
+        "lineitem": (t["lineitem"], D.stage_fact(t["lineitem"])),
+        "orders": (t["orders"], D.stage_students(t["orders"], t["customer"])),
+        "part": (t["part"], D.stage_lifestyle(t["part"])),
+        "supplier": (t["supplier"], D.stage_place(t["supplier"], t["nation"], t["region"])),
+    }
+    src = table_counts({k: v[0] for k, v in pairs.items()}, count_col="source_rows")
+    stg = table_counts({k: v[1] for k, v in pairs.items()}, count_col="staged_rows")
+    return (src.join(stg, "table_name")
+            .withColumn("parity_ok", F.col("source_rows") == F.col("staged_rows")))
+
+
+def layer_summary(spark, sf):
+    return table_counts({t: D.read(spark, sf, t) for t in D.TABLES})
+
+
+def csv_roundtrip_coerce(spark, sf):
+    from starmart.session import scratch_path
+    from starmart.sources.csv import coerce, read_csv_raw
+    from starmart.specs import TableSpec
+    cust = D.read(spark, sf, "customer")
+    path = scratch_path(spark, "customer-csv")
+    cust.write.mode("overwrite").option("header", True).csv(path)
+    spec = TableSpec("customer", tuple((f.name, f.dataType)
+                                       for f in DRIVER_SCHEMAS["customer"].fields))
+    return coerce(read_csv_raw(spark, path, spec), spec)
+
+
+# ---------------------------------------------------------------- profiles and checks (Q-01 ... Q-05)
+
+
+def null_profile(spark, sf):
+    li = P.null_profile(D.read(spark, sf, "lineitem"), table="lineitem")
+    od = P.null_profile(D.read(spark, sf, "orders"), table="orders")
+    return li.unionByName(od)
+
+
+DUP_COLUMNS = (("customer", "c_name"), ("orders", "o_custkey"), ("lineitem", "l_orderkey"),
+               ("part", "p_type"))
+
+
+def duplicate_profile(spark, sf):
+    parts = [P.duplicate_profile(D.read(spark, sf, t), c, table=t) for t, c in DUP_COLUMNS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def unique_failures(spark, sf):
+    return C.unique_failures(D.read(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+MART_CHECKS = C.CheckSpec(
+    unique=[D.FACT_KEYS],
+    not_null=["health_condition", "bmi_class", "health_trend_indicator",
+              "composite_activity_score", "bmi", "heart_rate"],
+    accepted={"health_condition": ("1-urgent", "2-high", "3-medium", "4-not specified",
+                                   "5-low"),
+              "bmi_class": ("Underweight", "Normal", "Overweight", "Obese")},
+    ranges={"bmi": (1.0, 50.0), "composite_activity_score": (0.0, 100.0)},
+)
+
+
+def check_report(spark, sf):
+    return C.run_checks({"mart_fact": D.mart_fact(spark, sf)}, {"mart_fact": MART_CHECKS})
+
+
+def not_null_failures(spark, sf):
+    """Rows of the staged fact failing a declared not-null test (date parts)."""
+    f = D.stage_fact(D.read(spark, sf, "lineitem"))
+    return C.not_null_failures(f, "full_date").select(*D.FACT_KEYS)
+
+
+QUERIES.update({
+    "stage_lineitem": stage_lineitem,
+    "stage_orders": stage_orders,
+    "stage_part": stage_part,
+    "stage_supplier": stage_supplier,
+    "pseudonymised_dim": pseudonymised_dim,
+    "age_derived": age_derived,
+    "band_quantity": band_quantity,
+    "threshold_flags": threshold_flags,
+    "composite_score": composite_score,
+    "trend_band": trend_band,
+    "ordinal_encode": ordinal_encode,
+    "one_hot_encode": one_hot_encode,
+    "week_of_month": week_of_month,
+    "list_records_page": list_records_page,
+    "get_record": get_record,
+    "metric_filtered_sorted": metric_filtered_sorted,
+    "weekly_filtered": weekly_filtered,
+    "serving_promoted": serving_promoted,
+    "serving_sample": serving_sample,
+    "contract_report": contract_report,
+    "row_parity": row_parity,
+    "layer_summary": layer_summary,
+    "csv_roundtrip_coerce": csv_roundtrip_coerce,
+    "null_profile": null_profile,
+    "duplicate_profile": duplicate_profile,
+    "unique_failures": unique_failures,
+    "check_report": check_report,
+    "not_null_failures": not_null_failures,
+})
