@@ -12,7 +12,6 @@ each ``relationships`` check is one left-anti join.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -146,11 +145,12 @@ def gate(report: DataFrame) -> DataFrame:
     return report
 
 
-# Patterns that look like personal data in free text (PII scan).
+# Patterns that look like personal data in free text (PII scan).  Numbers must
+# stand alone, so digit runs inside hashes or codes do not count.
 PII_PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "phone": r"\+?\d[\d -]{7,}\d",
-    "national_id": r"\b\d{9,14}\b",
+    "phone": r"(?<![0-9A-Za-z])\+?\d[\d -]{7,}\d(?![0-9A-Za-z])",
+    "national_id": r"(?<![0-9A-Za-z])\d{9,14}(?![0-9A-Za-z])",
 }
 
 
@@ -180,6 +180,3 @@ def pii_scan(df: DataFrame, model: str, forbidden_columns: Sequence[str] = (),
         F.lit(model).alias("model"), "r.column_name", "r.check_name", "r.failures")
     return schema_rows.unionByName(values)
 
-
-def safe_name(s: str) -> str:
-    return re.sub(r"[^A-Za-z0-9_]", "_", s)

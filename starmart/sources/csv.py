@@ -104,16 +104,19 @@ def cast_failure_metrics(spec: TableSpec) -> list[Column]:
     return out
 
 
-def split_quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_quarantine(raw: DataFrame, bronze_path: str) -> tuple[DataFrame, DataFrame]:
     """(well-formed rows, malformed lines with their raw text).
 
-    Both sides reference ordinary columns as well as the corrupt-record
-    column, so each can be computed from the CSV scan without caching.
+    Spark's CSV reader only tokenises the columns a query needs, so the
+    field-count check behind ``_corrupt_record`` is reliable only when every
+    column is parsed.  The full parse is therefore landed once as a bronze
+    Parquet table (one CSV pass, lineage cut); both sides are read from it.
     """
     cols = [c for c in raw.columns if c != CORRUPT_COL]
-    good = raw.where(F.col(CORRUPT_COL).isNull()).select(*cols)
-    bad = raw.where(F.col(CORRUPT_COL).isNotNull()).select(
-        F.col(CORRUPT_COL).alias("raw_line"),
-        F.input_file_name().alias("source_file"),
-        *cols)
+    raw.withColumn("source_file", F.input_file_name()) \
+        .write.mode("overwrite").parquet(bronze_path)
+    bronze = raw.sparkSession.read.parquet(bronze_path)
+    good = bronze.where(F.col(CORRUPT_COL).isNull()).select(*cols)
+    bad = bronze.where(F.col(CORRUPT_COL).isNotNull()).select(
+        F.col(CORRUPT_COL).alias("raw_line"), "source_file", *cols)
     return good, bad

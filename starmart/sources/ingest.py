@@ -48,10 +48,10 @@ def ingest_table(spark: SparkSession, csv_path: str, spec: TableSpec, out_path:
                        quarantine=quarantine_path is not None)
     quarantined = None
     if quarantine_path is not None:
-        raw, bad = split_quarantine(raw)
+        raw, bad = split_quarantine(raw, f"{quarantine_path}/bronze")
         bad_obs = Observation(f"quarantine_{spec.name}")
         bad.observe(bad_obs, F.count(F.lit(1)).alias("rows")) \
-            .write.mode("overwrite").parquet(quarantine_path)
+            .write.mode("overwrite").parquet(f"{quarantine_path}/rows")
         quarantined = int(bad_obs.get["rows"])
     obs = Observation(f"ingest_{spec.name}")
     metrics = [F.count(F.lit(1)).alias("rows")]
