@@ -436,3 +436,200 @@ ORACLE.update({
     "check_report": CHECK_REPORT,
     "not_null_failures": with_star(f"SELECT {KEYS} FROM fact WHERE full_date IS NULL"),
 })
+
+# ---------------------------------------------------------------- Tier 2 / Tier 3
+
+WEEKLY_PER_USER = """
+SELECT user_id, CAST(date_trunc('week', ts) AS DATE) AS week_start, COUNT(*) AS n_rows,
+  ROUND(CAST(SUM(CAST(value AS DECIMAL(38,9))) AS DOUBLE) / COUNT(value), 4) AS avg_value
+FROM events GROUP BY user_id, CAST(date_trunc('week', ts) AS DATE)"""
+
+TREND_DIRECTION = f"""
+WITH w AS ({WEEKLY_PER_USER}),
+l AS (SELECT *, lag(avg_value) OVER (PARTITION BY user_id ORDER BY week_start) AS prev_value
+      FROM w)
+SELECT user_id, week_start, n_rows, avg_value, prev_value,
+  ROUND(avg_value - prev_value, 4) AS delta,
+  CASE WHEN prev_value IS NULL THEN NULL
+       WHEN ROUND(avg_value - prev_value, 4) > 0.5 THEN 'up'
+       WHEN ROUND(avg_value - prev_value, 4) < -0.5 THEN 'down'
+       ELSE 'flat' END AS direction
+FROM l"""
+
+SCD_AS_OF = f"""
+SELECT student_key, o_orderkey, national_id, gender, age_raw, date_of_birth, start_date,
+  end_date, is_current, health_condition, calorie_expenditure
+FROM (SELECT *, row_number() OVER (PARTITION BY student_key
+                                   ORDER BY start_date DESC, o_orderkey DESC) AS rn
+      FROM ({STAGE_ORDERS}) s WHERE start_date <= DATE '1998-01-01') x
+WHERE rn = 1"""
+
+FK_FAILURES = "\nUNION ALL\n".join(
+    f"SELECT '{c}.{ck}->{p}.{pk}' AS relationship, COUNT(*) AS failures FROM {c} x "
+    f"WHERE x.{ck} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {p} y WHERE y.{pk} = x.{ck})"
+    for c, ck, p, pk in (
+        ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+        ("lineitem", "l_partkey", "part", "p_partkey"),
+        ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+        ("orders", "o_custkey", "customer", "c_custkey"),
+        ("customer", "c_nationkey", "nation", "n_nationkey"),
+        ("supplier", "s_nationkey", "nation", "n_nationkey"),
+        ("nation", "n_regionkey", "region", "r_regionkey")))
+
+
+def _domain_sql(table, col, values):
+    vals = ", ".join(f"'{v}'" for v in values)
+    return (f"SELECT '{table}' AS model, '{col}' AS column_name, 'accepted_values' AS check_name, "
+            f"CAST(COALESCE(SUM(CASE WHEN {col} IS NOT NULL AND {col} NOT IN ({vals}) "
+            f"THEN 1 ELSE 0 END), 0) AS BIGINT) AS failures FROM {table}")
+
+
+def _range_sql(table, col, lo, hi):
+    return (f"SELECT '{table}' AS model, '{col}' AS column_name, 'range' AS check_name, "
+            f"CAST(COALESCE(SUM(CASE WHEN {col} IS NOT NULL AND ({col} < {lo} OR {col} > {hi}) "
+            f"THEN 1 ELSE 0 END), 0) AS BIGINT) AS failures FROM {table}")
+
+
+ACCEPTED_VALUE_FAILURES = "\nUNION ALL\n".join([
+    _domain_sql("orders", "o_orderstatus", ("O", "F")),
+    _domain_sql("orders", "o_orderpriority", ("1-URGENT", "2-HIGH", "3-MEDIUM",
+                                              "4-NOT SPECIFIED", "5-LOW")),
+    _domain_sql("lineitem", "l_returnflag", ("A", "N", "R")),
+    _domain_sql("lineitem", "l_linestatus", ("O", "F")),
+    _domain_sql("customer", "c_mktsegment", ("AUTOMOBILE", "BUILDING", "FURNITURE",
+                                             "HOUSEHOLD", "MACHINERY")),
+])
+
+RANGE_FAILURES = "\nUNION ALL\n".join([
+    _range_sql("lineitem", "l_quantity", 1.0, 50.0),
+    _range_sql("lineitem", "l_discount", 0.0, 0.1),
+    _range_sql("lineitem", "l_tax", 0.0, 0.08),
+    _range_sql("orders", "o_totalprice", 0.0, 500000.0),
+    _range_sql("part", "p_size", 1, 50),
+    _range_sql("customer", "c_acctbal", -999.99, 9999.99),
+])
+
+CLASS_THRESHOLDS = f"""
+SELECT *, CAST(15.0 AS DOUBLE) AS min_pct, CAST(25.0 AS DOUBLE) AS max_pct,
+  pct_of_total >= 15.0 AND pct_of_total <= 25.0 AS within_bounds
+FROM ({CLASS_BALANCE}) b"""
+
+
+def _pii_sql() -> str:
+    from starmart.operators.checks import PII_PATTERNS
+    cols = ("national_id_hashed", "first_name", "last_name", "gender", "is_current")
+    parts = []
+    for c in cols:
+        for name, pat in PII_PATTERNS.items():
+            parts.append(
+                f"SELECT 'mart_dim' AS model, '{c}' AS column_name, 'pii_pattern_{name}' "
+                f"AS check_name, CAST(COALESCE(SUM(CASE WHEN regexp_matches({c}, '{pat}') "
+                f"THEN 1 ELSE 0 END), 0) AS BIGINT) AS failures FROM students")
+    return with_star("\nUNION ALL\n".join(parts))
+
+
+COHORT_MEANS = with_star(f"""
+SELECT gender, COUNT(*) AS record_count,
+  {avg_sql('composite_activity_score', 2)} AS avg_activity_score,
+  {avg_sql('bmi', 2)} AS mean_bmi,
+  ROUND(SUM(CASE WHEN sleep_adequate THEN 1 ELSE 0 END) * 100.0 / COUNT(*), 2)
+    AS sleep_adequacy_rate_pct,
+  ROUND(SUM(CASE WHEN hydration_adequate THEN 1 ELSE 0 END) * 100.0 / COUNT(*), 2)
+    AS hydration_rate_pct
+FROM star GROUP BY gender""")
+
+AGE_GROUPS = with_star(f"""
+, g AS (SELECT *, CASE WHEN CAST(age_derived AS DOUBLE) < 3.0 THEN '1-2'
+                       WHEN CAST(age_derived AS DOUBLE) < 5.0 THEN '3-4'
+                       ELSE '5+' END AS age_group FROM star)
+SELECT age_group, COUNT(*) AS record_count,
+  {avg_sql('composite_activity_score', 2)} AS avg_activity_score,
+  ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 2) AS pct_of_total
+FROM g GROUP BY age_group""")
+
+MONTHLY_COHORT = with_star(f"""
+SELECT year, month, gender, COUNT(*) AS record_count,
+  {avg_sql('composite_activity_score', 2)} AS avg_activity_score,
+  {avg_sql('bmi', 2)} AS avg_bmi,
+  CAST(SUM(CASE WHEN sleep_adequate THEN 1 ELSE 0 END) AS BIGINT) AS sleep_adequate_count
+FROM star GROUP BY year, month, gender""")
+
+USER_TRAJECTORY = """
+WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, COUNT(value) AS n_rows,
+                  SUM(CAST(value AS DECIMAL(38,9))) AS s
+           FROM events GROUP BY user_id, CAST(ts AS DATE))
+SELECT user_id, day, n_rows,
+  ROUND(CAST(s AS DOUBLE) / CAST(n_rows AS DOUBLE), 4) AS day_avg,
+  ROUND(CAST(SUM(s) OVER w AS DOUBLE) / CAST(SUM(n_rows) OVER w AS DOUBLE), 4) AS running_avg
+FROM d
+WINDOW w AS (PARTITION BY user_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+INCREMENTAL_MERGE = """
+SELECT o_orderkey, o_custkey,
+  CASE WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN 'F' ELSE o_orderstatus END
+    AS o_orderstatus,
+  o_totalprice, o_orderdate, o_orderpriority
+FROM orders"""
+
+DRIFT_PSI = """
+WITH b AS (SELECT event_type, COUNT(*) AS base_count FROM events
+           WHERE ts < TIMESTAMP '2024-01-16' GROUP BY event_type),
+     c AS (SELECT event_type, COUNT(*) AS cur_count FROM events
+           WHERE ts >= TIMESTAMP '2024-01-16' GROUP BY event_type),
+     bs AS (SELECT *, base_count / SUM(base_count) OVER () AS base_share FROM b),
+     cs AS (SELECT *, cur_count / SUM(cur_count) OVER () AS cur_share FROM c),
+     j AS (SELECT COALESCE(bs.event_type, cs.event_type) AS event_type,
+                  CAST(COALESCE(base_count, 0) AS BIGINT) AS base_count,
+                  CAST(COALESCE(cur_count, 0) AS BIGINT) AS cur_count,
+                  GREATEST(COALESCE(base_share, 0.0), 0.0001) AS b_,
+                  GREATEST(COALESCE(cur_share, 0.0), 0.0001) AS c_
+           FROM bs FULL OUTER JOIN cs ON bs.event_type IS NOT DISTINCT FROM cs.event_type)
+SELECT event_type, base_count, cur_count, ROUND(b_, 6) AS base_share, ROUND(c_, 6) AS cur_share,
+  ROUND((c_ - b_) * LN(c_ / b_), 6) AS psi_term
+FROM j"""
+
+FRESHNESS = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, MAX(CAST({c} AS DATE)) AS latest_date, "
+    f"DATE '2024-02-01' AS as_of, "
+    f"CAST(date_diff('day', MAX(CAST({c} AS DATE)), DATE '2024-02-01') AS INTEGER) AS lag_days, "
+    f"CAST(30 AS INTEGER) AS max_lag_days, "
+    f"date_diff('day', MAX(CAST({c} AS DATE)), DATE '2024-02-01') <= 30 AS fresh FROM {t}"
+    for t, c in (("lineitem", "l_shipdate"), ("orders", "o_orderdate"), ("events", "ts")))
+
+STREAM_WEEKLY = """
+SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, event_type, COUNT(*) AS n_rows,
+  CAST(SUM(CAST(value AS DECIMAL(38,9))) AS DOUBLE) AS value_sum,
+  CAST(SUM(CAST(value AS DECIMAL(38,9))) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_value
+FROM events GROUP BY CAST(date_trunc('week', ts) AS DATE), event_type"""
+
+ROLE_VIEW_COLUMNS = (MART_FACT_COLUMNS
+                     .replace("student_key, date_key,", "date_key,")
+                     .replace("national_id_hashed,", "CAST(NULL AS VARCHAR) AS national_id_hashed,")
+                     .replace("age_derived, start_date, end_date,", "age_derived,"))
+
+ORACLE.update({
+    "scd_current": f"SELECT * FROM ({STAGE_ORDERS}) s WHERE is_current = 'O'",
+    "scd_as_of": SCD_AS_OF,
+    "weekly_per_user": WEEKLY_PER_USER,
+    "trend_direction": TREND_DIRECTION,
+    "stratified_class": with_star(
+        f"SELECT {KEYS}, health_condition, bmi_class, composite_activity_score FROM star "
+        f"WHERE health_condition = '5-low'"),
+    "weekly_active": "SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, "
+                     "COUNT(DISTINCT user_id) AS active_entities, COUNT(*) AS n_rows "
+                     "FROM events GROUP BY CAST(date_trunc('week', ts) AS DATE)",
+    "fk_failures": FK_FAILURES,
+    "accepted_value_failures": ACCEPTED_VALUE_FAILURES,
+    "range_failures": RANGE_FAILURES,
+    "class_thresholds": CLASS_THRESHOLDS,
+    "pii_scan": _pii_sql(),
+    "cohort_means": COHORT_MEANS,
+    "age_groups": AGE_GROUPS,
+    "monthly_cohort": MONTHLY_COHORT,
+    "user_trajectory": USER_TRAJECTORY,
+    "incremental_merge": INCREMENTAL_MERGE,
+    "drift_psi": DRIFT_PSI,
+    "freshness": FRESHNESS,
+    "stream_weekly": STREAM_WEEKLY,
+    "role_view": with_star(f"SELECT {ROLE_VIEW_COLUMNS} FROM star WHERE severity_level = 'europe'"),
+})

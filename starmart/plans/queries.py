@@ -307,3 +307,208 @@ QUERIES.update({
     "check_report": check_report,
     "not_null_failures": not_null_failures,
 })
+
+
+# ---------------------------------------------------------------- Tier 2: prose-specified operators
+
+from starmart.functions.numeric import count_if, ravg, rate  # noqa: E402
+from starmart.operators import incremental as INC  # noqa: E402
+from starmart.operators import masking as MASK  # noqa: E402
+from starmart.operators import quality as Q  # noqa: E402
+from starmart.operators import scd as SCD  # noqa: E402
+from starmart.operators import trends as TR  # noqa: E402
+from starmart.operators.metrics import grouped_metrics  # noqa: E402
+
+SCD_AS_OF = "1998-01-01"
+STRATUM = "5-low"
+CLASS_BOUNDS = {c: (15.0, 25.0) for c in ("1-urgent", "2-high", "3-medium", "4-not specified",
+                                          "5-low")}
+AGE_BANDS = ((3.0, "1-2"), (5.0, "3-4"))
+DRIFT_SPLIT = "2024-01-16"
+FRESH_AS_OF = "2024-02-01"
+FRESH_MAX_LAG = 30
+MERGE_FROM = "2000-01-01"
+
+
+def scd_current(spark, sf):
+    return SCD.current(stage_orders(spark, sf), "is_current", D.CURRENT_STATUS)
+
+
+def scd_as_of(spark, sf):
+    return SCD.as_of(stage_orders(spark, sf), ["student_key"], "start_date", SCD_AS_OF,
+                     tie_break=["o_orderkey"])
+
+
+def weekly_per_user(spark, sf):
+    return TR.weekly_means(D.read(spark, sf, "events"), "user_id", "ts", "value")
+
+
+def trend_direction(spark, sf):
+    return TR.trend_direction(weekly_per_user(spark, sf), "user_id", tolerance=0.5)
+
+
+def stratified_class(spark, sf):
+    return D.mart_fact(spark, sf).where(F.col("health_condition") == STRATUM).select(
+        *D.FACT_KEYS, "health_condition", "bmi_class", "composite_activity_score")
+
+
+def weekly_active(spark, sf):
+    return TR.active_per_period(D.read(spark, sf, "events"), "user_id", "ts")
+
+
+FK_RELATIONSHIPS = (
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem", "l_partkey", "part", "p_partkey"),
+    ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"),
+    ("supplier", "s_nationkey", "nation", "n_nationkey"),
+    ("nation", "n_regionkey", "region", "r_regionkey"),
+)
+
+
+def fk_failures(spark, sf):
+    parts = []
+    for child, ck, parent, pk in FK_RELATIONSHIPS:
+        bad = C.relationship_failures(D.read(spark, sf, child), D.read(spark, sf, parent), ck, pk)
+        parts.append(bad.agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit(f"{child}.{ck}->{parent}.{pk}").alias("relationship"), "failures"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+DOMAIN_CHECKS = {
+    "orders": C.CheckSpec(accepted={"o_orderstatus": ("O", "F"),
+                                    "o_orderpriority": ("1-URGENT", "2-HIGH", "3-MEDIUM",
+                                                        "4-NOT SPECIFIED", "5-LOW")}),
+    "lineitem": C.CheckSpec(accepted={"l_returnflag": ("A", "N", "R"),
+                                      "l_linestatus": ("O", "F")}),
+    "customer": C.CheckSpec(accepted={"c_mktsegment": ("AUTOMOBILE", "BUILDING", "FURNITURE",
+                                                       "HOUSEHOLD", "MACHINERY")}),
+}
+RANGE_CHECKS = {
+    "lineitem": C.CheckSpec(ranges={"l_quantity": (1.0, 50.0), "l_discount": (0.0, 0.1),
+                                    "l_tax": (0.0, 0.08)}),
+    "orders": C.CheckSpec(ranges={"o_totalprice": (0.0, 500000.0)}),
+    "part": C.CheckSpec(ranges={"p_size": (1, 50)}),
+    "customer": C.CheckSpec(ranges={"c_acctbal": (-999.99, 9999.99)}),
+}
+
+
+def accepted_value_failures(spark, sf):
+    return C.run_checks({t: D.read(spark, sf, t) for t in DOMAIN_CHECKS}, DOMAIN_CHECKS)
+
+
+def range_failures(spark, sf):
+    return C.run_checks({t: D.read(spark, sf, t) for t in RANGE_CHECKS}, RANGE_CHECKS)
+
+
+def class_thresholds(spark, sf):
+    return Q.class_thresholds(class_balance(spark, sf), CLASS_BOUNDS)
+
+
+def pii_scan(spark, sf):
+    return C.pii_scan(D.mart_dim(spark, sf).drop("o_orderkey"), "mart_dim",
+                      ["national_id", "date_of_birth", "c_name"])
+
+
+def cohort_means(spark, sf):
+    return grouped_metrics(
+        D.mart_fact(spark, sf), ["gender"],
+        [ravg("composite_activity_score").alias("avg_activity_score"),
+         ravg("bmi").alias("mean_bmi"),
+         rate("sleep_adequate").alias("sleep_adequacy_rate_pct"),
+         rate("hydration_adequate").alias("hydration_rate_pct")])
+
+
+def age_groups(spark, sf):
+    fact = D.mart_fact(spark, sf).withColumn(
+        "age_group", feat.band("age_derived", AGE_BANDS, "5+"))
+    return grouped_metrics(fact, ["age_group"],
+                           [ravg("composite_activity_score").alias("avg_activity_score")],
+                           shares={"pct_of_total": ()})
+
+
+def monthly_cohort(spark, sf):
+    return grouped_metrics(
+        D.mart_fact(spark, sf), ["year", "month", "gender"],
+        [ravg("composite_activity_score").alias("avg_activity_score"),
+         ravg("bmi").alias("avg_bmi"),
+         count_if("sleep_adequate").alias("sleep_adequate_count")])
+
+
+def user_trajectory(spark, sf):
+    return TR.trajectory(D.read(spark, sf, "events"), "user_id", "ts", "value")
+
+
+# ---------------------------------------------------------------- Tier 3: future-work operators
+
+
+def incremental_merge(spark, sf):
+    orders = D.read(spark, sf, "orders")
+    batch = orders.where(F.col("o_orderdate") >= F.lit(MERGE_FROM).cast("timestamp_ntz")) \
+        .withColumn("o_orderstatus", F.lit("F"))
+    return INC.merge(orders, batch, ["o_orderkey"])
+
+
+def drift_psi(spark, sf):
+    ev = D.read(spark, sf, "events")
+    split = F.lit(DRIFT_SPLIT).cast("timestamp_ntz")
+    return Q.psi(ev.where(F.col("ts") < split), ev.where(F.col("ts") >= split), "event_type")
+
+
+def freshness(spark, sf):
+    checks = [("lineitem", "l_shipdate"), ("orders", "o_orderdate"), ("events", "ts")]
+    parts = [Q.freshness(D.read(spark, sf, t), t, c, FRESH_AS_OF, FRESH_MAX_LAG)
+             for t, c in checks]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def stream_weekly(spark, sf):
+    from starmart.session import scratch_path
+    from starmart.streaming.weekly import run_weekly_stream
+    out = scratch_path(spark, "stream-weekly")
+    run_weekly_stream(spark, f"{sf.rstrip('/')}/events.parque[t]", DRIVER_SCHEMAS["events"],
+                      "ts", ["event_type"], "value", out, mode="complete")
+    return spark.read.parquet(out)
+
+
+ROLE_POLICIES = {
+    "regional_analyst": MASK.RolePolicy(
+        columns={"national_id_hashed": "null", "student_key": "drop", "start_date": "drop",
+                 "end_date": "drop"},
+        row_filter="severity_level = 'europe'"),
+}
+
+
+def role_view(spark, sf):
+    return MASK.role_view(D.mart_fact(spark, sf), ROLE_POLICIES, "regional_analyst")
+
+
+QUERIES.update({
+    "scd_current": scd_current,
+    "scd_as_of": scd_as_of,
+    "weekly_per_user": weekly_per_user,
+    "trend_direction": trend_direction,
+    "stratified_class": stratified_class,
+    "weekly_active": weekly_active,
+    "fk_failures": fk_failures,
+    "accepted_value_failures": accepted_value_failures,
+    "range_failures": range_failures,
+    "class_thresholds": class_thresholds,
+    "pii_scan": pii_scan,
+    "cohort_means": cohort_means,
+    "age_groups": age_groups,
+    "monthly_cohort": monthly_cohort,
+    "user_trajectory": user_trajectory,
+    "incremental_merge": incremental_merge,
+    "drift_psi": drift_psi,
+    "freshness": freshness,
+    "stream_weekly": stream_weekly,
+    "role_view": role_view,
+})
