@@ -26,7 +26,8 @@ from starmart.session import build_session  # noqa: E402
 
 HEADLINE = (
     "mart_fact", "metric_distribution", "metric_band_by_group", "metric_adequacy",
-    "metric_weekly", "metric_risk", "class_balance",
+    "metric_weekly", "metric_risk", "class_balance", "list_records_page", "get_record",
+    "check_report", "fk_failures", "scd_as_of", "trend_direction", "user_trajectory",
 )
 
 

@@ -73,3 +73,43 @@ def layer_summary(spark: SparkSession, root: str, layer: str,
     found = {t: read_layer(spark, root, layer, t) for t in tables
              if path_exists(spark, layer_path(root, layer, t))}
     return table_counts(found).orderBy("table_name")
+
+
+# ---------------------------------------------------------------- catalog (S-10, S-12, S-14)
+
+
+def ensure_database(spark: SparkSession, name: str) -> None:
+    """``CREATE DATABASE IF NOT EXISTS`` (S-12)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+
+
+def save_table(df: DataFrame, database: str, table: str) -> str:
+    """Replace ``database.table`` with ``df`` (drop + create as select, S-10)."""
+    ensure_database(df.sparkSession, database)
+    full = f"`{database}`.`{table}`"
+    df.write.mode("overwrite").format("parquet").saveAsTable(full)
+    return full
+
+
+def register_layer(spark: SparkSession, root: str, layer: str, tables: Sequence[str]) -> list[str]:
+    """Expose written layer folders as catalog tables ``layer.table`` (no copy)."""
+    from starmart.session import path_exists
+    ensure_database(spark, layer)
+    done = []
+    for t in tables:
+        path = layer_path(root, layer, t)
+        if not path_exists(spark, path):
+            continue
+        spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{t}`")
+        spark.sql(f"CREATE TABLE `{layer}`.`{t}` USING parquet LOCATION '{path}'")
+        done.append(f"{layer}.{t}")
+    return done
+
+
+def list_tables(spark: SparkSession, databases: Sequence[str] | None = None) -> DataFrame:
+    """Catalog listing, one row per table (S-14), ordered by database and name."""
+    dbs = databases or [d.name for d in spark.catalog.listDatabases()]
+    entries = [(db, t.name, t.tableType) for db in dbs
+               for t in spark.catalog.listTables(db) if not t.isTemporary]
+    return spark.createDataFrame(entries, "database string, table_name string, table_type string") \
+        .orderBy("database", "table_name")

@@ -131,3 +131,19 @@ def test_weekly_stream_matches_batch(spark, tmp_path):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     assert got.agg(F.sum("n_rows")).first()[0] == ev.count()
     assert spark.read.parquet(str(tmp_path / "alerts")).count() == got.count()
+
+
+def test_catalog_layers(spark, tmp_path):
+    from starmart.sources.layers import (layer_summary, list_tables, register_layer,
+                                         write_layer)
+    root = str(tmp_path / "lake")
+    df = spark.range(5).select(F.col("id").alias("k"), (F.col("id") > 2).alias("flag"))
+    write_layer(df, root, "marts", "t1", bool_as_int=True)
+    write_layer(df, root, "marts", "t2", partition_by=["flag"])
+    assert rows(layer_summary(spark, root, "marts", ["t1", "t2", "missing"])) == \
+        [("t1", 5), ("t2", 5)]
+    assert register_layer(spark, root, "marts", ["t1", "t2"]) == ["marts.t1", "marts.t2"]
+    assert spark.table("marts.t1").count() == 5
+    assert dict(spark.table("marts.t1").dtypes)["flag"] == "int"
+    listed = [(r.database, r.table_name) for r in list_tables(spark, ["marts"]).collect()]
+    assert listed == [("marts", "t1"), ("marts", "t2")]
