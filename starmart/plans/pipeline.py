@@ -109,7 +109,7 @@ def run(spark: SparkSession, source_dir: str, out_root: str, *, as_of=None,
                                                        "dim_student_transformed")
         tables["mrt_health_distribution"] = read_layer(spark, out_root, "metrics",
                                                        "mrt_health_distribution")
-        report = timed("checks", lambda: run_checks(tables, declared_checks()).cache())
+        report = timed("checks", lambda: run_checks(tables, declared_checks()))
         res.check_report = report
         if not skip_checks:
             gate(report)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from starmart.operators.metrics import reaggregate
 from starmart.operators.paging import DEFAULT_LIMIT, apply_filters, lookup, page, top_n
 from starmart.plans.models import METRIC_ORDER, sort_columns
-from starmart.sources.layers import bools_to_int
+from starmart.sources.layers import bools_to_int, replace_parquet
 from starmart.functions.text import mask_prefix
 
 # The 27 fields of a published student record (key column(s) first).
@@ -121,7 +121,7 @@ def promote(df: DataFrame, *, path: str | None = None, table: str | None = None,
     """
     out = bools_to_int(df)
     if path is not None:
-        out.write.mode("overwrite").parquet(path)
+        replace_parquet(out, path)
     if table is not None:
         out.write.mode("overwrite").saveAsTable(table)
     if jdbc_url is not None:

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from starmart.operators.profile import duplicate_count
 from starmart.sources.csv import coerce, read_csv_raw, split_quarantine
 from starmart.sources.csv import cast_failure_metrics
+from starmart.sources.layers import replace_parquet
 from starmart.specs import TableSpec
 
 
@@ -59,7 +60,7 @@ def ingest_table(spark: SparkSession, csv_path: str, spec: TableSpec, out_path:
                 for c in spec.required]
     metrics += cast_failure_metrics(spec)
     observed = raw.observe(obs, *metrics)
-    coerce(observed, spec).write.mode("overwrite").parquet(out_path)
+    replace_parquet(coerce(observed, spec), out_path)
     m = obs.get
     rows = int(m["rows"])
     res = IngestResult(

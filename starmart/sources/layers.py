@@ -6,6 +6,7 @@ give the same tables).  A written table is also how lineage is cut.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,19 +22,50 @@ def layer_path(root: str, layer: str, table: str) -> str:
 
 def write_layer(df: DataFrame, root: str, layer: str, table: str,
                 partition_by: Sequence[str] = (), bool_as_int: bool = False) -> str:
-    """Materialise ``df`` as ``<root>/<layer>/<table>`` (overwrite) and return the path.
+    """Materialise ``df`` as ``<root>/<layer>/<table>`` (replace) and return the path.
 
+    The data is written to a sibling staging folder first and swapped in by
+    renames only after the job succeeded, so a failed or killed job leaves
+    the previous table intact (lost executors are already retried by Spark).
     ``partition_by`` writes Hive-style folders (T2-02), which later filters
     on those columns prune.  ``bool_as_int`` stores flags as 0/1 ints.
     """
     if bool_as_int:
         df = bools_to_int(df)
     path = layer_path(root, layer, table)
+    replace_parquet(df, path, partition_by)
+    return path
+
+
+def replace_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Write ``df`` to a staging folder next to ``path``, then swap it in."""
+    staging = f"{path}.__staging-{uuid.uuid4().hex[:8]}"
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
+    w.parquet(staging)
+    _swap(df.sparkSession, staging, path)
+
+
+def _swap(spark: SparkSession, staging: str, path: str) -> None:
+    """Replace ``path`` by ``staging`` (rename old away, rename new in, drop old)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(conf)
+    old = jvm.org.apache.hadoop.fs.Path(f"{path}.__old-{uuid.uuid4().hex[:8]}")
+    had_old = fs.exists(target)
+    if had_old and not fs.rename(target, old):
+        raise OSError(f"could not move {path} aside")
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
+        if had_old:
+            fs.rename(old, target)
+        raise OSError(f"could not publish {staging} to {path}")
+    if had_old:
+        fs.delete(old, True)
+    # Renames bypass Spark's cache manager: drop cached plans and file
+    # listings that still point at the replaced files.
+    spark.catalog.refreshByPath(path)
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, table: str,

@@ -147,3 +147,15 @@ def test_catalog_layers(spark, tmp_path):
     assert dict(spark.table("marts.t1").dtypes)["flag"] == "int"
     listed = [(r.database, r.table_name) for r in list_tables(spark, ["marts"]).collect()]
     assert listed == [("marts", "t1"), ("marts", "t2")]
+
+
+def test_failed_write_keeps_previous_table(spark, tmp_path):
+    from starmart.sources.layers import read_layer, write_layer
+    root = str(tmp_path / "lake")
+    write_layer(spark.range(3), root, "marts", "t")
+    bad = spark.range(3).select((F.lit(1) / F.col("id")).alias("id"))  # ANSI: 1/0 raises
+    with pytest.raises(Exception):
+        write_layer(bad, root, "marts", "t")
+    assert rows(read_layer(spark, root, "marts", "t")) == [(0,), (1,), (2,)]
+    write_layer(spark.range(5), root, "marts", "t")
+    assert read_layer(spark, root, "marts", "t").count() == 5
