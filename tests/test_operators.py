@@ -159,3 +159,21 @@ def test_failed_write_keeps_previous_table(spark, tmp_path):
     assert rows(read_layer(spark, root, "marts", "t")) == [(0,), (1,), (2,)]
     write_layer(spark.range(5), root, "marts", "t")
     assert read_layer(spark, root, "marts", "t").count() == 5
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from starmart.sources.layers import write_bucketed
+    fact = spark.range(0, 5000).select((F.col("id") % 500).alias("k"), F.col("id").alias("v"))
+    dim = spark.range(0, 500).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    write_bucketed(fact, "bucket_test", "fact", 4, ["k"])
+    write_bucketed(dim, "bucket_test", "dim", 4, ["k"])
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = star.star_join(spark.table("bucket_test.fact"),
+                                [star.Dim(spark.table("bucket_test.dim"), "k", "k", ["name"])])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 5000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
