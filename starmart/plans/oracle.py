@@ -633,3 +633,29 @@ ORACLE.update({
     "stream_weekly": STREAM_WEEKLY,
     "role_view": with_star(f"SELECT {ROLE_VIEW_COLUMNS} FROM star WHERE severity_level = 'europe'"),
 })
+
+COMPLETENESS_DRIFT = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, "
+    f"(SELECT COUNT({c}) / COUNT(*) FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01') "
+    f"AS base_complete, "
+    f"(SELECT COUNT({c}) / COUNT(*) FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01') "
+    f"AS cur_complete"
+    for c in ("l_quantity", "l_discount", "l_tax", "l_returnflag", "l_shipdate"))
+
+ORACLE.update({
+    "distribution_filtered": f"SELECT * FROM ({METRIC_DISTRIBUTION}) d "
+                             f"WHERE health_condition = '1-urgent'",
+    "bmi_filtered": f"SELECT * FROM ({METRIC_BMI}) b WHERE gender = 'building' "
+                    f"AND bmi_class = 'Obese'",
+    "sleep_filtered": f"SELECT * FROM ({METRIC_SLEEP}) s "
+                      f"WHERE health_condition = '4-not specified'",
+    "serving_verify": with_star(f"""
+SELECT 'dim_student_transformed' AS table_name, COUNT(*) AS row_count, TRUE AS present
+  FROM students
+UNION ALL SELECT 'fact_health_transformed', COUNT(*), TRUE FROM star
+UNION ALL SELECT 'mrt_health_distribution', COUNT(*), TRUE FROM (
+  SELECT 1 FROM star GROUP BY health_condition, gender, diet_type) g
+UNION ALL SELECT 'mrt_missing', CAST(NULL AS BIGINT), FALSE"""),
+    "completeness_drift": f"SELECT *, cur_complete - base_complete AS delta "
+                          f"FROM ({COMPLETENESS_DRIFT}) c",
+})

@@ -512,3 +512,49 @@ QUERIES.update({
     "stream_weekly": stream_weekly,
     "role_view": role_view,
 })
+
+
+# ---------------------------------------------------------------- more serving routes and checks
+
+
+def distribution_filtered(spark, sf):
+    return V.health_distribution(M.metric_distribution(D.mart_fact(spark, sf)),
+                                 health_condition="1-urgent", gender=None, diet_type="")
+
+
+def bmi_filtered(spark, sf):
+    return V.bmi_by_gender(M.metric_bmi_by_gender(D.mart_fact(spark, sf)), gender="building",
+                           health_condition=None, bmi_class="Obese")
+
+
+def sleep_filtered(spark, sf):
+    return V.sleep_adequacy(M.metric_sleep_adequacy(D.mart_fact(spark, sf)),
+                            health_condition="4-not specified")
+
+
+def serving_verify(spark, sf):
+    return V.verify_counts(spark, {"fact_health_transformed": D.mart_fact(spark, sf),
+                                   "dim_student_transformed": D.mart_dim(spark, sf),
+                                   "mrt_health_distribution": metric_distribution(spark, sf),
+                                   "mrt_missing": None})
+
+
+COMPLETENESS_COLUMNS = ("l_quantity", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
+
+
+def completeness_drift(spark, sf):
+    li = D.read(spark, sf, "lineitem")
+    split = F.lit("1998-01-01").cast("timestamp_ntz")
+    base = Q.completeness(li.where(F.col("l_shipdate") < split), COMPLETENESS_COLUMNS, "base")
+    cur = Q.completeness(li.where(F.col("l_shipdate") >= split), COMPLETENESS_COLUMNS, "cur")
+    return base.join(cur, "column_name").withColumn(
+        "delta", F.col("cur_complete") - F.col("base_complete"))
+
+
+QUERIES.update({
+    "distribution_filtered": distribution_filtered,
+    "bmi_filtered": bmi_filtered,
+    "sleep_filtered": sleep_filtered,
+    "serving_verify": serving_verify,
+    "completeness_drift": completeness_drift,
+})
