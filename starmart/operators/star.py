@@ -31,6 +31,8 @@ class Dim:
     columns: Sequence[str] | None = None
     broadcast_max_rows: int | None = None
     name: str = field(default="dim")
+    skew_buckets: int = 0
+    hot_fraction: float = 0.01
 
 
 def _keys(k) -> list[str]:
@@ -81,6 +83,9 @@ def star_join(fact: DataFrame, dims: Sequence[Dim], how: str = "inner") -> DataF
         right = d.df.select(*dk, *[c for c in keep if c not in dk])
         if d.broadcast_max_rows is not None:
             right = bounded_broadcast(right, d.broadcast_max_rows)
+        if d.skew_buckets > 1:
+            out = salted_join(out, right, fk, dk, d.skew_buckets, d.hot_fraction, how, d.name)
+            continue
         if fk == dk:
             out = out.join(right, on=fk, how=how)
         else:
@@ -91,3 +96,74 @@ def star_join(fact: DataFrame, dims: Sequence[Dim], how: str = "inner") -> DataF
             cond = [out[a] == right[renamed[b]] for a, b in zip(fk, dk)]
             out = out.join(right, on=cond, how=how).drop(*renamed.values())
     return out
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], fraction: float) -> list[tuple]:
+    """Key values holding at least ``fraction`` of the rows of ``df``.
+
+    There can be at most ``1 / fraction`` such values, so bringing them to
+    the driver is bounded by construction.  Counting per key aggregates map
+    side first, so the hot keys themselves are cheap to count.
+    """
+    if not 0 < fraction <= 1:
+        raise ValueError("fraction must be in (0, 1]")
+    total = df.count()
+    threshold = max(1, int(total * fraction))
+    limit = int(1 / fraction) + 1
+    counts = df.where(_all_not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    rows = counts.where(F.col("__n") >= threshold).select(*keys).limit(limit).collect()
+    return [tuple(r) for r in rows]
+
+
+def _all_not_null(keys):
+    cond = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        cond = c if cond is None else cond & c
+    return cond
+
+
+def salted_join(fact: DataFrame, dim: DataFrame, fact_key: Sequence[str],
+                dim_key: Sequence[str], buckets: int = 16, hot_fraction: float = 0.01,
+                how: str = "inner", name: str = "dim") -> DataFrame:
+    """Equi-join that splits hot keys over ``buckets`` tasks (explicit skew handling).
+
+    Fact rows of a hot key get a deterministic salt (hash of the row) in
+    ``[0, buckets)``; only the dimension rows of hot keys are replicated once
+    per salt.  Every other key keeps salt 0 and joins as usual, so the result
+    is exactly the plain join.  Use where AQE's skew split is unavailable or
+    when one key alone exceeds what a task can hold.
+    """
+    hot = hot_keys(fact, fact_key, hot_fraction)
+    if not hot:
+        plain = Dim(dim, fact_key, dim_key, [c for c in dim.columns if c not in dim_key],
+                    name=name)
+        return star_join(fact, [plain], how)
+
+    def is_hot(cols):
+        cond = None
+        for values in hot:
+            row = None
+            for c, v in zip(cols, values):
+                e = F.col(c) == F.lit(v)
+                row = e if row is None else row & e
+            cond = row if cond is None else cond | row
+        return cond
+
+    salt = f"__salt_{name}"
+    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    f = fact.withColumn(salt, F.when(is_hot(fact_key), F.pmod(row_hash, F.lit(buckets)))
+                        .otherwise(F.lit(0)).cast("int"))
+    d = dim.withColumn(salt, F.when(is_hot(dim_key),
+                                    F.sequence(F.lit(0), F.lit(buckets - 1)))
+                       .otherwise(F.array(F.lit(0))))
+    d = d.withColumn(salt, F.explode(F.col(salt)))
+    renamed = {k: f"__{name}_{k}" for k in dim_key}
+    for k, nk in renamed.items():
+        d = d.withColumnRenamed(k, nk)
+    cond = [f[a] == d[renamed[b]] for a, b in zip(fact_key, dim_key)] + [f[salt] == d[salt]]
+    out = f.join(d, on=cond, how=how).drop(*renamed.values()).drop(f[salt]).drop(d[salt])
+    if list(fact_key) == list(dim_key):  # same column order as a join on key names
+        rest = [c for c in out.columns if c not in fact_key]
+        out = out.select(*fact_key, *rest)
+    return out

@@ -168,13 +168,14 @@ def stage_place(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> Da
 # ---------------------------------------------------------------- enriched star
 
 
-def enriched(spark: SparkSession, sf_dir: str, as_of=AS_OF) -> DataFrame:
+def enriched(spark: SparkSession, sf_dir: str, as_of=AS_OF, skew_buckets: int = 0) -> DataFrame:
     """The enriched fact over the driver tables (J-01 ... J-07, P-14 ... P-20).
 
     Join order keeps the big shuffles on the fact's own keys: the student
     dimension (orders x customer) is built first from the smaller tables,
     then the fact meets it on ``l_orderkey``, part on ``l_partkey`` and the
-    supplier chain on ``l_suppkey``.
+    supplier chain on ``l_suppkey``.  ``skew_buckets > 1`` salts hot foreign
+    keys explicitly (otherwise AQE's skew-join split handles them).
     """
     t = tables(spark, sf_dir, "lineitem", "orders", "customer", "part", "supplier", "nation",
                "region")
@@ -182,11 +183,13 @@ def enriched(spark: SparkSession, sf_dir: str, as_of=AS_OF) -> DataFrame:
     dims = [
         Dim(students, "l_orderkey", "o_orderkey",
             ["student_key", "national_id_hashed", "gender", "age_derived", "start_date",
-             "end_date", "health_condition", "calorie_expenditure"], name="student"),
+             "end_date", "health_condition", "calorie_expenditure"], name="student",
+            skew_buckets=skew_buckets),
         Dim(stage_lifestyle(t["part"]), "l_partkey", "p_partkey",
-            ["diet_type", "physical_activity_level", "activity_type"], name="part"),
+            ["diet_type", "physical_activity_level", "activity_type"], name="part",
+            skew_buckets=skew_buckets),
         Dim(stage_place(t["supplier"], t["nation"], t["region"]), "l_suppkey", "s_suppkey",
-            ["severity_level", "treatment_type"], name="place"),
+            ["severity_level", "treatment_type"], name="place", skew_buckets=skew_buckets),
     ]
     joined = star_join(stage_fact(t["lineitem"]), dims)
     return M.add_features(joined, DRIVER_PARAMS)

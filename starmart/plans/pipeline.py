@@ -71,8 +71,13 @@ def declared_checks() -> dict[str, CheckSpec]:
 
 
 def run(spark: SparkSession, source_dir: str, out_root: str, *, as_of=None,
-        skip_checks: bool = False, stages=STAGES) -> RunResult:
-    """Run the selected stages in order; the first failure raises."""
+        skip_checks: bool = False, stages=STAGES,
+        partition_fact_by: tuple = ()) -> RunResult:
+    """Run the selected stages in order; the first failure raises.
+
+    ``partition_fact_by`` (e.g. ``("year", "month")``) writes the mart fact
+    in Hive-style folders so date filters prune whole partitions.
+    """
     res = RunResult()
 
     def timed(name, fn):
@@ -94,7 +99,7 @@ def run(spark: SparkSession, source_dir: str, out_root: str, *, as_of=None,
     if "models" in stages:
         def materialise():
             write_layer(models["fact_health_transformed"], out_root, "marts",
-                        "fact_health_transformed")
+                        "fact_health_transformed", partition_by=partition_fact_by)
             write_layer(models["dim_student_transformed"], out_root, "marts",
                         "dim_student_transformed")
             fact = read_layer(spark, out_root, "marts", "fact_health_transformed")

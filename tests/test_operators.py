@@ -177,3 +177,16 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert joined.count() == 5000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_salted_join_equals_plain_join(spark):
+    fact = spark.range(0, 30000).select(
+        F.col("id").alias("row"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("d"))
+    dim = spark.range(0, 500).select(F.col("id").alias("d"), (F.col("id") * 2).alias("v"))
+    assert star.hot_keys(fact, ["d"], 0.05) == [(7,)]
+    plain = star.star_join(fact, [star.Dim(dim, "d", "d", ["v"])])
+    salted = star.star_join(fact, [star.Dim(dim, "d", "d", ["v"], skew_buckets=8,
+                                            hot_fraction=0.05, name="dd")])
+    assert salted.columns == plain.columns
+    assert sorted(salted.collect()) == sorted(plain.collect())
