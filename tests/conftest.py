@@ -63,8 +63,10 @@ FIXTURE_CSV = {
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = build_session(master="local[4]", shuffle_partitions=8)
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    s = build_session(master="local[4]", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 
