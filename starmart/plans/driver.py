@@ -193,8 +193,8 @@ def enriched(spark: SparkSession, sf_dir: str, as_of=AS_OF, skew_buckets: int =
     input file (length or modification time) builds a new one.
     """
     try:
-        key = (id(spark), sf_dir, str(as_of), skew_buckets,
-               _input_signature(spark, sf_dir, STAR_TABLES))
+        key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir,
+               str(as_of), skew_buckets, _input_signature(spark, sf_dir, STAR_TABLES))
     except Exception:  # inputs that are not plain files: no reuse
         return _build_enriched(spark, sf_dir, as_of, skew_buckets)
     if key not in _PLAN_CACHE:

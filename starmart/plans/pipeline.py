@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starmart.operators.checks import CheckSpec, gate, run_checks
 from starmart.plans import models as M
 from starmart.plans.serving import promote
-from starmart.sources.contract import contract_all, csv_contract, enforce
+from starmart.sources.contract import contract_all, csv_contract, enforce, rows_report
 from starmart.sources.ingest import ingest_all
 from starmart.sources.layers import layer_path, read_layer, write_layer
 from starmart.specs import HEALTH_FILES, HEALTH_SPECS, MODEL_TESTS
@@ -44,6 +44,7 @@ class RunResult:
     timings: dict = field(default_factory=dict)
     ingest: dict = field(default_factory=dict)
     check_report: DataFrame | None = None
+    row_report: DataFrame | None = None
     published: list = field(default_factory=list)
 
 
@@ -88,13 +89,19 @@ def run(spark: SparkSession, source_dir: str, out_root: str, *, as_of=None,
         return out
 
     if "contract" in stages:
+        # Metadata checks only when ingest follows: its write pass counts the rows.
+        count_rows = "ingest" not in stages
         timed("contract", lambda: enforce(contract_all({
-            n: csv_contract(spark, f"{source_dir.rstrip('/')}/{HEALTH_FILES[n]}", s)
+            n: csv_contract(spark, f"{source_dir.rstrip('/')}/{HEALTH_FILES[n]}", s,
+                            count_rows=count_rows)
             for n, s in HEALTH_SPECS.items()})))
     if "ingest" in stages:
         res.ingest = timed("ingest", lambda: ingest_all(
             spark, source_dir, HEALTH_SPECS, HEALTH_FILES, f"{out_root}/raw",
             audit_path=f"{out_root}/audit/ingest_log"))
+        res.row_report = rows_report(spark, {n: r.rows for n, r in res.ingest.items()},
+                                     HEALTH_SPECS)
+        enforce(res.row_report)
     models = build_models(_raw(spark, out_root), as_of) if stages != ("contract",) else {}
     if "models" in stages:
         def materialise():

@@ -122,3 +122,10 @@ def test_gate_stops_publication(spark, fixture_dir, tmp_path):
     res = pipeline.run(spark, fixture_dir, out, as_of=AS_OF, skip_checks=True)
     failed = res.check_report.where(F.col("failures") > 0).collect()
     assert {(r.model, r.check_name) for r in failed} >= {("stg_sleep", "unique")}
+
+
+def test_row_checks_come_from_the_ingest_pass(run):
+    _, res = run
+    got = {(r.table_name, r.check_name): (r.observed, r.passed) for r in res.row_report.collect()}
+    assert got[("fact_health_analytics", "min_rows")] == (8, True)
+    assert got[("dim_student", "row_count_parity")] == (5, False)  # warning only
