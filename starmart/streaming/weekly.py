@@ -34,11 +34,15 @@ def weekly_windows(stream: DataFrame, ts: str, group: Sequence[str], value: str,
                    watermark: str = "7 days") -> DataFrame:
     """Streaming aggregate: per week and group, rows and exact value sum.
 
-    Event time must be a TIMESTAMP for the watermark; a TIMESTAMP_NTZ column
-    is read in the session time zone.
+    Event time must be a TIMESTAMP for the watermark.  A TIMESTAMP_NTZ wall
+    clock is turned into the instant with that wall clock in UTC, so weeks
+    (Monday 00:00 to Monday 00:00) do not depend on the session time zone.
     """
     if dict(stream.dtypes)[ts] == "timestamp_ntz":
-        stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+        t = F.col(ts)
+        stream = stream.withColumn(ts, F.make_timestamp(
+            F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t),
+            F.date_part(F.lit("SECOND"), t), F.lit("UTC")))
     return (stream.withWatermark(ts, watermark)
             .groupBy(F.window(ts, WEEK, WEEK, MONDAY_OFFSET).alias("w"), *group)
             .agg(F.count(F.lit(1)).alias("n_rows"),
@@ -46,7 +50,9 @@ def weekly_windows(stream: DataFrame, ts: str, group: Sequence[str], value: str,
 
 
 def finish(agg: DataFrame, group: Sequence[str]) -> DataFrame:
-    return agg.select(F.col("w.start").cast("date").alias("week_start"), *group, "n_rows",
+    # The window start is Monday 00:00 UTC; take its UTC calendar date.
+    start_day = F.floor(F.unix_seconds(F.col("w.start")) / F.lit(86400)).cast("int")
+    return agg.select(F.date_from_unix_date(start_day).alias("week_start"), *group, "n_rows",
                       F.col("value_sum").cast("double").alias("value_sum"),
                       (F.col("value_sum").cast("double") / F.col("n_rows").cast("double"))
                       .alias("avg_value"))

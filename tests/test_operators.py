@@ -190,3 +190,25 @@ def test_salted_join_equals_plain_join(spark):
                                             hot_fraction=0.05, name="dd")])
     assert salted.columns == plain.columns
     assert sorted(salted.collect()) == sorted(plain.collect())
+
+
+def test_weekly_stream_ignores_session_time_zone(spark, tmp_path):
+    from starmart.specs import DRIVER_SCHEMAS
+    from starmart.streaming.weekly import run_weekly_stream
+    src = "/root/testdata/sf0.001/events.parque[t]"
+    got = {}
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            out = str(tmp_path / f"out-{tz.replace('/', '_')}")
+            run_weekly_stream(spark, src, DRIVER_SCHEMAS["events"], "ts", ["event_type"],
+                              "value", out, checkpoint=str(tmp_path / f"ckpt-{len(got)}"))
+            got[tz] = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert got["UTC"] == got["America/New_York"]
+    batch = spark.read.parquet("/root/testdata/sf0.001/events.parquet").groupBy(
+        F.date_trunc("week", "ts").cast("date").alias("w"), "event_type").count()
+    assert sorted((r.w, r.event_type, r["count"]) for r in batch.collect()) == \
+        sorted((r[0], r[1], r[2]) for r in got["UTC"])
