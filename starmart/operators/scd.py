@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.dates import as_of_date
@@ -46,3 +46,46 @@ def as_of(df: DataFrame, keys: Sequence[str], start_col: str, as_of_value,
     """Per key, the latest version that started on or before ``as_of_value``."""
     d = as_of_date(as_of_value)
     return latest(df.where(F.col(start_col).cast("date") <= d), keys, [start_col, *tie_break])
+
+
+def derive_validity(df: DataFrame, keys: Sequence[str], start: str,
+                    tie_break: Sequence[str] = (), end_col: str = "valid_to",
+                    partitions: int | None = None) -> DataFrame:
+    """History view: each version valid until the next version of its key starts.
+
+    A per-key window would put all versions of a hot key into one task.
+    Instead the rows are range-partitioned on (key, start, tie-break), so a
+    hot key spreads over several partitions; ``lead`` runs inside each range
+    partition, and the last row of a partition takes the first row of the
+    next non-empty partition (one row per partition, broadcast).  The last
+    version of every key gets NULL.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [*keys, start, *tie_break]
+    # Materialised once (reliable checkpoint in spark.checkpoint.dir): both
+    # uses below must see the same partition ids, whatever AQE re-plans.
+    ranked = (df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
+              .checkpoint(eager=True))
+    nxt = F.lead(F.struct(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)],
+                          F.col(start).alias("__s"))).over(
+        Window.partitionBy("__pid").orderBy(*order))
+    step = ranked.withColumn("__next", nxt)
+    # First row of each range partition, and for each partition the first
+    # row of the next non-empty one (bounded: one row per partition).
+    firsts = step.groupBy("__pid").agg(F.min(F.struct(*[F.col(c) for c in order])).alias("__f"))
+    w = Window.orderBy("__pid")
+    follow = firsts.select(F.col("__pid"), F.lead("__f").over(w).alias("__nf"))
+    follow = F.broadcast(follow)  # one row per partition of this operator
+    joined = step.join(follow, "__pid", "left")
+    same_next = None
+    same_follow = None
+    for i, c in enumerate(keys):
+        a = F.col(f"__next.__k{i}") == F.col(c)
+        b = F.col(f"__nf.{c}") == F.col(c)
+        same_next = a if same_next is None else same_next & a
+        same_follow = b if same_follow is None else same_follow & b
+    valid_to = (F.when(F.col("__next").isNotNull(),
+                       F.when(same_next, F.col("__next.__s")))
+                .otherwise(F.when(same_follow, F.col(f"__nf.{start}"))))
+    return joined.select(*df.columns, valid_to.alias(end_col))

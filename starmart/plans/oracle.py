@@ -659,3 +659,8 @@ UNION ALL SELECT 'mrt_missing', CAST(NULL AS BIGINT), FALSE"""),
     "completeness_drift": f"SELECT *, cur_complete - base_complete AS delta "
                           f"FROM ({COMPLETENESS_DRIFT}) c",
 })
+
+ORACLE["scd_history"] = f"""
+SELECT student_key, o_orderkey, start_date, health_condition,
+  lead(start_date) OVER (PARTITION BY student_key ORDER BY start_date, o_orderkey) AS valid_to
+FROM ({STAGE_ORDERS}) s"""

@@ -558,3 +558,13 @@ QUERIES.update({
     "serving_verify": serving_verify,
     "completeness_drift": completeness_drift,
 })
+
+
+def scd_history(spark, sf):
+    """Each order as a version of its customer, valid until the next order (T2-03)."""
+    staged = stage_orders(spark, sf).select("student_key", "o_orderkey", "start_date",
+                                            "health_condition")
+    return SCD.derive_validity(staged, ["student_key"], "start_date", ["o_orderkey"])
+
+
+QUERIES["scd_history"] = scd_history

@@ -212,3 +212,13 @@ def test_weekly_stream_ignores_session_time_zone(spark, tmp_path):
         F.date_trunc("week", "ts").cast("date").alias("w"), "event_type").count()
     assert sorted((r.w, r.event_type, r["count"]) for r in batch.collect()) == \
         sorted((r[0], r[1], r[2]) for r in got["UTC"])
+
+
+def test_derive_validity_matches_per_key_lead_with_hot_key(spark):
+    from pyspark.sql import Window
+    rows_ = [(0 if i % 3 else i % 17, dt.date(2020, 1, 1) + dt.timedelta(days=i % 400), i)
+             for i in range(3000)]  # key 0 holds two thirds of the rows
+    df = spark.createDataFrame(rows_, "k long, s date, v long")
+    got = scd.derive_validity(df, ["k"], "s", ["v"], partitions=7)
+    want = df.withColumn("valid_to", F.lead("s").over(Window.partitionBy("k").orderBy("s", "v")))
+    assert sorted(got.collect()) == sorted(want.collect())
