@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 MAX_LIMIT = 500
 DEFAULT_LIMIT = 50
 # Above this many rows (offset + limit) a page is located by partition counts.
-TOPK_MAX_ROWS = 100_000
+# Top-k merges (offset + limit) rows from every partition in one task, so the
+# bound keeps that merge small even with tens of thousands of partitions.
+TOPK_MAX_ROWS = 5_000
 
 
 def validate_page(limit: int, offset: int) -> None:
