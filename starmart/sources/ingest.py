@@ -12,7 +12,7 @@ import datetime as _dt
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
