@@ -347,6 +347,14 @@ LAYER_SUMMARY = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in sorted(ALL_TABLES))
 
 
+_INGEST_KEYS = (("region", "r_regionkey"), ("nation", "n_nationkey"), ("customer", "c_custkey"),
+                ("supplier", "s_suppkey"), ("part", "p_partkey"), ("orders", "o_orderkey"),
+                ("lineitem", "l_orderkey"))
+INGEST_TABLES = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, COUNT(*) AS parquet_rows, "
+    f"COUNT(*) - COUNT({k}) AS null_keys, CAST(0 AS BIGINT) AS cast_failures FROM {t}"
+    for t, k in _INGEST_KEYS)
+
 def _null_profile_sql(table: str, cols) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{table}' AS table_name, '{c}' AS column_name, "
@@ -427,6 +435,7 @@ ORACLE.update({
     "row_parity": ROW_PARITY,
     "layer_summary": LAYER_SUMMARY,
     "csv_roundtrip_coerce": "SELECT * FROM customer",
+    "ingest_tables": INGEST_TABLES,
     "null_profile": _null_profile_sql("lineitem", LINEITEM_COLUMNS) + "\nUNION ALL\n"
                     + _null_profile_sql("orders", ORDERS_COLUMNS),
     "duplicate_profile": DUPLICATE_PROFILE,

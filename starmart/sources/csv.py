@@ -57,6 +57,17 @@ def read_csv_raw(spark: SparkSession, path: str, spec: TableSpec | None = None,
     return df.select(*out)
 
 
+def write_csv_extract(df: DataFrame, path: str) -> None:
+    """Write ``df`` as a headed CSV extract (one file per task, overwrite).
+
+    Leading and trailing spaces are kept, so a round trip through
+    ``read_csv_raw`` returns the text as it was.
+    """
+    (df.write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
+
+
 # Text that pandas' numeric parser rejects but a Java double parse accepts:
 # a trailing type suffix such as "5d" or "1f".
 _JAVA_SUFFIX = r"(?i)[0-9.][df]\s*$"
