@@ -436,6 +436,10 @@ ORACLE.update({
     "layer_summary": LAYER_SUMMARY,
     "csv_roundtrip_coerce": "SELECT * FROM customer",
     "ingest_tables": INGEST_TABLES,
+    "partitioned_stage": "SELECT CAST(year(l_shipdate) AS INTEGER) AS year, "
+                         "CAST(month(l_shipdate) AS INTEGER) AS month, COUNT(*) AS record_count, "
+                         "MIN(CAST(l_shipdate AS DATE)) AS first_date, "
+                         "MAX(CAST(l_shipdate AS DATE)) AS last_date FROM lineitem GROUP BY 1, 2",
     "null_profile": _null_profile_sql("lineitem", LINEITEM_COLUMNS) + "\nUNION ALL\n"
                     + _null_profile_sql("orders", ORDERS_COLUMNS),
     "duplicate_profile": DUPLICATE_PROFILE,

@@ -266,6 +266,26 @@ def ingest_tables(spark, sf):
     return audit.join(written, "table_name").join(observed, "table_name")
 
 
+def partitioned_stage(spark, sf):
+    """Staged fact written as Hive-partitioned Parquet by (year, month) (T2-02).
+
+    The write needs no shuffle: each task writes its rows into the folders of
+    the months it holds.  Read back, a filter on year or month prunes folders
+    before any file is opened; here every partition is summarised.
+    """
+    from starmart.session import scratch_path
+    from starmart.sources.layers import read_layer, write_layer
+    root = scratch_path(spark, "partitioned")
+    write_layer(D.stage_fact(D.read(spark, sf, "lineitem")), root, "staging", "lineitem",
+                partition_by=("year", "month"))
+    staged = read_layer(spark, root, "staging", "lineitem")
+    return (staged.groupBy(F.col("year").cast("int").alias("year"),
+                           F.col("month").cast("int").alias("month"))
+            .agg(F.count(F.lit(1)).alias("record_count"),
+                 F.min("full_date").alias("first_date"),
+                 F.max("full_date").alias("last_date")))
+
+
 # ---------------------------------------------------------------- profiles and checks (Q-01 ... Q-05)
 
 
@@ -337,6 +357,7 @@ QUERIES.update({
     "layer_summary": layer_summary,
     "csv_roundtrip_coerce": csv_roundtrip_coerce,
     "ingest_tables": ingest_tables,
+    "partitioned_stage": partitioned_stage,
     "null_profile": null_profile,
     "duplicate_profile": duplicate_profile,
     "unique_failures": unique_failures,

@@ -222,3 +222,17 @@ def test_derive_validity_matches_per_key_lead_with_hot_key(spark):
     got = scd.derive_validity(df, ["k"], "s", ["v"], partitions=7)
     want = df.withColumn("valid_to", F.lead("s").over(Window.partitionBy("k").orderBy("s", "v")))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_partitioned_stage_prunes_folders(spark, tmp_path):
+    from starmart.plans import driver as D
+    from starmart.sources.layers import read_layer, write_layer
+    root = str(tmp_path / "lake")
+    staged = D.stage_fact(D.read(spark, "/root/testdata/sf0.001", "lineitem"))
+    write_layer(staged, root, "staging", "lineitem", partition_by=("year", "month"))
+    back = read_layer(spark, root, "staging", "lineitem")
+    assert back.count() == staged.count()
+    one = back.where((F.col("year") == 1995) & (F.col("month") == 3))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(month#" in plan
+    assert one.count() == staged.where((F.col("year") == 1995) & (F.col("month") == 3)).count()
