@@ -21,6 +21,12 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # The planner's size estimate for a Parquet scan is its compressed bytes,
+    # several times below the hashed size in memory, so a fact that is 10 MB
+    # on disk could be chosen as a broadcast build side.  Static broadcast
+    # therefore needs a lower bound; AQE decides from measured shuffle sizes.
+    "spark.sql.autoBroadcastJoinThreshold": "4m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
