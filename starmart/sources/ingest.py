@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Observation, SparkSession
@@ -79,14 +80,23 @@ def ingest_table(spark: SparkSession, csv_path: str, spec: TableSpec, out_path:
 def ingest_all(spark: SparkSession, source_dir: str, specs: Mapping[str, TableSpec],
                files: Mapping[str, str], out_root: str, *, audit_path: str | None = None,
                quarantine_root: str | None = None,
-               multiline: frozenset = frozenset()) -> dict[str, IngestResult]:
-    """Ingest every table; write an audit table replaced on each run (S-07, S-08)."""
-    results = {}
-    for name, spec in specs.items():
-        results[name] = ingest_table(
-            spark, f"{source_dir.rstrip('/')}/{files[name]}", spec, f"{out_root}/{name}",
+               multiline: frozenset = frozenset(), max_parallel: int = 4) -> dict[str, IngestResult]:
+    """Ingest every table; write an audit table replaced on each run (S-07, S-08).
+
+    Tables are independent, so up to ``max_parallel`` of them are submitted as
+    concurrent Spark jobs: small dimension tables then share the executors
+    instead of running one after another.  Each table is still written and
+    swapped in on its own; a failure raises after the running ones finish.
+    """
+    def one(name: str) -> IngestResult:
+        return ingest_table(
+            spark, f"{source_dir.rstrip('/')}/{files[name]}", specs[name], f"{out_root}/{name}",
             multiline=name in multiline,
             quarantine_path=None if quarantine_root is None else f"{quarantine_root}/{name}")
+
+    with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
+        futures = {name: pool.submit(one, name) for name in specs}
+    results = {name: f.result() for name, f in futures.items()}
     if audit_path is not None:
         now = _dt.datetime.now()
         spark.createDataFrame([(now, r.table, r.rows) for r in results.values()], AUDIT_SCHEMA) \
