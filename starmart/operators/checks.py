@@ -5,8 +5,11 @@ A check report has one row per check::
     model, column_name, check_name, failures
 
 All row-level checks of a table (not_null, accepted_values, range) are folded
-into a single aggregate pass; each ``unique`` check is one grouped aggregate
-(partial aggregation first, so a hot value never lands whole in one task);
+into a single aggregate pass.  When the model declares a ``unique`` key, that
+pass is the key's grouped aggregate itself: per-key row counts and per-key
+failure sums are combined in one shuffle (partial aggregation first, so a hot
+value never lands whole in one task), so the model is read or computed once
+for all of them.  Further ``unique`` keys cost one grouped aggregate each;
 each ``relationships`` check is one left-anti join.
 """
 
@@ -87,23 +90,24 @@ def relationship_failures(child: DataFrame, parent: DataFrame, child_key: str |
     return child.where(nonnull).join(p, on=cond, how="left_anti")
 
 
-def _row_checks(df: DataFrame, model: str, spec: CheckSpec) -> DataFrame | None:
-    """not_null, accepted and range checks of one model in one aggregate pass."""
-    exprs, meta = [], []
+def _row_check_exprs(spec: CheckSpec) -> tuple[list[Column], list[tuple[str, str]]]:
+    """Per-row failure indicators (0/1) of the row-level checks, with their labels."""
+    flags, meta = [], []
     for c in spec.not_null:
-        exprs.append(F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)))
+        flags.append(F.col(c).isNull())
         meta.append((c, "not_null"))
     for c, values in spec.accepted.items():
-        bad = F.col(c).isNotNull() & ~F.col(c).isin(list(values))
-        exprs.append(F.sum(F.when(bad, 1).otherwise(0)))
+        flags.append(F.col(c).isNotNull() & ~F.col(c).isin(list(values)))
         meta.append((c, "accepted_values"))
     for c, (lo, hi) in spec.ranges.items():
-        exprs.append(F.sum(F.when(_out_of_range(F.col(c), lo, hi), 1).otherwise(0)))
+        flags.append(_out_of_range(F.col(c), lo, hi))
         meta.append((c, "range"))
-    if not exprs:
-        return None
-    names = [f"c{i}" for i in range(len(exprs))]
-    wide = df.agg(*[F.coalesce(e, F.lit(0)).cast("long").alias(n) for e, n in zip(exprs, names)])
+    return [F.when(f, 1).otherwise(0) for f in flags], meta
+
+
+def _stack(wide: DataFrame, model: str, meta: Sequence[tuple[str, str]],
+           names: Sequence[str]) -> DataFrame:
+    """One wide row of counts -> one report row per check."""
     stacked = F.explode(F.array(*[
         F.struct(F.lit(col).alias("column_name"), F.lit(check).alias("check_name"),
                  F.col(n).alias("failures"))
@@ -112,15 +116,53 @@ def _row_checks(df: DataFrame, model: str, spec: CheckSpec) -> DataFrame | None:
         F.lit(model).alias("model"), "r.column_name", "r.check_name", "r.failures")
 
 
+def _folded_checks(df: DataFrame, model: str, spec: CheckSpec,
+                   key: str | Sequence[str]) -> DataFrame:
+    """Row-level checks and the ``unique`` check of ``key`` in one grouped pass.
+
+    Rows are grouped by the key (NULL keys form their own groups, so every
+    row's row-level checks are counted); the global sums of the per-key sums
+    are the row-check failures, and the keys with all parts non-NULL and more
+    than one row are the unique failures.
+    """
+    cols = [key] if isinstance(key, str) else list(key)
+    flags, meta = _row_check_exprs(spec)
+    names = [f"c{i}" for i in range(len(flags))]
+    per_key = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"),
+                                    *[F.sum(f).alias(n) for f, n in zip(flags, names)])
+    nonnull = F.lit(True)
+    for c in cols:
+        nonnull = nonnull & F.col(c).isNotNull()
+    dup = F.when(nonnull & (F.col("__n") > 1), 1).otherwise(0)
+    wide = per_key.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names],
+                       F.coalesce(F.sum(dup), F.lit(0)).cast("long").alias("__dup"))
+    return _stack(wide, model, [*meta, (_name(key), "unique")], [*names, "__dup"])
+
+
+def _row_checks(df: DataFrame, model: str, spec: CheckSpec) -> DataFrame | None:
+    """not_null, accepted and range checks of one model in one aggregate pass."""
+    flags, meta = _row_check_exprs(spec)
+    if not flags:
+        return None
+    names = [f"c{i}" for i in range(len(flags))]
+    wide = df.agg(*[F.coalesce(F.sum(f), F.lit(0)).cast("long").alias(n)
+                    for f, n in zip(flags, names)])
+    return _stack(wide, model, meta, names)
+
+
 def run_checks(tables: Mapping[str, DataFrame], specs: Mapping[str, CheckSpec]) -> DataFrame:
     """Report of all declared checks of all models (one row per check)."""
     parts = []
     for model, spec in specs.items():
         df = tables[model]
-        rows = _row_checks(df, model, spec)
-        if rows is not None:
-            parts.append(rows)
-        for key in spec.unique:
+        keys = list(spec.unique)
+        if keys:
+            parts.append(_folded_checks(df, model, spec, keys.pop(0)))
+        else:
+            rows = _row_checks(df, model, spec)
+            if rows is not None:
+                parts.append(rows)
+        for key in keys:
             failures = unique_failures(df, key).agg(F.count(F.lit(1)).cast("long").alias("f"))
             parts.append(failures.select(F.lit(model).alias("model"),
                                          F.lit(_name(key)).alias("column_name"),

@@ -20,6 +20,11 @@ SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # An aggregate after a join may reuse the join's partitioning on a prefix
+    # of its keys; AQE would then refuse to split a hot join key (the split
+    # breaks that partitioning).  Forcing the split adds a shuffle only when
+    # a skewed partition is actually found.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # The planner's size estimate for a Parquet scan is its compressed bytes,
     # several times below the hashed size in memory, so a fact that is 10 MB
