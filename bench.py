@@ -43,20 +43,27 @@ def main() -> None:
             n for n in QUERIES if n not in HEADLINE and os.environ.get("BENCH_ALL") == "1")
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus))
     run(QUERIES[names[0]](spark, sf_dir))  # warm-up
-    timings = {}
+    timings, errors = {}, {}
     for name in names:
         t0 = time.perf_counter()
-        run(QUERIES[name](spark, sf_dir))
+        try:
+            run(QUERIES[name](spark, sf_dir))
+        except Exception as e:  # report the failure, keep timing the others
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            continue
         timings[name] = round(time.perf_counter() - t0, 3)
     spark.stop()
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({
+    out = {
         "metric": "total_query_seconds",
         "value": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
         "sf": float(m.group(1)) if m else sf_dir,
-    }))
+    }
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
