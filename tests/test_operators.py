@@ -236,3 +236,36 @@ def test_partitioned_stage_prunes_folders(spark, tmp_path):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "(month#" in plan
     assert one.count() == staged.where((F.col("year") == 1995) & (F.col("month") == 3)).count()
+
+
+def test_weekly_stream_append_drops_late_rows_and_emits_once(spark, tmp_path):
+    from starmart.specs import DRIVER_SCHEMAS
+    from starmart.streaming.weekly import run_weekly_stream
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    src, out, ckpt = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    split = F.lit("2024-01-22").cast("timestamp_ntz")
+
+    def drain():
+        run_weekly_stream(spark, src, DRIVER_SCHEMAS["events"], "ts", ["event_type"], "value",
+                          out, checkpoint=ckpt, mode="append")
+
+    ev.where(F.col("ts") < split).coalesce(1).write.parquet(src)
+    drain()
+    # Second file: the rest of the month plus copies of week-one rows that
+    # arrive after the watermark (max event time - 7 days) has passed them.
+    late = ev.where(F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz")) \
+        .withColumn("value", F.col("value") + F.lit(1000.0))
+    ev.where(F.col("ts") >= split).unionByName(late).coalesce(1) \
+        .write.mode("append").parquet(src)
+    drain()
+
+    got = spark.read.parquet(out)
+    assert got.groupBy("week_start", "event_type").count().where("count > 1").count() == 0
+    on_time = ev.groupBy(F.date_trunc("week", "ts").cast("date").alias("week_start"),
+                         "event_type").agg(F.count(F.lit(1)).alias("n_rows"))
+    emitted = sorted((r.week_start, r.event_type, r.n_rows)
+                     for r in got.select("week_start", "event_type", "n_rows").collect())
+    want = {(r.week_start, r.event_type): r.n_rows for r in on_time.collect()}
+    assert emitted and all(want[(w, e)] == n for w, e, n in emitted)
+    assert {w for w, _, _ in emitted} >= {dt.date(2024, 1, 1), dt.date(2024, 1, 8)}
+    assert got.where(F.col("avg_value") > 500).count() == 0  # late copies never counted
