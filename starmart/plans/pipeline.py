@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import logging
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,13 +72,23 @@ def declared_checks() -> dict[str, CheckSpec]:
     return {m: CheckSpec(unique=u, not_null=n) for m, (u, n) in MODEL_TESTS.items()}
 
 
+def _concurrently(jobs, parallel: int) -> None:
+    """Run independent write jobs as concurrent Spark jobs; re-raise the first error."""
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = [pool.submit(fn, *args) for fn, *args in jobs]
+    for f in futures:
+        f.result()
+
+
 def run(spark: SparkSession, source_dir: str, out_root: str, *, as_of=None,
         skip_checks: bool = False, stages=STAGES,
-        partition_fact_by: tuple = ()) -> RunResult:
+        partition_fact_by: tuple = (), parallel: int = 4) -> RunResult:
     """Run the selected stages in order; the first failure raises.
 
     ``partition_fact_by`` (e.g. ``("year", "month")``) writes the mart fact
     in Hive-style folders so date filters prune whole partitions.
+    ``parallel`` independent tables (ingest, metrics, promotions) are written
+    as concurrent Spark jobs, like the reference's four model threads.
     """
     res = RunResult()
 
@@ -98,7 +109,7 @@ def run(spark: SparkSession, source_dir: str, out_root: str, *, as_of=None,
     if "ingest" in stages:
         res.ingest = timed("ingest", lambda: ingest_all(
             spark, source_dir, HEALTH_SPECS, HEALTH_FILES, f"{out_root}/raw",
-            audit_path=f"{out_root}/audit/ingest_log"))
+            audit_path=f"{out_root}/audit/ingest_log", max_parallel=parallel))
         res.row_report = rows_report(spark, {n: r.rows for n, r in res.ingest.items()},
                                      HEALTH_SPECS)
         enforce(res.row_report)
@@ -110,8 +121,8 @@ def run(spark: SparkSession, source_dir: str, out_root: str, *, as_of=None,
             write_layer(models["dim_student_transformed"], out_root, "marts",
                         "dim_student_transformed")
             fact = read_layer(spark, out_root, "marts", "fact_health_transformed")
-            for name, fn in M.METRICS.items():
-                write_layer(fn(fact), out_root, "metrics", name)
+            _concurrently([(write_layer, fn(fact), out_root, "metrics", name)
+                           for name, fn in M.METRICS.items()], parallel)
         timed("models", materialise)
     if "checks" in stages:
         fact = read_layer(spark, out_root, "marts", "fact_health_transformed")
@@ -131,14 +142,19 @@ def run(spark: SparkSession, source_dir: str, out_root: str, *, as_of=None,
         if not skip_checks:
             gate(report)
     if "promote" in stages:
+        def promote_one(df, path, batchsize):
+            promote(df, path=path, batchsize=batchsize)
+
         def publish():
+            jobs = []
             for layer, names in (("marts", ("fact_health_transformed",
                                             "dim_student_transformed")),
                                  ("metrics", tuple(M.METRICS))):
                 for name in names:
-                    promote(read_layer(spark, out_root, layer, name),
-                            path=layer_path(out_root, "serving", name),
-                            batchsize=2000 if layer == "marts" else 1000)
+                    jobs.append((promote_one, read_layer(spark, out_root, layer, name),
+                                 layer_path(out_root, "serving", name),
+                                 2000 if layer == "marts" else 1000))
                     res.published.append(name)
+            _concurrently(jobs, parallel)
         timed("promote", publish)
     return res
