@@ -36,11 +36,22 @@ def record_columns(key_cols: Sequence[str]):
 
 def list_students(fact: DataFrame, *, health_condition=None, gender=None, bmi_class=None,
                   diet_type=None, limit: int = DEFAULT_LIMIT, offset: int = 0,
-                  key_cols: Sequence[str] = ("fact_id",), after=None) -> DataFrame:
-    """V-01: filtered page of records ordered by the fact key."""
+                  key_cols: Sequence[str] = ("fact_id",), after=None,
+                  tie_break: bool = False) -> DataFrame:
+    """V-01: filtered page of records ordered by the fact key.
+
+    A page needs a total order.  ``tie_break`` extends the order by every
+    other record column, for keys that are not unique; rows equal in all
+    columns are identical, so the page is then fully determined.  Keyset
+    paging (``after``) takes values for ``key_cols`` only.
+    """
     f = apply_filters(fact, {"health_condition": health_condition, "gender": gender,
                              "bmi_class": bmi_class, "diet_type": diet_type})
-    return page(f.select(*record_columns(key_cols)), list(key_cols), limit, offset, after)
+    records = f.select(*record_columns(key_cols))
+    order = list(key_cols)
+    if tie_break and after is None:
+        order += [c for c in records.columns if c not in key_cols]
+    return page(records, order, limit, offset, after)
 
 
 def get_student(fact: DataFrame, key: Mapping[str, object] | int,
