@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import logging
 import time
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starmart.operators.checks import CheckSpec, gate, run_checks
 from starmart.plans import models as M
 from starmart.plans.serving import promote
+from starmart.session import run_concurrently
 from starmart.sources.contract import contract_all, csv_contract, enforce, rows_report
 from starmart.sources.ingest import ingest_all
 from starmart.sources.layers import layer_path, read_layer, write_layer
@@ -72,14 +72,6 @@ def declared_checks() -> dict[str, CheckSpec]:
     return {m: CheckSpec(unique=u, not_null=n) for m, (u, n) in MODEL_TESTS.items()}
 
 
-def _concurrently(jobs, parallel: int) -> None:
-    """Run independent write jobs as concurrent Spark jobs; re-raise the first error."""
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        futures = [pool.submit(fn, *args) for fn, *args in jobs]
-    for f in futures:
-        f.result()
-
-
 def run(spark: SparkSession, source_dir: str, out_root: str, *, as_of=None,
         skip_checks: bool = False, stages=STAGES,
         partition_fact_by: tuple = (), parallel: int = 4) -> RunResult:
@@ -121,7 +113,7 @@ def run(spark: SparkSession, source_dir: str, out_root: str, *, as_of=None,
             write_layer(models["dim_student_transformed"], out_root, "marts",
                         "dim_student_transformed")
             fact = read_layer(spark, out_root, "marts", "fact_health_transformed")
-            _concurrently([(write_layer, fn(fact), out_root, "metrics", name)
+            run_concurrently([(write_layer, fn(fact), out_root, "metrics", name)
                            for name, fn in M.METRICS.items()], parallel)
         timed("models", materialise)
     if "checks" in stages:
@@ -155,6 +147,6 @@ def run(spark: SparkSession, source_dir: str, out_root: str, *, as_of=None,
                                  layer_path(out_root, "serving", name),
                                  2000 if layer == "marts" else 1000))
                     res.published.append(name)
-            _concurrently(jobs, parallel)
+            run_concurrently(jobs, parallel)
         timed("promote", publish)
     return res

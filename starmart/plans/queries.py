@@ -244,21 +244,18 @@ def ingest_tables(spark, sf):
     NULL-key and cast-failure counts come from the ingest pass itself.  The
     result compares the audit with a recount of the written Parquet.
     """
-    from starmart.session import scratch_path
+    from starmart.session import run_concurrently, scratch_path
     from starmart.sources.csv import write_csv_extract
     from starmart.sources.ingest import ingest_all
     from starmart.specs import TableSpec
-    from concurrent.futures import ThreadPoolExecutor
     root = scratch_path(spark, "ingest")
     specs = {}
     for t in INGEST_TABLES:
         fields = DRIVER_SCHEMAS[t].fields
         specs[t] = TableSpec(t, tuple((f.name, f.dataType) for f in fields),
                              required=(fields[0].name,), key=fields[0].name)
-    with ThreadPoolExecutor(max_workers=4) as pool:  # independent export jobs
-        for f in [pool.submit(write_csv_extract, D.read(spark, sf, t), f"{root}/csv/{t}")
-                  for t in INGEST_TABLES]:
-            f.result()
+    run_concurrently([(write_csv_extract, D.read(spark, sf, t), f"{root}/csv/{t}")
+                      for t in INGEST_TABLES])
     res = ingest_all(spark, f"{root}/csv", specs, {t: t for t in INGEST_TABLES},
                      f"{root}/raw", audit_path=f"{root}/audit")
     # One row per table: bounded, built from the ingest pass's observed metrics.

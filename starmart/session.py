@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -106,3 +108,15 @@ def file_size(spark: SparkSession, path: str) -> int:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return int(fs.getContentSummary(hpath).getLength())
+
+
+def run_concurrently(jobs: Sequence[tuple[Callable, ...]], parallel: int = 4) -> list:
+    """Submit independent Spark jobs from up to ``parallel`` threads.
+
+    ``jobs`` holds ``(function, *args)`` tuples; results come back in order.
+    Every job runs to its end before the first error is re-raised, so no
+    write is left half-submitted.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = [pool.submit(fn, *args) for fn, *args in jobs]
+    return [f.result() for f in futures]

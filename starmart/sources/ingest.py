@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Observation, SparkSession
@@ -21,6 +20,7 @@ from starmart.operators.profile import duplicate_count
 from starmart.sources.csv import coerce, read_csv_raw, split_quarantine
 from starmart.sources.csv import cast_failure_metrics
 from starmart.sources.layers import replace_parquet
+from starmart.session import run_concurrently
 from starmart.specs import TableSpec
 
 
@@ -94,9 +94,8 @@ def ingest_all(spark: SparkSession, source_dir: str, specs: Mapping[str, TableSp
             multiline=name in multiline,
             quarantine_path=None if quarantine_root is None else f"{quarantine_root}/{name}")
 
-    with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
-        futures = {name: pool.submit(one, name) for name in specs}
-    results = {name: f.result() for name, f in futures.items()}
+    names = list(specs)
+    results = dict(zip(names, run_concurrently([(one, n) for n in names], max_parallel)))
     if audit_path is not None:
         now = _dt.datetime.now()
         spark.createDataFrame([(now, r.table, r.rows) for r in results.values()], AUDIT_SCHEMA) \
