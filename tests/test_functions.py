@@ -138,3 +138,24 @@ def test_exact_average_is_order_independent(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(7)
     assert df.select(ravg("v", 2)).first()[0] == 0.06
     assert df.select(exact_avg("v")).first()[0] == pytest.approx(0.055)
+
+
+def test_r13_greatest_least_skip_null(spark):
+    import duckdb
+    df = spark.createDataFrame([(None, 3.0), (5.0, None), (None, None)], "a double, b double")
+    got = [tuple(r) for r in df.select(F.greatest("a", "b"), F.least("a", "b")).collect()]
+    want = duckdb.sql("SELECT greatest(a, b), least(a, b) FROM (VALUES (NULL, 3.0), "
+                      "(5.0, NULL), (NULL::DOUBLE, NULL::DOUBLE)) t(a, b)").fetchall()
+    assert got == [(3.0, 3.0), (5.0, 5.0), (None, None)] == [tuple(r) for r in want]
+
+
+def test_r15_nan_is_largest_in_bands_and_flags(spark):
+    import duckdb
+    nan = float("nan")
+    bands = one_col(spark, [nan], "double", lambda c: band(c, feat.BMI_BANDS, feat.BMI_ELSE))
+    flags = one_col(spark, [nan], "double", lambda c: flag_ge(c, 7.0))
+    want = duckdb.sql("SELECT CASE WHEN v < 18.5 THEN 'Underweight' WHEN v < 25 THEN 'Normal' "
+                      "WHEN v < 30 THEN 'Overweight' ELSE 'Obese' END, "
+                      "CASE WHEN v >= 7.0 THEN TRUE ELSE FALSE END "
+                      "FROM (SELECT 'NaN'::DOUBLE AS v)").fetchone()
+    assert (bands[0], flags[0]) == ("Obese", True) == tuple(want)
