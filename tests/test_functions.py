@@ -157,5 +157,5 @@ def test_r15_nan_is_largest_in_bands_and_flags(spark):
     want = duckdb.sql("SELECT CASE WHEN v < 18.5 THEN 'Underweight' WHEN v < 25 THEN 'Normal' "
                       "WHEN v < 30 THEN 'Overweight' ELSE 'Obese' END, "
                       "CASE WHEN v >= 7.0 THEN TRUE ELSE FALSE END "
-                      "FROM (SELECT 'NaN'::DOUBLE AS v)").fetchone()
-    assert (bands[0], flags[0]) == ("Obese", True) == tuple(want)
+                      "FROM (SELECT 'NaN'::DOUBLE AS v)").fetchall()
+    assert (bands[0], flags[0]) == ("Obese", True) == tuple(want[0])
