@@ -66,3 +66,12 @@ def test_page_boundary_between_rows_sharing_a_key(spark, duck):
         want, cols = cur.fetchall(), [d[0] for d in cur.description]
         assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want], (offset, limit)
         assert got.columns == cols
+
+
+def test_point_lookup_reaches_both_scans(spark):
+    """F-04: the key filter is pushed into the fact scan and, inferred through the join,
+    into the orders scan, so a lookup reads only matching row groups."""
+    df = E.queries()["get_record"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(l_orderkey,7)" in plan
+    assert "EqualTo(o_orderkey,7)" in plan
