@@ -101,18 +101,26 @@ def star_join(fact: DataFrame, dims: Sequence[Dim], how: str = "inner") -> DataF
 def hot_keys(df: DataFrame, keys: Sequence[str], fraction: float) -> list[tuple]:
     """Key values holding at least ``fraction`` of the rows of ``df``.
 
-    There can be at most ``1 / fraction`` such values, so bringing them to
-    the driver is bounded by construction.  Counting per key aggregates map
-    side first, so the hot keys themselves are cheap to count.
+    At most ``1 / fraction`` values can qualify, so only that many candidates
+    (the most frequent keys) and the total row count reach the driver, both
+    from one job: per-key counts are aggregated map side first, and the
+    candidates and the total read the same shuffle (Spark reuses the
+    identical exchange within one plan), so ``df`` is computed once.
     """
     if not 0 < fraction <= 1:
         raise ValueError("fraction must be in (0, 1]")
-    total = df.count()
-    threshold = max(1, int(total * fraction))
-    limit = int(1 / fraction) + 1
-    counts = df.where(_all_not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    rows = counts.where(F.col("__n") >= threshold).select(*keys).limit(limit).collect()
-    return [tuple(r) for r in rows]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    top = (counts.where(_all_not_null(keys)).orderBy(F.desc("__n"))
+           .limit(int(1 / fraction) + 1)
+           .select(F.lit(False).alias("__total"), "__n", *keys))
+    total = counts.agg(F.sum("__n").alias("__n")).select(
+        F.lit(True).alias("__total"), "__n",
+        *[F.lit(None).cast(counts.schema[k].dataType).alias(k) for k in keys])
+    rows = top.unionByName(total).collect()
+    n_rows = next((r["__n"] for r in rows if r["__total"]), None) or 0
+    threshold = max(1, int(n_rows * fraction))
+    return [tuple(r[k] for k in keys) for r in rows
+            if not r["__total"] and r["__n"] >= threshold]
 
 
 def _all_not_null(keys):
