@@ -149,6 +149,8 @@ def salted_join(fact: DataFrame, dim: DataFrame, fact_key: Sequence[str],
         return star_join(fact, [plain], how)
 
     def is_hot(cols):
+        if len(cols) == 1:  # one key column: a set lookup (InSet) instead of an OR chain
+            return F.col(cols[0]).isin([v[0] for v in hot])
         cond = None
         for values in hot:
             row = None
