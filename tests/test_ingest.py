@@ -90,3 +90,18 @@ def test_contract_reports_missing_columns_and_files(spark, tmp_path):
         enforce(csv_contract(spark, empty, spec))
     with pytest.raises(ContractError):
         enforce(csv_contract(spark, str(tmp_path / "missing.csv"), spec))
+
+
+def test_concurrent_ingest_finishes_other_tables_then_raises(spark, tmp_path):
+    from starmart.sources.ingest import ingest_all
+    write(tmp_path, "a.csv", "k,v\n1,x\n2,y\n")
+    write(tmp_path, "b.csv", "k,v\n3,z\n")
+    spec = lambda n: TableSpec(n, (("k", T.LongType()), ("v", T.StringType())))
+    specs = {"a": spec("a"), "missing": spec("missing"), "b": spec("b")}
+    files = {"a": "a.csv", "missing": "nope.csv", "b": "b.csv"}
+    out = str(tmp_path / "raw")
+    with pytest.raises(Exception):
+        ingest_all(spark, str(tmp_path), specs, files, out, max_parallel=3)
+    # The independent tables were still ingested completely.
+    assert rows(spark.read.parquet(f"{out}/a"), "k", "v") == [(1, "x"), (2, "y")]
+    assert rows(spark.read.parquet(f"{out}/b"), "k", "v") == [(3, "z")]
