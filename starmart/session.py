@@ -21,6 +21,10 @@ from pyspark.sql import SparkSession
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Coalesce shuffle output to the advisory size rather than to as many
+    # tasks as there are cores: on a large shared cluster that means fewer,
+    # fuller tasks (no measurable change at test size).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # An aggregate after a join may reuse the join's partitioning on a prefix
     # of its keys; AQE would then refuse to split a hot join key (the split
