@@ -20,15 +20,16 @@ _PARTS = r"^\s*(\d{1,6})[-/](\d{1,2})[-/](\d{1,2})"
 def try_date(c) -> Column:
     """TRY_CAST(text AS DATE) with the lenient-but-strict rules of the marts.
 
-    Invalid calendar days (2020-02-30) give NULL; short years are zero padded
-    (20-01-05 -> 0020-01-05).
+    Invalid calendar days (2020-02-30) give NULL; the year is read as a number
+    of up to six digits (20-01-05 -> year 20, 00001-01-01 -> year 1,
+    12345-01-02 -> year 12345).  The date is built from its integer parts,
+    and only for a month in 1..12 and a day within that month.
     """
     v = as_col(c).cast("string")
-    year = F.lpad(F.regexp_extract(v, _PARTS, 1), 4, "0")
-    month = F.lpad(F.regexp_extract(v, _PARTS, 2), 2, "0")
-    day = F.lpad(F.regexp_extract(v, _PARTS, 3), 2, "0")
-    text = F.concat_ws("-", year, month, day)
-    return F.when(v.rlike(_FULL), F.try_to_date(text, "yyyy-MM-dd"))
+    y, m, d = (F.regexp_extract(v, _PARTS, i).try_cast("int") for i in (1, 2, 3))
+    days_in_month = F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1))))
+    return F.when(v.rlike(_FULL) & m.between(1, 12),
+                  F.when(d.between(F.lit(1), days_in_month), F.make_date(y, m, d)))
 
 
 def to_date(c) -> Column:

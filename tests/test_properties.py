@@ -65,7 +65,8 @@ def test_int_cast_equals_sql_cast(spark, values):
 
 date_text = st.builds(
     lambda y, s1, m, s2, d, tail: f"{y}{s1}{m}{s2}{d}{tail}",
-    st.integers(0, 9999).map(str) | st.integers(0, 99).map(lambda v: f"{v:02d}"),
+    st.integers(0, 9999).map(str) | st.integers(0, 99).map(lambda v: f"{v:02d}")
+    | st.integers(0, 999999).map(lambda v: f"{v:05d}") | st.integers(10000, 999999).map(str),
     st.sampled_from(["-", "/"]), st.integers(0, 13).map(str) | st.just("02"),
     st.sampled_from(["-", "/"]), st.integers(0, 32).map(str) | st.just("07"),
     st.sampled_from(["", " ", " 10:00:00", "T08:30", " 25:00", "x", "  "]))
