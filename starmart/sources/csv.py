@@ -74,10 +74,15 @@ _JAVA_SUFFIX = r"(?i)[0-9.][df]\s*$"
 
 
 def to_double(c) -> Column:
-    """Lenient text -> double: ' 7 ' -> 7.0, '1e3' -> 1000.0, 'abc' -> NULL."""
+    """Lenient text -> double: ' 7 ' -> 7.0, '1e3' -> 1000.0, 'abc' -> NULL.
+
+    A number too large for a double ('1e400') is NULL, as in the reference's
+    parser; only a spelled-out infinity ('inf', '-Infinity') stays infinite.
+    """
     v = as_col(c)
     d = v.try_cast("double")
-    return F.when(~v.rlike(_JAVA_SUFFIX), F.nanvl(d, F.lit(None).cast("double")))
+    overflow = (F.abs(d) == F.lit(float("inf"))) & ~v.rlike(r"(?i)inf")
+    return F.when(~v.rlike(_JAVA_SUFFIX) & ~overflow, F.nanvl(d, F.lit(None).cast("double")))
 
 
 def to_whole(c, target: str = "long") -> Column:

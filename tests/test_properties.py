@@ -152,3 +152,20 @@ def test_no_raw_pii_value_in_the_marts(spark):
         for c in strings:
             hits = df.select(F.col(c).alias("v")).join(names, "v", "left_semi")
             assert hits.count() == 0, c
+
+
+# R23: lenient numbers at ingest behave like the reference's pandas coercion.
+numeric_text = st.text(alphabet=list("0123456789.eE+- dfx_"), min_size=1, max_size=8) | \
+    st.sampled_from(["inf", "-Infinity", "nan", "1e400", "-1e309", "1e-400", " 7 ", "+5", ".5",
+                     "5.", "1_000", "0x1A", "5d", "1f", "True"])
+
+
+@PROPS
+@given(st.lists(numeric_text, min_size=1, max_size=40))
+def test_lenient_double_equals_pandas_coercion(spark, values):
+    import pandas as pd
+    from starmart.sources.csv import to_double
+    got = spark_values(spark, values, "string", to_double)
+    coerced = pd.to_numeric(pd.Series(values, dtype=object), errors="coerce").astype("float64")
+    want = [None if math.isnan(w) else w for w in coerced]
+    assert got == want
