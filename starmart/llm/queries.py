@@ -8,10 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import token_counts, word_encoding
+from starmart.llm import fingerprints, packing, token_counts, word_encoding
 from starmart.llm.common import table
 
 TOKEN_LIMIT = 4096
+SEQUENCE_TOKENS = 2048
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenised and packed into sequences."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), path, SEQUENCE_TOKENS)
+    pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(pieces, SEQUENCE_TOKENS)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,9 +41,16 @@ def op9_word_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document beside those of its edited text and its neighbour."""
+    return fingerprints.with_neighbours(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op7_token_counts": op7_token_counts,
     "op9_word_encoding": op9_word_encoding,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
