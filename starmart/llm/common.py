@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,11 @@ SLICE_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table.  Python workers started elsewhere also look for this package beside it."""
+    here = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if here not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [here, known]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -52,6 +59,19 @@ def map_slices(df: DataFrame, fn: Callable, schema: T.StructType) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def filter_texts(df: DataFrame, keep: Callable, text_col: str = "text") -> DataFrame:
+    """The rows that ``keep`` (a list of texts to a list of booleans) accepts, unchanged."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
+                yield part.filter(pa.array(keep(texts), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 class WordCache(dict):
     """A dict that starts anew once it holds ``limit`` entries; only a speed-up."""
 
@@ -69,3 +89,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def hash_sample(df: DataFrame, rows: int, id_col: str = "doc_id") -> DataFrame:
+    """About ``rows`` rows (all, if there are fewer), chosen by a hash of the id.
+
+    Only for fitting models.  The choice is the same at every run.
+    """
+    n = df.count()
+    if n <= rows:
+        return df
+    scale = 1 << 30
+    return df.where(F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(scale)) < int(scale * rows / n))

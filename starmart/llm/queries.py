@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import fingerprints, packing, token_counts, word_encoding
+from starmart.llm import fingerprints, language, packing, quality, token_counts, word_encoding
 from starmart.llm.common import table
 
 TOKEN_LIMIT = 4096
@@ -23,12 +23,22 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, SEQUENCE_TOKENS)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every document."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document and whether they exceed the limit."""
     path = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path, TOKEN_LIMIT)
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_word_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text decoded from them."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -48,7 +58,9 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_quality": op4_quality,
     "op7_token_counts": op7_token_counts,
+    "op8_language": op8_language,
     "op9_word_encoding": op9_word_encoding,
     "op10_fingerprints": op10_fingerprints,
 }
