@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import fingerprints, language, packing, quality, token_counts, word_encoding
+from starmart.llm import fingerprints, language, minhash, oracle, packing, quality, token_counts, word_encoding
 from starmart.llm.common import table
 
 TOKEN_LIMIT = 4096
 SEQUENCE_TOKENS = 2048
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on two-word shingles."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, tokenised and packed into sequences."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,6 +62,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash": op2_minhash,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality": op4_quality,
     "op7_token_counts": op7_token_counts,
@@ -66,4 +72,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_minhash": oracle.OP2}
