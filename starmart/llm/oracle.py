@@ -28,3 +28,24 @@ reach(doc_id, other) AS (
 SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sizes JOIN smallest USING (doc_id)
 """
+
+OP5 = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
+    sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))) AS norm
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), usable AS (SELECT * FROM vectors WHERE norm > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y
+  FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.93
+), counts AS (SELECT x, count(*) AS n FROM links GROUP BY x),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT reach.vec_id, links.y FROM reach JOIN links ON links.x = reach.other
+), smallest AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN smallest USING (vec_id) LEFT JOIN counts ON counts.x = e.vec_id
+"""

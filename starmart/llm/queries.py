@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import fingerprints, language, minhash, oracle, packing, quality, token_counts, word_encoding
+from starmart.llm import embeddings, fingerprints, language, minhash, oracle, packing, quality, token_counts, word_encoding
 from starmart.llm.common import table
 
 TOKEN_LIMIT = 4096
@@ -33,6 +33,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all vectors."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document and whether they exceed the limit."""
     path = public_tokenizers.path("piece_bpe_32k.model")
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality": op4_quality,
+    "op5_embeddings": op5_embeddings,
     "op7_token_counts": op7_token_counts,
     "op8_language": op8_language,
     "op9_word_encoding": op9_word_encoding,
@@ -72,4 +78,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE: dict[str, str] = {"op2_minhash": oracle.OP2}
+ORACLE: dict[str, str] = {"op2_minhash": oracle.OP2, "op5_embeddings": oracle.OP5}
