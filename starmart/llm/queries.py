@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import embeddings, fingerprints, language, minhash, oracle, packing, quality, token_counts, word_encoding
+from starmart.llm import embeddings, fingerprints, language, minhash, oracle, packing, pii, quality, token_counts, word_encoding
 from starmart.llm.common import table
 
 TOKEN_LIMIT = 4096
@@ -38,6 +38,11 @@ def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document and whether they exceed the limit."""
     path = public_tokenizers.path("piece_bpe_32k.model")
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality": op4_quality,
     "op5_embeddings": op5_embeddings,
+    "op6_pii": op6_pii,
     "op7_token_counts": op7_token_counts,
     "op8_language": op8_language,
     "op9_word_encoding": op9_word_encoding,
