@@ -49,3 +49,71 @@ reach(vec_id, other) AS (
 SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
 FROM embeddings e JOIN smallest USING (vec_id) LEFT JOIN counts ON counts.x = e.vec_id
 """
+
+#: The statements of the licence scan, spelt out for the SQL.
+STATEMENTS = """
+  (1, 'Apache-2.0', 'Licensed under the Apache License, Version 2.0.'),
+  (2, 'Apache-2.0', 'Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.'),
+  (3, 'BSD-2-Clause', 'Released under the BSD 2-Clause License.'),
+  (4, 'BSD-3-Clause', 'Released under the BSD 3-Clause License.'),
+  (5, 'CC-BY-4.0', 'Licensed under CC BY 4.0.'),
+  (6, 'CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0.'),
+  (7, 'CC-BY-SA-4.0', 'Licensed under CC BY-SA 4.0.'),
+  (8, 'CC0-1.0', 'To the extent possible under law, the author has waived all copyright and related rights to this work under CC0 1.0.'),
+  (9, 'GPL-2.0', 'This work is licensed under the GNU General Public License, version 2.'),
+  (10, 'GPL-3.0', 'This work is licensed under the GNU General Public License, version 3.'),
+  (11, 'LGPL-3.0', 'This work is licensed under the GNU Lesser General Public License, version 3.'),
+  (12, 'MIT', 'Released under the MIT License.'),
+  (13, 'MIT', 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.'),
+  (14, 'MPL-2.0', 'This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.')
+"""
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TOKENS = "regexp_extract_all(" + _LOWER + ", '[a-z0-9]+(?:[.+-][a-z0-9]+)*')"
+
+
+def op1(threshold: float) -> str:
+    """Every line of every document against every statement, without a prefilter."""
+    return f"""
+WITH statements(id, licence, line) AS (VALUES {STATEMENTS}),
+parts AS (SELECT id, licence, unnest({_TOKENS.format("line")}) AS token FROM statements),
+template_tf AS (SELECT id, licence, token, count(*) AS tf FROM parts GROUP BY ALL),
+seen AS (SELECT doc_id, unnest(list_distinct({_TOKENS.format("text")})) AS token FROM documents),
+df AS (SELECT token, count(*) AS n FROM seen WHERE token IN (SELECT token FROM parts) GROUP BY token),
+total AS (SELECT count(*) AS n FROM documents),
+idf AS (
+  SELECT DISTINCT token, ln((1 + total.n) / (1 + coalesce(df.n, 0))) + 1 AS idf
+  FROM parts LEFT JOIN df USING (token), total
+), template AS (SELECT id, licence, token, tf * idf AS w FROM template_tf JOIN idf USING (token)),
+template_norm AS (SELECT id, sqrt(sum(w * w)) AS norm FROM template GROUP BY id),
+lines AS (SELECT DISTINCT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+line_tokens AS (SELECT line, unnest({_TOKENS.format("line")}) AS token FROM (SELECT DISTINCT line FROM lines)),
+line_tf AS (SELECT line, token, count(*) AS tf FROM line_tokens GROUP BY ALL),
+line_w AS (
+  SELECT line, token, tf * coalesce(idf, ln(1 + total.n) + 1) AS w
+  FROM line_tf LEFT JOIN idf USING (token), total
+), line_norm AS (SELECT line, sqrt(sum(w * w)) AS norm FROM line_w GROUP BY line),
+cosine AS (
+  SELECT l.line, t.id, t.licence, sum(l.w * t.w) / (any_value(ln.norm) * any_value(tn.norm)) AS c
+  FROM line_w l JOIN template t USING (token) JOIN line_norm ln ON ln.line = l.line
+  JOIN template_norm tn ON tn.id = t.id GROUP BY ALL
+), own AS (
+  SELECT doc_id, max({{'similarity': round(c, 6), 'licence': licence}}) AS best
+  FROM lines JOIN cosine USING (line) WHERE c >= {threshold} GROUP BY doc_id
+), placed AS (
+  SELECT d.doc_id, concat_ws('/', source, array_to_string(string_split(CAST(d.doc_id // 10 AS VARCHAR), ''), '/')) AS dir,
+    own.best.licence AS licence, own.best.similarity AS similarity
+  FROM documents d LEFT JOIN own ON own.doc_id = d.doc_id
+), declared AS (
+  SELECT dir AS above, min({{'less': -similarity, 'licence': licence, 'path': dir || '/' || CAST(doc_id AS VARCHAR)}}).licence AS held
+  FROM placed WHERE licence IS NOT NULL GROUP BY dir
+), nearest AS (
+  SELECT p.doc_id, max_by(declared.above, length(declared.above)) AS above, max_by(held, length(declared.above)) AS held
+  FROM placed p JOIN declared ON p.dir = declared.above OR starts_with(p.dir, declared.above || '/')
+  WHERE p.licence IS NULL GROUP BY p.doc_id
+)
+SELECT p.doc_id, p.dir || '/' || CAST(p.doc_id AS VARCHAR) AS path, coalesce(p.licence, held) AS licence, similarity,
+  CASE WHEN p.licence IS NOT NULL THEN 'own' WHEN held IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+  CASE WHEN p.licence IS NULL THEN above END AS directory
+FROM placed p LEFT JOIN nearest USING (doc_id)
+"""

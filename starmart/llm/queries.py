@@ -8,13 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import embeddings, fingerprints, language, minhash, oracle, packing, pii, quality, token_counts, word_encoding
+from starmart.llm import embeddings, fingerprints, language, license_scan, minhash, oracle, packing, pii, quality, token_counts, word_encoding
 from starmart.llm.common import table
 
 TOKEN_LIMIT = 4096
 SEQUENCE_TOKENS = 2048
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents, placed in a tree: source, then the digits of doc_id div 10."""
+    docs = table(spark, sf_dir, "documents")
+    digits = F.array_join(F.split(F.floor(F.col("doc_id") / 10).cast("string"), ""), "/")
+    path = F.concat_ws("/", "source", digits, F.col("doc_id").cast("string"))
+    return license_scan.scan(docs.withColumn("path", path), "doc_id", "path")
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents on two-word shingles."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
@@ -72,6 +80,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_minhash": op2_minhash,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality": op4_quality,
@@ -84,4 +93,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE: dict[str, str] = {"op2_minhash": oracle.OP2, "op5_embeddings": oracle.OP5}
+ORACLE: dict[str, str] = {
+    "op1_license_scan": oracle.op1(license_scan.THRESHOLD),
+    "op2_minhash": oracle.OP2,
+    "op5_embeddings": oracle.OP5,
+}
