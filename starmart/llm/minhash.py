@@ -193,3 +193,18 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     found = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
     out = own.select("doc_id", "n_shingles", found)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with only the smallest id of each component, and one row of a repeated id.
+
+    Rows with a null id can't be told apart and stay.
+    """
+    found = near_duplicates(docs, words, percent).checkpoint()
+    dropped = found.where(F.col("component_id").isNotNull() & ~F.col("kept")).select("doc_id").distinct()
+    left = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    repeated = found.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc_id")
+    if repeated.isEmpty():
+        return left
+    single = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.join(repeated, "doc_id", "left_anti").unionByName(single)
