@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from starmart.functions.util import as_col
 
@@ -51,22 +50,44 @@ def rate(cond, digits: int = 2) -> Column:
     return pct(count_if(cond), F.count(F.lit(1)), digits)
 
 
-# Scale of the exact sum behind averages.  Values are summed as DECIMAL so the
-# total does not depend on the order in which partitions are combined.
-EXACT_SCALE = 9
+# Decimal places that sums behind averages keep exactly (a parameter of the
+# functions below); the column functions of the metrics have at most two.
+EXACT_SCALE = 4
+# Largest value scaled to a whole number that a double holds exactly.
+_WHOLE = 2.0 ** 53
 
 
-def exact_avg(c) -> Column:
-    """AVG as (exact DECIMAL sum) / count, returned as DOUBLE.
+def sum_parts(c, prefix: str, scale: int = EXACT_SCALE) -> list[Column]:
+    """Partial sums behind ``sum_value``: exact, plain, values, exact values.
 
-    A floating-point sum depends on the order of the rows, and an average
-    that sits on a rounding tie (0.055 -> 0.05 or 0.06) then flips between
-    runs and engines.  The decimal sum is exact, so the result is the same
-    however the data is partitioned.
+    A value that is a whole number of 10**-scale is added as a bigint, whose
+    sum does not depend on the order of the rows; the plain sum covers what
+    is not (more places, very large values, infinities, NaN).
     """
-    v = as_col(c)
-    total = F.sum(v.cast(DecimalType(38, EXACT_SCALE))).cast("double")
-    return total / F.count(v).cast("double")
+    v = as_col(c).cast("double")
+    whole = F.rint(v * F.lit(10.0 ** scale))
+    fits = (F.abs(whole) < F.lit(_WHOLE)) & (whole / F.lit(10.0 ** scale) == v)
+    exact = F.when(fits, whole.cast("long"))
+    return [F.try_sum(exact).alias(f"{prefix}_exact"), F.sum(v).alias(f"{prefix}_plain"),
+            F.count(v).alias(f"{prefix}_n"), F.count(exact).alias(f"{prefix}_fit")]
+
+
+def sum_value(exact, plain, n, fit, scale: int = EXACT_SCALE) -> Column:
+    """The sum as DOUBLE: exact if every value was and no bigint overflowed."""
+    e = as_col(exact)
+    return F.when((as_col(n) == as_col(fit)) & e.isNotNull(),
+                  e.cast("double") / F.lit(10.0 ** scale)).otherwise(as_col(plain))
+
+
+def exact_avg(c, scale: int = EXACT_SCALE) -> Column:
+    """AVG that does not depend on the order of the rows, as DOUBLE.
+
+    A floating-point sum does depend on it, and an average that sits on a
+    rounding tie (0.055 -> 0.05 or 0.06) then flips between runs and engines.
+    Infinities and NaN come out as in plain AVG.
+    """
+    exact, plain, n, fit = (p for p in sum_parts(c, "p", scale))
+    return sum_value(exact, plain, n, fit, scale) / n.cast("double")
 
 
 def ravg(c, digits: int = 2) -> Column:

@@ -5,12 +5,11 @@ A check report has one row per check::
     model, column_name, check_name, failures
 
 All row-level checks of a table (not_null, accepted_values, range) are folded
-into a single aggregate pass.  When the model declares a ``unique`` key, that
-pass is the key's grouped aggregate itself: per-key row counts and per-key
-failure sums are combined in one shuffle (partial aggregation first, so a hot
-value never lands whole in one task), so the model is read or computed once
-for all of them.  Further ``unique`` keys cost one grouped aggregate each;
-each ``relationships`` check is one left-anti join.
+into a single global aggregate, combined map side.  Each ``unique`` key costs
+one grouped count of the key alone and each ``relationships`` check one
+left-anti join of the distinct child keys, both combined map side first, so
+that a hot value is one row for each task.  A model that is expensive to
+compute should be stored before it is checked.
 """
 
 from __future__ import annotations
@@ -90,6 +89,19 @@ def relationship_failures(child: DataFrame, parent: DataFrame, child_key: str |
     return child.where(nonnull).join(p, on=cond, how="left_anti")
 
 
+def relationship_failure_count(child: DataFrame, parent: DataFrame,
+                               child_key: str | Sequence[str],
+                               parent_key: str | Sequence[str]) -> DataFrame:
+    """One row, ``failures``: child rows whose non-NULL key has no parent row.
+
+    Rows are counted by key before the join, so no child row is shuffled.
+    """
+    ck = [child_key] if isinstance(child_key, str) else list(child_key)
+    counted = child.groupBy(*ck).agg(F.count(F.lit(1)).alias("__rows"))
+    bad = relationship_failures(counted, parent, ck, parent_key)
+    return bad.agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias("failures"))
+
+
 def _row_check_exprs(spec: CheckSpec) -> tuple[list[Column], list[tuple[str, str]]]:
     """Per-row failure indicators (0/1) of the row-level checks, with their labels."""
     flags, meta = [], []
@@ -116,29 +128,6 @@ def _stack(wide: DataFrame, model: str, meta: Sequence[tuple[str, str]],
         F.lit(model).alias("model"), "r.column_name", "r.check_name", "r.failures")
 
 
-def _folded_checks(df: DataFrame, model: str, spec: CheckSpec,
-                   key: str | Sequence[str]) -> DataFrame:
-    """Row-level checks and the ``unique`` check of ``key`` in one grouped pass.
-
-    Rows are grouped by the key (NULL keys form their own groups, so every
-    row's row-level checks are counted); the global sums of the per-key sums
-    are the row-check failures, and the keys with all parts non-NULL and more
-    than one row are the unique failures.
-    """
-    cols = [key] if isinstance(key, str) else list(key)
-    flags, meta = _row_check_exprs(spec)
-    names = [f"c{i}" for i in range(len(flags))]
-    per_key = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"),
-                                    *[F.sum(f).alias(n) for f, n in zip(flags, names)])
-    nonnull = F.lit(True)
-    for c in cols:
-        nonnull = nonnull & F.col(c).isNotNull()
-    dup = F.when(nonnull & (F.col("__n") > 1), 1).otherwise(0)
-    wide = per_key.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names],
-                       F.coalesce(F.sum(dup), F.lit(0)).cast("long").alias("__dup"))
-    return _stack(wide, model, [*meta, (_name(key), "unique")], [*names, "__dup"])
-
-
 def _row_checks(df: DataFrame, model: str, spec: CheckSpec) -> DataFrame | None:
     """not_null, accepted and range checks of one model in one aggregate pass."""
     flags, meta = _row_check_exprs(spec)
@@ -155,14 +144,10 @@ def run_checks(tables: Mapping[str, DataFrame], specs: Mapping[str, CheckSpec])
     parts = []
     for model, spec in specs.items():
         df = tables[model]
-        keys = list(spec.unique)
-        if keys:
-            parts.append(_folded_checks(df, model, spec, keys.pop(0)))
-        else:
-            rows = _row_checks(df, model, spec)
-            if rows is not None:
-                parts.append(rows)
-        for key in keys:
+        rows = _row_checks(df, model, spec)
+        if rows is not None:
+            parts.append(rows)
+        for key in spec.unique:
             failures = unique_failures(df, key).agg(F.count(F.lit(1)).cast("long").alias("f"))
             parts.append(failures.select(F.lit(model).alias("model"),
                                          F.lit(_name(key)).alias("column_name"),

@@ -11,8 +11,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Column rules: "keep", "drop", "null", "hash" (sha-256 with the policy salt),
+# Column rules: "keep", "drop", "null" (of the column's own type), "hash" (sha-256 with the policy salt),
 # or ("prefix", n) to keep the first n characters.
 
 
@@ -24,13 +25,13 @@ class RolePolicy:
     salt: str = ""
 
 
-def _apply(c: str, rule, salt: str) -> Column | None:
+def _apply(c: str, kind: T.DataType, rule, salt: str) -> Column | None:
     if rule == "keep":
         return F.col(c)
     if rule == "drop":
         return None
     if rule == "null":
-        return F.lit(None).cast("string").alias(c)
+        return F.lit(None).cast(kind).alias(c)
     if rule == "hash":
         return F.sha2(F.concat(F.lit(salt), F.col(c).cast("string")), 256).alias(c)
     if isinstance(rule, tuple) and rule[0] == "prefix":
@@ -43,7 +44,8 @@ def role_view(df: DataFrame, policies: Mapping[str, RolePolicy], role: str) -> D
     if role not in policies:
         raise PermissionError(f"no policy for role {role!r}")
     p = policies[role]
-    cols = [x for x in (_apply(c, p.columns.get(c, p.default), p.salt) for c in df.columns)
+    cols = [x for x in (_apply(f.name, f.dataType, p.columns.get(f.name, p.default), p.salt)
+                         for f in df.schema)
             if x is not None]
     cond = F.expr(p.row_filter) if isinstance(p.row_filter, str) else p.row_filter
     out = df.where(cond) if cond is not None else df

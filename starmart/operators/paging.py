@@ -1,11 +1,10 @@
 """Filtered, sorted and paged reads (F-03 ... F-05, O-03 ... O-05).
 
-A page is ``ORDER BY keys LIMIT n OFFSET k`` over a total order.  Shallow
-pages use Spark's top-k (each task keeps ``k + n`` rows, one task merges).
-Deep pages never gather ``k`` rows in one task: the table is range
-partitioned on the keys, per-partition counts locate the page, and only the
-partitions that overlap it are read (``page_deep``).  Keyset paging
-(``after=``) needs no offset at all.
+A page is ``ORDER BY keys LIMIT n OFFSET k`` over a total order, NULLs last.
+Spark sorts by range and skips the offset.  For a run of deep pages, keyset
+paging (``after=``) needs no offset at all, and ``page_deep`` is a separate
+operator that finds a page by the row counts of ranges, so that no task
+gathers the ``k`` rows before it; both give the rows that ``page`` gives.
 """
 
 from __future__ import annotations
@@ -17,10 +16,6 @@ from pyspark.sql import functions as F
 
 MAX_LIMIT = 500
 DEFAULT_LIMIT = 50
-# Above this many rows (offset + limit) a page is located by partition counts.
-# Top-k merges (offset + limit) rows from every partition in one task, so the
-# bound keeps that merge small even with tens of thousands of partitions.
-TOPK_MAX_ROWS = 5_000
 
 
 def validate_page(limit: int, offset: int) -> None:
@@ -47,14 +42,12 @@ def _order(keys: Sequence[str | Column]) -> list[Column]:
 
 
 def after_key(keys: Sequence[str], after: Sequence) -> Column:
-    """Lexicographic ``(k1, k2, ...) > (a1, a2, ...)`` for keyset paging."""
+    """Rows behind ``(a1, a2, ...)`` in key order, for keyset paging; NULL is last."""
     cond = None
-    for i in range(len(keys) - 1, -1, -1):
-        gt = F.col(keys[i]) > F.lit(after[i])
-        if cond is None:
-            cond = gt
-        else:
-            cond = gt | ((F.col(keys[i]) == F.lit(after[i])) & cond)
+    for k, a in zip(reversed(keys), reversed(after)):
+        c = F.col(k)
+        behind = F.lit(False) if a is None else c.isNull() | (c > F.lit(a))
+        cond = behind if cond is None else behind | (c.eqNullSafe(F.lit(a)) & cond)
     return cond
 
 
@@ -64,9 +57,7 @@ def page(df: DataFrame, keys: Sequence[str], limit: int = DEFAULT_LIMIT, offset:
     validate_page(limit, offset)
     if after is not None:
         df = df.where(after_key(keys, after))
-    if offset + limit <= TOPK_MAX_ROWS:
-        return df.orderBy(*_order(keys)).offset(offset).limit(limit)
-    return page_deep(df, keys, limit, offset)
+    return df.orderBy(*_order(keys)).offset(offset).limit(limit)
 
 
 def page_deep(df: DataFrame, keys: Sequence[str], limit: int, offset: int,
@@ -79,7 +70,7 @@ def page_deep(df: DataFrame, keys: Sequence[str], limit: int, offset: int,
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranked = (df.repartitionByRange(n, *_order(keys)).sortWithinPartitions(*_order(keys))
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__idx", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("long"), 33)))

@@ -58,34 +58,35 @@ def derive_validity(df: DataFrame, keys: Sequence[str], start: str,
     hot key spreads over several partitions; ``lead`` runs inside each range
     partition, and the last row of a partition takes the first row of the
     next non-empty partition (one row per partition, broadcast).  The last
-    version of every key gets NULL.
+    version of every key gets NULL.  As in SQL's ``lead`` over NULLS LAST, a
+    NULL key is a key of its own and a NULL start comes last.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [*keys, start, *tie_break]
+    names = [*keys, start, *tie_break]
+    order = [F.asc_nulls_last(c) for c in names]
     # Materialised once (reliable checkpoint in spark.checkpoint.dir): both
     # uses below must see the same partition ids, whatever AQE re-plans.
     ranked = (df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
               .checkpoint(eager=True))
-    nxt = F.lead(F.struct(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)],
-                          F.col(start).alias("__s"))).over(
-        Window.partitionBy("__pid").orderBy(*order))
+    head = F.struct(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(names)])
+    nxt = F.lead(head).over(Window.partitionBy("__pid").orderBy(*order))
     step = ranked.withColumn("__next", nxt)
-    # First row of each range partition, and for each partition the first
-    # row of the next non-empty one (bounded: one row per partition).
-    firsts = step.groupBy("__pid").agg(F.min(F.struct(*[F.col(c) for c in order])).alias("__f"))
-    w = Window.orderBy("__pid")
-    follow = firsts.select(F.col("__pid"), F.lead("__f").over(w).alias("__nf"))
-    follow = F.broadcast(follow)  # one row per partition of this operator
-    joined = step.join(follow, "__pid", "left")
-    same_next = None
-    same_follow = None
-    for i, c in enumerate(keys):
-        a = F.col(f"__next.__k{i}") == F.col(c)
-        b = F.col(f"__nf.{c}") == F.col(c)
-        same_next = a if same_next is None else same_next & a
-        same_follow = b if same_follow is None else same_follow & b
-    valid_to = (F.when(F.col("__next").isNotNull(),
-                       F.when(same_next, F.col("__next.__s")))
-                .otherwise(F.when(same_follow, F.col(f"__nf.{start}"))))
+    # First row of each range partition (NULLs last, so each column is led by
+    # its NULL flag), and for each partition that of the next non-empty one
+    # (bounded: one row per partition).
+    led = F.struct(*[x for i, c in enumerate(names)
+                     for x in (F.col(c).isNull().alias(f"__n{i}"), F.col(c).alias(f"__k{i}"))])
+    firsts = step.groupBy("__pid").agg(F.min(led).alias("__f"))
+    follow = firsts.select("__pid", F.lead("__f").over(Window.orderBy("__pid")).alias("__nf"))
+    joined = step.join(F.broadcast(follow), "__pid", "left")  # one row per partition
+
+    def ends(after: str):
+        same = F.lit(True)
+        for i, c in enumerate(keys):
+            same = same & F.col(f"{after}.__k{i}").eqNullSafe(F.col(c))
+        return F.when(same, F.col(f"{after}.__k{len(keys)}"))
+
+    valid_to = (F.when(F.col("__next").isNotNull(), ends("__next"))
+                .when(F.col("__nf").isNotNull(), ends("__nf")))
     return joined.select(*df.columns, valid_to.alias(end_col))

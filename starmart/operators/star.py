@@ -39,26 +39,13 @@ def _keys(k) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
 
 
-_SIZE_CHECKS: dict[tuple, bool] = {}
-
-
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+    """True when ``df`` has at most ``max_rows`` rows now.
 
     ``limit(max_rows + 1).count()`` lets every task stop after
-    ``max_rows + 1`` rows, so the check stays cheap on a large input.  The
-    answer is remembered per plan and input files within the process.
+    ``max_rows + 1`` rows, so the check stays cheap on a large input.
     """
-    try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    except Exception:  # plans without file inputs
-        key = None
-    if key is not None and key in _SIZE_CHECKS:
-        return _SIZE_CHECKS[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        _SIZE_CHECKS[key] = ok
-    return ok
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

@@ -12,12 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from starmart.functions.dates import week_start
-from starmart.functions.numeric import EXACT_SCALE, dround, exact_avg
-
-_DEC = DecimalType(38, EXACT_SCALE)
+from starmart.functions.numeric import dround, exact_avg, sum_parts, sum_value
 
 
 def weekly_means(df: DataFrame, entity: str, ts: str, value: str,
@@ -52,21 +49,23 @@ def trend_direction(weekly: DataFrame, entity: str, period: str = "week_start",
 def trajectory(df: DataFrame, entity: str, ts: str, value: str, digits: int = 4) -> DataFrame:
     """Daily series per entity with the running mean to date (T2-16).
 
-    Daily totals are exact decimals; the running mean is cumulative sum over
-    cumulative count, so it does not depend on partitioning.
+    Daily totals are exact (``sum_parts``); the running mean is cumulative sum
+    over cumulative count, so it does not depend on partitioning.
     """
     daily = (df.withColumn("day", F.col(ts).cast("date"))
              .groupBy(entity, "day")
-             .agg(F.count(F.col(value)).alias("n_rows"),
-                  F.sum(F.col(value).cast(_DEC)).alias("__sum")))
+             .agg(*sum_parts(value, "__v")))
     w = Window.partitionBy(entity).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    run_sum = F.sum("__sum").over(w).cast("double")
-    run_n = F.sum("n_rows").over(w).cast("double")
+    parts = ["__v_exact", "__v_plain", "__v_n", "__v_fit"]
+    running = [F.try_sum(parts[0]).over(w), *[F.sum(c).over(w) for c in parts[1:]]]
+
+    def mean(total, n):  # NULL where there is no value
+        return dround(total / F.nullif(n, F.lit(0)).cast("double"), digits)
+
     return daily.select(
-        entity, "day", "n_rows",
-        dround(F.col("__sum").cast("double") / F.col("n_rows").cast("double"), digits)
-        .alias("day_avg"),
-        dround(run_sum / run_n, digits).alias("running_avg"))
+        entity, "day", F.col("__v_n").alias("n_rows"),
+        mean(sum_value(*parts), F.col("__v_n")).alias("day_avg"),
+        mean(sum_value(*running), running[2]).alias("running_avg"))
 
 
 def active_per_period(df: DataFrame, entity: str, ts: str) -> DataFrame:

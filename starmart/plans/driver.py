@@ -168,44 +168,7 @@ def stage_place(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> Da
 # ---------------------------------------------------------------- enriched star
 
 
-_PLAN_CACHE: dict = {}
-_PLAN_CACHE_SIZE = 8
-STAR_TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
-
-
-def _input_signature(spark: SparkSession, sf_dir: str, names) -> tuple:
-    """(path, length, modification time) of each input: a changed file changes it."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    sig = []
-    for n in names:
-        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{n}.parquet")
-        st = p.getFileSystem(conf).getFileStatus(p)
-        sig.append((n, int(st.getLen()), int(st.getModificationTime())))
-    return tuple(sig)
-
-
 def enriched(spark: SparkSession, sf_dir: str, as_of=AS_OF, skew_buckets: int = 0) -> DataFrame:
-    """The enriched star; the logical plan is reused while the inputs are unchanged.
-
-    A DataFrame is an immutable plan, so queries over the same star share it
-    instead of rebuilding it expression by expression; any change of an
-    input file (length or modification time) builds a new one.
-    """
-    try:
-        key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir,
-               str(as_of), skew_buckets, _input_signature(spark, sf_dir, STAR_TABLES))
-    except Exception:  # inputs that are not plain files: no reuse
-        return _build_enriched(spark, sf_dir, as_of, skew_buckets)
-    if key not in _PLAN_CACHE:
-        if len(_PLAN_CACHE) >= _PLAN_CACHE_SIZE:
-            _PLAN_CACHE.pop(next(iter(_PLAN_CACHE)))
-        _PLAN_CACHE[key] = _build_enriched(spark, sf_dir, as_of, skew_buckets)
-    return _PLAN_CACHE[key]
-
-
-def _build_enriched(spark: SparkSession, sf_dir: str, as_of=AS_OF,
-                    skew_buckets: int = 0) -> DataFrame:
     """The enriched fact over the driver tables (J-01 ... J-07, P-14 ... P-20).
 
     Join order keeps the big shuffles on the fact's own keys: the student

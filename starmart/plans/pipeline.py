@@ -101,7 +101,8 @@ def run(spark: SparkSession, source_dir: str, out_root: str, *, as_of=None,
     if "ingest" in stages:
         res.ingest = timed("ingest", lambda: ingest_all(
             spark, source_dir, HEALTH_SPECS, HEALTH_FILES, f"{out_root}/raw",
-            audit_path=f"{out_root}/audit/ingest_log", max_parallel=parallel))
+            audit_path=f"{out_root}/audit/ingest_log", quarantine_root=f"{out_root}/quarantine",
+            max_parallel=parallel))
         res.row_report = rows_report(spark, {n: r.rows for n, r in res.ingest.items()},
                                      HEALTH_SPECS)
         enforce(res.row_report)

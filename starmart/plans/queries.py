@@ -223,11 +223,11 @@ def layer_summary(spark, sf):
 
 def csv_roundtrip_coerce(spark, sf):
     from starmart.session import scratch_path
-    from starmart.sources.csv import coerce, read_csv_raw
+    from starmart.sources.csv import coerce, read_csv_raw, write_csv_extract
     from starmart.specs import TableSpec
     cust = D.read(spark, sf, "customer")
     path = scratch_path(spark, "customer-csv")
-    cust.write.mode("overwrite").option("header", True).csv(path)
+    write_csv_extract(cust, path)
     spec = TableSpec("customer", tuple((f.name, f.dataType)
                                        for f in DRIVER_SCHEMAS["customer"].fields))
     return coerce(read_csv_raw(spark, path, spec), spec)
@@ -264,7 +264,8 @@ def ingest_tables(spark, sf):
          for r in res.values()],
         "table_name string, null_keys long, cast_failures long")
     audit = spark.read.parquet(f"{root}/audit").select("table_name", "row_count")
-    written = table_counts({t: spark.read.parquet(f"{root}/raw/{t}") for t in INGEST_TABLES},
+    from starmart.sources.layers import read_table
+    written = table_counts({t: read_table(spark, f"{root}/raw/{t}") for t in INGEST_TABLES},
                            count_col="parquet_rows")
     return audit.join(written, "table_name").join(observed, "table_name")
 
@@ -326,7 +327,17 @@ MART_CHECKS = C.CheckSpec(
 
 
 def check_report(spark, sf):
-    return C.run_checks({"mart_fact": D.mart_fact(spark, sf)}, {"mart_fact": MART_CHECKS})
+    return C.run_checks({"mart_fact": stored(spark, D.mart_fact(spark, sf), "mart_fact")},
+                        {"mart_fact": MART_CHECKS})
+
+
+def stored(spark, df, name):
+    """``df`` written once to shared scratch and read back, for several uses."""
+    from starmart.session import scratch_path
+    from starmart.sources.layers import read_table, replace_parquet
+    path = scratch_path(spark, name)
+    replace_parquet(df, path)
+    return read_table(spark, path)
 
 
 def not_null_failures(spark, sf):
@@ -395,8 +406,12 @@ def scd_current(spark, sf):
 
 
 def scd_as_of(spark, sf):
-    return SCD.as_of(stage_orders(spark, sf), ["student_key"], "start_date", SCD_AS_OF,
-                     tie_break=["o_orderkey"])
+    # The latest order of each customer first (one row for each task and
+    # customer is shuffled), then the customer's columns.
+    t = D.tables(spark, sf, "orders", "customer")
+    dated = t["orders"].withColumn("start_date", to_date("o_orderdate"))
+    last = SCD.as_of(dated, ["o_custkey"], "start_date", SCD_AS_OF, tie_break=["o_orderkey"])
+    return D.stage_students(last, t["customer"])
 
 
 def weekly_per_user(spark, sf):
@@ -430,9 +445,10 @@ FK_RELATIONSHIPS = (
 def fk_failures(spark, sf):
     parts = []
     for child, ck, parent, pk in FK_RELATIONSHIPS:
-        bad = C.relationship_failures(D.read(spark, sf, child), D.read(spark, sf, parent), ck, pk)
-        parts.append(bad.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(f"{child}.{ck}->{parent}.{pk}").alias("relationship"), "failures"))
+        bad = C.relationship_failure_count(D.read(spark, sf, child), D.read(spark, sf, parent),
+                                           ck, pk)
+        parts.append(bad.select(F.lit(f"{child}.{ck}->{parent}.{pk}").alias("relationship"),
+                                "failures"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -628,3 +644,176 @@ def scd_history(spark, sf):
 
 
 QUERIES["scd_history"] = scd_history
+
+
+# ---------------------------------------------------------------- CSV text, history, publishing
+
+
+def _csv_text(spark, sf, table):
+    """A table of quoted text and line breaks through a CSV extract and back (S-03, S-04)."""
+    from starmart.session import scratch_path
+    from starmart.sources.csv import coerce, read_csv_raw, write_csv_extract
+    from starmart.specs import TableSpec
+    df = D.read(spark, sf, table)
+    path = scratch_path(spark, f"{table}-csv")
+    write_csv_extract(df, path)
+    spec = TableSpec(table, tuple((f.name, f.dataType) for f in df.schema.fields))
+    return coerce(read_csv_raw(spark, path, spec, multiline=True, na_tokens=("",)), spec)
+
+
+def csv_text_documents(spark, sf):
+    return _csv_text(spark, sf, "documents")
+
+
+def csv_text_pages(spark, sf):
+    return _csv_text(spark, sf, "pages")
+
+
+def scd_valid_at(spark, sf):
+    """Versions of the order history valid on a date, by start and end (T2-03)."""
+    return SCD.valid_at(scd_history(spark, sf), SCD_AS_OF, "start_date", "valid_to")
+
+
+def deep_page(spark, sf):
+    """A page over a nullable key that reaches into its NULLs, found by range counts (O-04)."""
+    from starmart.operators import paging
+    history = scd_history(spark, sf)
+    return paging.page_deep(history, ["valid_to", "o_orderkey"], limit=300, offset=1300)
+
+
+def strata(spark, sf):
+    """Every class with its bands, so that no minority class is missing (T2-06)."""
+    return grouped_metrics(D.mart_fact(spark, sf), ["health_condition", "bmi_class"],
+                           [ravg("composite_activity_score").alias("avg_activity_score")],
+                           shares={"pct_of_total": (),
+                                   "pct_within_condition": ("health_condition",)})
+
+
+def get_record_full_key(spark, sf):
+    """One record by all four key columns: the first of an order (V-02)."""
+    fact = D.mart_fact(spark, sf)
+    first = fact.where(F.col("l_orderkey") == LOOKUP_ORDER).agg(
+        F.min(F.struct(*D.FACT_KEYS)).alias("k")).first()["k"]
+    key = first.asDict() if first is not None else dict.fromkeys(D.FACT_KEYS, 1)
+    return V.get_student(fact, key, key_cols=D.FACT_KEYS)
+
+
+def _publish(spark, sf):
+    """Both marts and the five metrics promoted to serving tables: the star is computed once."""
+    from starmart.session import scratch_path
+    from starmart.sources.layers import read_table
+    root = scratch_path(spark, "serving")
+    fact = stored(spark, D.mart_fact(spark, sf), "publish-fact")
+    tables = {"fact_health_transformed": fact, "dim_student_transformed": D.mart_dim(spark, sf)}
+    tables |= {name: fn(fact) for name, fn in M.METRICS.items()}
+    for name, df in tables.items():
+        V.promote(df, path=f"{root}/{name}")
+    return {name: read_table(spark, f"{root}/{name}") for name in tables}
+
+
+def published_counts(spark, sf):
+    """Row counts of the published tables (S-16 ... S-18)."""
+    return V.verify_counts(spark, {**_publish(spark, sf), "mrt_missing": None})
+
+
+def published_fact(spark, sf):
+    """The promoted fact read back, flags as 0/1 (S-16)."""
+    return _publish(spark, sf)["fact_health_transformed"]
+
+
+def published_risk(spark, sf):
+    """The promoted risk metric read back (S-17)."""
+    return _publish(spark, sf)["mrt_risk_correlations"]
+
+
+def feature_sample(spark, sf):
+    """First three records with their features (S-20)."""
+    from starmart.operators import paging
+    columns = ["bmi_class", "composite_activity_score", "health_trend_indicator",
+               "sleep_quality_encoded", "physical_activity_encoded", "smoking_alcohol_encoded"]
+    fact = D.mart_fact(spark, sf).select(*D.FACT_KEYS, *columns)
+    return paging.top_n(fact, [*D.FACT_KEYS, *columns], 3)
+
+
+def metric_sample(spark, sf):
+    """First five rows of the distribution metric (S-20)."""
+    from starmart.operators import paging
+    return paging.top_n(metric_distribution(spark, sf),
+                        ["health_condition", "gender", "diet_type"], 5)
+
+
+# Checks where failures exist: orders that are not current have no features,
+# lines of such orders no student; text holds addresses and numbers.
+
+
+def _orders_with_features(spark, sf):
+    t = D.tables(spark, sf, "orders", "customer")
+    current = D.student_features(t["orders"], t["customer"]).select(
+        "o_orderkey", "national_id_hashed", "age_derived")
+    return t["orders"].join(current, "o_orderkey", "left")
+
+
+def null_profile_found(spark, sf):
+    return P.null_profile(_orders_with_features(spark, sf), table="orders_with_features")
+
+
+def not_null_found(spark, sf):
+    return C.not_null_failures(_orders_with_features(spark, sf), "national_id_hashed") \
+        .select("o_orderkey", "o_orderstatus")
+
+
+def orphans_found(spark, sf):
+    """Order lines whose order is not current, counted by key before the join (T2-07)."""
+    li, orders = D.read(spark, sf, "lineitem"), D.read(spark, sf, "orders")
+    current = orders.where(F.upper(F.btrim("o_orderstatus")) == D.CURRENT_STATUS)
+    return C.relationship_failure_count(li, current, "l_orderkey", "o_orderkey").select(
+        F.lit("lineitem.l_orderkey->current orders.o_orderkey").alias("relationship"), "failures")
+
+
+TIGHT_RANGES = {
+    "lineitem": C.CheckSpec(ranges={"l_quantity": (5.0, 45.0), "l_discount": (0.01, 0.09),
+                                    "l_tax": (0.01, 0.07)}),
+    "customer": C.CheckSpec(ranges={"c_acctbal": (0.0, 9000.0)}),
+}
+
+
+def range_failures_found(spark, sf):
+    return C.run_checks({t: D.read(spark, sf, t) for t in TIGHT_RANGES}, TIGHT_RANGES)
+
+
+def pii_scan_text(spark, sf):
+    docs, pages = D.read(spark, sf, "documents"), D.read(spark, sf, "pages")
+    return C.pii_scan(docs.select("text"), "documents").unionByName(
+        C.pii_scan(pages.select("html"), "pages"))
+
+
+def completeness_found(spark, sf):
+    """Completeness of features before and after a date (T3-03): not all are there."""
+    df = _orders_with_features(spark, sf)
+    split = F.lit("1998-01-01").cast("timestamp_ntz")
+    columns = ("o_totalprice", "national_id_hashed", "age_derived")
+    base = Q.completeness(df.where(F.col("o_orderdate") < split), columns, "base")
+    cur = Q.completeness(df.where(F.col("o_orderdate") >= split), columns, "cur")
+    return base.join(cur, "column_name").withColumn(
+        "delta", F.col("cur_complete") - F.col("base_complete"))
+
+
+QUERIES.update({
+    "csv_text_documents": csv_text_documents,
+    "csv_text_pages": csv_text_pages,
+    "scd_valid_at": scd_valid_at,
+    "deep_page": deep_page,
+    "strata": strata,
+    "get_record_full_key": get_record_full_key,
+    "published_counts": published_counts,
+    "published_fact": published_fact,
+    "published_risk": published_risk,
+    "feature_sample": feature_sample,
+    "metric_sample": metric_sample,
+    "null_profile_found": null_profile_found,
+    "not_null_found": not_null_found,
+    "orphans_found": orphans_found,
+    "range_failures_found": range_failures_found,
+    "pii_scan_text": pii_scan_text,
+    "completeness_found": completeness_found,
+})

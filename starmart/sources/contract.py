@@ -46,7 +46,7 @@ def csv_contract(spark: SparkSession, path: str, spec: TableSpec,
     ``count_rows=False`` checks metadata only (no pass over the data); the
     row-count checks are then taken from the ingest pass (``rows_report``).
     """
-    from starmart.sources.csv import header_columns, read_csv_raw
+    from starmart.sources.csv import clean_name, header_columns, read_csv_raw
     name = spec.name
     rows = []
     if not path_exists(spark, path):
@@ -57,7 +57,7 @@ def csv_contract(spark: SparkSession, path: str, spec: TableSpec,
     rows.append(_row(name, "file_not_empty", "error", size, 1, size > 0))
     if size == 0:
         return spark.createDataFrame(rows, REPORT_SCHEMA)
-    header = header_columns(spark, path)
+    header = [clean_name(c) for c in header_columns(spark, path)]
     rows.append(_row(name, "header_present", "error", len(header), 1, len(header) > 0))
     missing = [c for c in spec.columns if c not in header]
     rows.append(_row(name, "required_columns", "error", len(spec.columns) - len(missing),

@@ -20,10 +20,21 @@ from starmart.specs import TableSpec
 CORRUPT_COL = "_corrupt_record"
 
 
-def header_columns(spark: SparkSession, path: str) -> list[str]:
-    """Column names as written in the file's header (BOM removed, stripped)."""
-    cols = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
-    return [c.lstrip("﻿").strip() for c in cols]
+# Quotes inside quoted text are doubled; a backslash is an ordinary character.
+# Blanks around a value are part of it.
+DIALECT = {"header": True, "quote": '"', "escape": '"',
+           "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def header_columns(spark: SparkSession, path: str, multiline: bool = False) -> list[str]:
+    """Column names exactly as written in the file's header."""
+    return (spark.read.options(**DIALECT).option("multiLine", multiline)
+            .option("inferSchema", False).csv(path).columns)
+
+
+def clean_name(column: str) -> str:
+    """A header's column name without byte order mark and blanks."""
+    return column.lstrip("﻿").strip()
 
 
 def read_csv_raw(spark: SparkSession, path: str, spec: TableSpec | None = None, *,
@@ -31,26 +42,26 @@ def read_csv_raw(spark: SparkSession, path: str, spec: TableSpec | None = None,
                  na_tokens=NA_TOKENS) -> DataFrame:
     """All columns as strings, in the spec's order, NA tokens mapped to NULL.
 
-    Columns are matched by header *name*.  A declared column missing from the
-    file comes back as NULL (the contract check reports it).  ``multiline``
+    Columns are matched by header *name*; a folder whose files have different
+    headers raises.  A declared column missing from the file comes back as
+    NULL (the contract check reports it).  ``multiline``
     allows quoted newlines but makes each file a single split; keep it off
     unless a table needs it.  ``quarantine`` keeps the raw text of malformed
     lines in ``_corrupt_record``.
     """
-    file_cols = header_columns(spark, path)
-    fields = [T.StructField(c, T.StringType(), True) for c in file_cols]
+    written = header_columns(spark, path, multiline)
+    by_name = {clean_name(c): c for c in written}
+    fields = [T.StructField(c, T.StringType(), True) for c in written]
     if quarantine:
         fields.append(T.StructField(CORRUPT_COL, T.StringType(), True))
     reader = (spark.read.schema(T.StructType(fields))
-              .option("header", True).option("enforceSchema", True)
-              .option("multiLine", multiline).option("mode", "PERMISSIVE")
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+              .options(**DIALECT).option("enforceSchema", False)
+              .option("multiLine", multiline).option("mode", "PERMISSIVE"))
     if quarantine:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
     df = reader.csv(path)
-    wanted = spec.columns if spec is not None else file_cols
-    present = set(file_cols)
-    out = [na_to_null(F.col(f"`{c}`"), na_tokens).alias(c) if c in present
+    wanted = spec.columns if spec is not None else list(by_name)
+    out = [na_to_null(F.col(f"`{by_name[c]}`"), na_tokens).alias(c) if c in by_name
            else F.lit(None).cast("string").alias(c) for c in wanted]
     if quarantine:
         out.append(F.col(CORRUPT_COL))
@@ -60,12 +71,10 @@ def read_csv_raw(spark: SparkSession, path: str, spec: TableSpec | None = None,
 def write_csv_extract(df: DataFrame, path: str) -> None:
     """Write ``df`` as a headed CSV extract (one file per task, overwrite).
 
-    Leading and trailing spaces are kept, so a round trip through
-    ``read_csv_raw`` returns the text as it was.
+    A round trip through ``read_csv_raw`` returns the text as it was (with
+    ``multiline`` where it holds line breaks), empty text as NULL.
     """
-    (df.write.mode("overwrite").option("header", True)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(path))
+    df.write.mode("overwrite").options(**DIALECT).csv(path)
 
 
 # Text that pandas' numeric parser rejects but a Java double parse accepts:
@@ -86,17 +95,22 @@ def to_double(c) -> Column:
 
 
 def to_whole(c, target: str = "long") -> Column:
-    """Lenient text -> integer type; a fractional or non-finite value is NULL."""
+    """Lenient text -> integer type; a fractional or out-of-range value is NULL.
+
+    Plain digits are read as they are, so every value of the type survives;
+    other spellings of a whole number ('7.0', '1e3') go through a decimal.
+    """
+    v = F.trim(as_col(c))
     d = to_double(c)
-    ok = (d == F.floor(d)) & (F.abs(d) < F.lit(9.2e18))
-    return F.when(ok, d.cast(target))
+    spelt = F.when(F.rint(d) == d, v.try_cast(T.DecimalType(38, 9)).try_cast(target))
+    return F.when(v.rlike(r"^[+-]?[0-9]+$"), v.try_cast(target)).otherwise(spelt)
 
 
 def coerce_column(c: str, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.LongType):
         return to_whole(c, "long")
     if isinstance(dtype, T.IntegerType):
-        return F.when(F.abs(to_double(c)) < F.lit(2.2e9), to_whole(c, "int"))
+        return to_whole(c, "int")
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return to_double(c).cast(dtype)
     if isinstance(dtype, T.StringType):

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from starmart.operators.profile import duplicate_count
 from starmart.sources.csv import coerce, read_csv_raw, split_quarantine
 from starmart.sources.csv import cast_failure_metrics
-from starmart.sources.layers import replace_parquet
+from starmart.sources.layers import read_table, replace_parquet
 from starmart.session import run_concurrently
 from starmart.specs import TableSpec
 
@@ -72,7 +72,7 @@ def ingest_table(spark: SparkSession, csv_path: str, spec: TableSpec, out_path:
                        if k.startswith("cast_fail__")},
         quarantined=quarantined)
     if spec.dedup:
-        typed = spark.read.schema(spec.schema).parquet(out_path)
+        typed = read_table(spark, out_path, spec.schema)
         res.duplicates = duplicate_count(typed, spec.dedup)
     return res
 

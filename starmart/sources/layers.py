@@ -1,7 +1,7 @@
 """Parquet layers: write a model into its layer, read it back, summarise.
 
-Layout ``<root>/<layer>/<table>``; every write replaces the table (re-runs
-give the same tables).  A written table is also how lineage is cut.
+Layout ``<root>/<layer>/<table>/<version>``; every write publishes a new version
+(re-runs give the same tables).  A written table is also how lineage is cut.
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ def write_layer(df: DataFrame, root: str, layer: str, table: str,
                 partition_by: Sequence[str] = (), bool_as_int: bool = False) -> str:
     """Materialise ``df`` as ``<root>/<layer>/<table>`` (replace) and return the path.
 
-    The data is written to a sibling staging folder first and swapped in by
-    renames only after the job succeeded, so a failed or killed job leaves
-    the previous table intact (lost executors are already retried by Spark).
+    The data goes to a new version folder that is published when the job has
+    succeeded (``replace_parquet``), so a failed or killed job leaves the
+    previous table as it is (lost executors are already retried by Spark).
     ``partition_by`` writes Hive-style folders (T2-02), which later filters
     on those columns prune.  ``bool_as_int`` stores flags as 0/1 ints.
     """
@@ -37,43 +37,61 @@ def write_layer(df: DataFrame, root: str, layer: str, table: str,
     return path
 
 
+_MARKERS = "_published"
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    make = jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def _published(fs, make, path: str) -> list[str]:
+    """Names of the table's markers, oldest first: ``<number>_<version folder>``."""
+    folder = make(f"{path}/{_MARKERS}")
+    return sorted(f.getPath().getName() for f in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
 def replace_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Write ``df`` to a staging folder next to ``path``, then swap it in."""
-    staging = f"{path}.__staging-{uuid.uuid4().hex[:8]}"
-    w = df.write.mode("overwrite")
+    """Write ``df`` to a new version folder of the table at ``path`` and publish it.
+
+    Publishing creates one empty marker whose name gives a number and the
+    version; readers take the highest (``read_table``).  Nothing is renamed
+    or overwritten, so at no time is there no table, on object stores as
+    well.  The version before stays for readers that still use it, older
+    ones are removed.
+    """
+    spark = df.sparkSession
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(staging)
-    _swap(df.sparkSession, staging, path)
+    w.parquet(f"{path}/{version}")
+    fs, make = _file_system(spark, path)
+    known = _published(fs, make, path)
+    number = int(known[-1].split("_")[0]) + 1 if known else 1
+    fs.create(make(f"{path}/{_MARKERS}/{number:012d}_{version}"), False).close()
+    for old in known[:-1]:
+        fs.delete(make(f"{path}/{old.split('_', 1)[1]}"), True)
+        fs.delete(make(f"{path}/{_MARKERS}/{old}"), False)
 
 
-def _swap(spark: SparkSession, staging: str, path: str) -> None:
-    """Replace ``path`` by ``staging`` (rename old away, rename new in, drop old)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(conf)
-    old = jvm.org.apache.hadoop.fs.Path(f"{path}.__old-{uuid.uuid4().hex[:8]}")
-    had_old = fs.exists(target)
-    if had_old and not fs.rename(target, old):
-        raise OSError(f"could not move {path} aside")
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
-        if had_old:
-            fs.rename(old, target)
-        raise OSError(f"could not publish {staging} to {path}")
-    if had_old:
-        fs.delete(old, True)
-    # Renames bypass Spark's cache manager: drop cached plans and file
-    # listings that still point at the replaced files.
-    spark.catalog.refreshByPath(path)
+def current_path(spark: SparkSession, path: str) -> str:
+    """Folder of the published version of the table at ``path`` (a plain folder is itself)."""
+    fs, make = _file_system(spark, path)
+    known = _published(fs, make, path)
+    return f"{path}/{known[-1].split('_', 1)[1]}" if known else path
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The published version of a table written by ``replace_parquet``."""
+    r = spark.read if schema is None else spark.read.schema(schema)
+    return r.parquet(current_path(spark, path))
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, table: str,
                schema: T.StructType | None = None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(layer_path(root, layer, table))
+    return read_table(spark, layer_path(root, layer, table), schema)
 
 
 def bools_to_int(df: DataFrame) -> DataFrame:
@@ -133,7 +151,8 @@ def register_layer(spark: SparkSession, root: str, layer: str, tables: Sequence[
         if not path_exists(spark, path):
             continue
         spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{t}`")
-        spark.sql(f"CREATE TABLE `{layer}`.`{t}` USING parquet LOCATION '{path}'")
+        at = current_path(spark, path)  # register again after the next write
+        spark.sql(f"CREATE TABLE `{layer}`.`{t}` USING parquet LOCATION '{at}'")
         done.append(f"{layer}.{t}")
     return done
 

@@ -2,9 +2,10 @@
 
 A Structured Streaming query reads new Parquet files as they land, keeps
 weekly windows (Monday start) per group in state, and hands every
-micro-batch to ``foreachBatch``, which rewrites the aggregate table and
-appends alerts.  The checkpoint lives under the shared checkpoint folder, so
-a restarted query resumes where it stopped (exactly-once for the file sink).
+micro-batch to ``foreachBatch``, which rewrites the aggregate table, or in
+append mode one folder of it for each batch, and a folder of alerts for each
+batch.  A batch that is replayed after a restart overwrites its own folder, so
+nothing stands twice.  The checkpoint lives under the shared checkpoint folder.
 
 ``mode="append"`` with a watermark emits each window once, after it closes,
 and lets Spark drop its state (bounded state for an endless stream);
@@ -19,9 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.types import DecimalType
 
-from starmart.functions.numeric import EXACT_SCALE
+from starmart.functions.numeric import sum_parts, sum_value
 from starmart.session import scratch_path
 
 # Weeks start on Monday: the epoch (1970-01-01) is a Thursday, so windows are
@@ -45,17 +45,16 @@ def weekly_windows(stream: DataFrame, ts: str, group: Sequence[str], value: str,
             F.date_part(F.lit("SECOND"), t), F.lit("UTC")))
     return (stream.withWatermark(ts, watermark)
             .groupBy(F.window(ts, WEEK, WEEK, MONDAY_OFFSET).alias("w"), *group)
-            .agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.sum(F.col(value).cast(DecimalType(38, EXACT_SCALE))).alias("value_sum")))
+            .agg(F.count(F.lit(1)).alias("n_rows"), *sum_parts(value, "value")))
 
 
 def finish(agg: DataFrame, group: Sequence[str]) -> DataFrame:
     # The window start is Monday 00:00 UTC; take its UTC calendar date.
     start_day = F.floor(F.unix_seconds(F.col("w.start")) / F.lit(86400)).cast("int")
+    total = sum_value("value_exact", "value_plain", "value_n", "value_fit")
+    n = F.nullif("value_n", F.lit(0)).cast("double")  # NULL values don't count
     return agg.select(F.date_from_unix_date(start_day).alias("week_start"), *group, "n_rows",
-                      F.col("value_sum").cast("double").alias("value_sum"),
-                      (F.col("value_sum").cast("double") / F.col("n_rows").cast("double"))
-                      .alias("avg_value"))
+                      total.alias("value_sum"), (total / n).alias("avg_value"))
 
 
 def run_weekly_stream(spark: SparkSession, source_dir: str, schema: T.StructType, ts: str,
@@ -77,11 +76,12 @@ def run_weekly_stream(spark: SparkSession, source_dir: str, schema: T.StructType
         if mode == "complete":
             out.write.mode("overwrite").parquet(out_path)
         else:
-            out.write.mode("append").parquet(out_path)
+            out.write.mode("overwrite").parquet(f"{out_path}/batch_id={epoch}")
         if alert_path is not None and alert_above is not None:
-            (out.where(F.col("avg_value") > F.lit(alert_above))
-             .withColumn("batch_id", F.lit(epoch))
-             .write.mode("append").parquet(alert_path))
+            alerts = out.where(F.col("avg_value") > F.lit(alert_above))
+            # Complete mode gives all windows again, so its alerts replace the last ones.
+            at = alert_path if mode == "complete" else f"{alert_path}/batch_id={epoch}"
+            alerts.write.mode("overwrite").parquet(at)
 
     writer = (agg.writeStream.outputMode(mode).foreachBatch(sink)
               .option("checkpointLocation", checkpoint))

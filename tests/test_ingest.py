@@ -103,5 +103,6 @@ def test_concurrent_ingest_finishes_other_tables_then_raises(spark, tmp_path):
     with pytest.raises(Exception):
         ingest_all(spark, str(tmp_path), specs, files, out, max_parallel=3)
     # The independent tables were still ingested completely.
-    assert rows(spark.read.parquet(f"{out}/a"), "k", "v") == [(1, "x"), (2, "y")]
-    assert rows(spark.read.parquet(f"{out}/b"), "k", "v") == [(3, "z")]
+    from starmart.sources.layers import read_table
+    assert rows(read_table(spark, f"{out}/a"), "k", "v") == [(1, "x"), (2, "y")]
+    assert rows(read_table(spark, f"{out}/b"), "k", "v") == [(3, "z")]

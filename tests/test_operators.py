@@ -23,11 +23,10 @@ def test_page_bounds(numbers):
             paging.page(numbers, ["k"], limit, offset)
 
 
-def test_page_shallow_deep_and_keyset_agree(spark, numbers, monkeypatch):
+def test_page_deep_and_keyset_agree(spark, numbers):
     shallow = [r.k for r in paging.page(numbers, ["k"], 50, 1500).collect()]
     assert shallow == list(range(1500, 1550))
-    monkeypatch.setattr(paging, "TOPK_MAX_ROWS", 10)
-    deep = [r.k for r in paging.page(numbers, ["k"], 50, 1500).collect()]
+    deep = [r.k for r in paging.page_deep(numbers, ["k"], 50, 1500).collect()]
     assert deep == shallow
     after = [r.k for r in paging.page(numbers, ["k"], 5, 0, after=[1499]).collect()]
     assert after == list(range(1500, 1505))
@@ -35,6 +34,14 @@ def test_page_shallow_deep_and_keyset_agree(spark, numbers, monkeypatch):
     assert tail == list(range(1990, 2000))
 
 
+def test_pages_put_nulls_last(spark):
+    df = spark.createDataFrame([(i,) for i in range(20)] + [(None,)], "k long")
+    want = [18, 19, None]
+    assert [r.k for r in paging.page(df, ["k"], 3, 18).collect()] == want
+    assert [r.k for r in paging.page_deep(df, ["k"], 3, 18).collect()] == want
+    assert [r.k for r in paging.page(df, ["k"], 3, 0, after=[17]).collect()] == want
+
+
 def test_falsy_filters_are_ignored(numbers):
     assert paging.apply_filters(numbers, {"g": 0}).count() == 2000
     assert paging.apply_filters(numbers, {"g": 3}).count() == numbers.where("g = 3").count()
