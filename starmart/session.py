@@ -82,6 +82,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables (lineage cuts, sinks).
 
@@ -94,8 +97,23 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared scratch root."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared scratch root.
+
+    A lazy result may still read it, so it stays until ``remove_scratch``.
+    """
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables of this process; call it once their results are used."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
