@@ -22,12 +22,15 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from starmart.plans.queries import QUERIES  # noqa: E402
-from starmart.session import build_session  # noqa: E402
+from starmart.session import build_session, remove_scratch  # noqa: E402
 
 HEADLINE = (
     "mart_fact", "metric_distribution", "metric_band_by_group", "metric_adequacy",
     "metric_weekly", "metric_risk", "class_balance", "list_records_page", "get_record",
     "check_report", "fk_failures", "scd_as_of", "trend_direction", "user_trajectory",
+    # these write
+    "csv_roundtrip_coerce", "ingest_tables", "partitioned_stage", "stream_weekly", "scd_history",
+    "published_counts",
 )
 
 
@@ -52,6 +55,7 @@ def main() -> None:
             errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
             continue
         timings[name] = round(time.perf_counter() - t0, 3)
+        remove_scratch(spark)
     spark.stop()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
