@@ -8,10 +8,11 @@ values cost only C*PER_COLLECTION hash functions.  Texts of similarity s meet in
 some table if two collections agree: at 0.8 all but 7 in 10,000 pairs do, at 0.85
 all but 4 in 100,000.
 
-Texts that meet are compared by their whole sets, with the first text of their
-bucket; buckets whose texts then lie in different components are compared with
-the next 8, 64, ... texts until all pairs are settled, so no bucket is capped and
-none emits more partners a text and round than there are centres.
+Texts that meet are compared by their whole sets, first each with the smallest
+of its bucket, its centre: that is as many pairs as texts.  What then still lies
+in another component than its centre is compared with all texts of that centre,
+in blocks: a pair of blocks is a unit of work that gives back links, not pairs.
+So every pair that meets is either in one component or compared, without caps.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,8 +33,8 @@ from starmart.session import ensure_checkpoint_dir
 COLLECTIONS, PER_COLLECTION = 14, 3
 #: Shingles hashed at a time: bounds the memory of very long texts.
 BLOCK = 16_384
-#: Texts that the others of an unsettled bucket are compared with, round by round.
-MORE_CENTRES = 8
+#: Texts on either side of a unit of work.
+SIDE = 128
 
 _RNG = np.random.default_rng(20)
 _XOR = _RNG.integers(0, 2**64, COLLECTIONS * PER_COLLECTION, dtype=np.uint64)[:, None]
@@ -89,14 +89,18 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
 
 def buckets(reps: DataFrame) -> DataFrame:
-    """(key, doc, n) for every representative and every pair of its collections."""
+    """(key, doc) for every representative and every pair of its collections."""
     pairs = [(i, j) for i in range(COLLECTIONS) for j in range(i + 1, COLLECTIONS)]
     keys = F.array(*[F.xxhash64(F.lit(i), F.lit(j), F.col("collections")[i], F.col("collections")[j]) for i, j in pairs])
-    return reps.select(F.explode(keys).alias("key"), "doc", "n")
+    return reps.select(F.explode(keys).alias("key"), "doc")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (doc, centre) whose whole sets reach the similarity, as links (a, b)."""
+def enough(shared: int, n: int, m: int, percent: int) -> bool:
+    return 100 * shared >= percent * (n + m - shared)
+
+
+def with_centres(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) among the pairs (doc, centre), confirmed on whole sets."""
     member = texts.select(F.col("doc_id").alias("doc"), F.col("text").alias("text"))
     middle = texts.select(F.col("doc_id").alias("centre"), F.col("text").alias("centre_text"))
     both = pairs.join(member, "doc").join(middle, "centre").select("doc", "text", "centre", "centre_text")
@@ -111,8 +115,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                     if centre != last:
                         last, held = centre, shingles(centre_text, words)
                     own = shingles(text, words)
-                    shared = len(np.intersect1d(own, held, assume_unique=True))
-                    if 100 * shared >= percent * (len(own) + len(held) - shared):
+                    if enough(len(np.intersect1d(own, held, assume_unique=True)), len(own), len(held), percent):
                         a.append(doc)
                         b.append(centre)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -120,42 +123,96 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return both.mapInArrow(run, "a long, b long")
 
 
-def close_sizes(n: str, m: str, percent: int) -> F.Column:
-    """Whether two set sizes allow the similarity."""
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets."""
+    values = np.concatenate(right)
+    owner = np.repeat(np.arange(len(right)), [len(s) for s in right])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    out = np.zeros((len(left), len(right)), np.int64)
+    for i, own in enumerate(left):
+        begin, end = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+        begin, size = begin[end > begin], (end - begin)[end > begin]
+        if len(size):
+            step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            out[i] = np.bincount(owner[np.repeat(begin, size) + step], minlength=len(right))
+    return out
+
+
+def compared(rows: list[tuple], words: int, percent: int) -> list[tuple[int, int]]:
+    """Links of one unit of work between its outer texts and its members."""
+    sides = [[r for r in rows if r[1] is outer] for outer in (True, False)]
+    sets = [[shingles(r[4], words) for r in side] for side in sides]
+    if not sets[0] or not sets[1]:
+        return []
+    counts = shared_counts(*sets)
+    n, m = (np.array([len(s) for s in side]) for side in sets)
+    near = 100 * counts >= percent * (n[:, None] + m - counts)
+    apart = np.array([r[3] for r in sides[0]])[:, None] != np.array([r[3] for r in sides[1]])
+    return [(sides[0][i][2], sides[1][j][2]) for i, j in zip(*np.nonzero(near & apart), strict=True)]
+
+
+def outside_centres(pairs: DataFrame, groups: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) of texts that lie in another component than a centre of theirs.
+
+    Such outer texts are compared with all texts of the centre that lie in
+    another component than they do; outer texts and members are cut into blocks
+    of about SIDE.
+    """
+    centres = pairs.select("centre", F.col("centre").alias("doc")).distinct()
+    members = labelled(pairs.select("centre", "doc").unionAll(centres), groups)
+    of = groups.select(F.col("node").alias("centre"), F.col("component").alias("_of"))
+    members = members.join(of, "centre", "left").withColumn("outer", F.col("component") != F.coalesce("_of", "centre")).drop("_of")
+    sizes = members.groupBy("centre").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("outer").cast("int")).alias("outside"))
+    sizes = sizes.where((F.col("outside") > 0) & (F.col("size") > 2)).select(
+        "centre", F.ceil(F.col("size") / SIDE).cast("int").alias("blocks"), F.ceil(F.col("outside") / SIDE).cast("int").alias("outer_blocks")
+    )
+    placed = members.join(sizes, "centre")
+    own = lambda n: F.pmod(F.xxhash64("doc"), F.col(n)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    inner = placed.select("centre", upto("outer_blocks").alias("x"), own("blocks").alias("y"), F.lit(False).alias("outer"), "doc", "component")
+    outer = placed.where("outer").select("centre", own("outer_blocks").alias("x"), upto("blocks").alias("y"), "outer", "doc", "component")
+    units = inner.unionAll(outer).withColumn("unit", F.xxhash64("centre", "x", "y"))
+    held = units.select("unit", "outer", "doc", "component").join(texts.select(F.col("doc_id").alias("doc"), "text"), "doc")
+    dealt = held.select("unit", "outer", "doc", "component", "text").repartition("unit").sortWithinPartitions("unit")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def answer(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else [[]] * 2)], names=["a", "b"])
+
+        unit, rows = None, []
+        for batch in batches:
+            for row in zip(*batch.to_pydict().values(), strict=True):
+                if row[0] != unit:
+                    yield answer(compared(rows, words, percent))
+                    unit, rows = row[0], []
+                rows.append(row)
+        yield answer(compared(rows, words, percent))
+
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def links(reps: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Components (node, component) of the representatives (doc, n, collections)."""
     rows = buckets(reps)
-    first = F.min(F.struct("doc", "n")).alias("first")
-    shared = rows.groupBy("key").agg(first, F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = rows.join(shared, "key").select("key", "doc", "n", F.col("first.doc").alias("centre"), F.col("first.n").alias("m"), "size").checkpoint()
-    pairs = members.where((F.col("doc") != F.col("centre")) & close_sizes("n", "m", percent)).select("doc", "centre").distinct()
-    found = confirmed(pairs, docs, words, percent).checkpoint()
-    groups = connected_components(found)
-    open_rows = unsettled(members.where("size > 2").select("key", "doc", "n"), groups)
-    if open_rows.isEmpty():
+    shared = rows.groupBy("key").agg(F.min("doc").alias("centre"), F.max("doc").alias("last")).where("last > centre").drop("last")
+    pairs = rows.join(shared, "key").where("doc <> centre").select("doc", "centre").distinct().checkpoint()
+    sizes = reps.select("doc", "n")
+    close = (
+        pairs.join(sizes, "doc").join(sizes.select(F.col("doc").alias("centre"), F.col("n").alias("m")), "centre")
+        .where(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).select("doc", "centre")
+    )
+    groups = connected_components(with_centres(close, docs, words, percent).checkpoint())
+    more = outside_centres(pairs, groups, docs, words, percent).checkpoint()
+    if more.isEmpty():
         return groups
-    rank = F.row_number().over(W.partitionBy("key").orderBy("doc"))
-    ranked = open_rows.select("key", "doc", "n", rank.alias("rank")).checkpoint()
-    texts = docs.join(ranked.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").checkpoint()
-    low, high = 1, 1 + MORE_CENTRES
-    while True:
-        now = labelled(ranked, groups)
-        centres = now.where((F.col("rank") > low) & (F.col("rank") <= high)).select(
-            "key", F.col("doc").alias("centre"), F.col("n").alias("m"), F.col("rank").alias("at"), F.col("component").alias("other")
-        )
-        fresh = now.join(centres, "key").where((F.col("rank") > F.col("at")) & (F.col("component") != F.col("other")) & close_sizes("n", "m", percent))
-        more = confirmed(fresh.select("doc", "centre").distinct(), texts, words, percent).checkpoint()
-        if not more.isEmpty():
-            found = found.unionAll(more)
-            groups = connected_components(found)
-        left = unsettled(ranked, groups)
-        ranked = left.join(left.groupBy("key").agg(F.max("rank").alias("most")).where(F.col("most") > high + 1), "key", "left_semi").select("key", "doc", "n", "rank").checkpoint()
-        if ranked.isEmpty():
-            return groups
-        low, high = high, high + (high - low) * MORE_CENTRES
+    # Between components only: contract, then give every text its component's component.
+    ends = labelled(labelled(more.select(F.col("a").alias("doc"), "b"), groups).select(F.col("b").alias("doc"), F.col("component").alias("a")), groups)
+    above = connected_components(ends.select("a", F.col("component").alias("b"))).select(F.col("node").alias("component"), F.col("component").alias("top"))
+    known = groups.select(F.col("node").alias("doc"), "component").unionAll(
+        more.select(F.explode(F.array("a", "b")).alias("doc")).distinct().join(groups.select(F.col("node").alias("doc")), "doc", "left_anti").withColumn("component", F.col("doc"))
+    )
+    return known.join(above, "component", "left").select(F.col("doc").alias("node"), F.coalesce("top", "component").alias("component")).checkpoint()
 
 
 def labelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -164,13 +221,6 @@ def labelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(of, "doc", "left").withColumn("component", F.coalesce("_of", "doc")).drop("_of")
 
 
-def unsettled(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of buckets whose texts lie in different components."""
-    now = labelled(rows, groups)
-    keys = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    return now.drop("component").join(keys, "key", "left_semi")
-
-
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row.
 

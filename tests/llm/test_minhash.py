@@ -6,6 +6,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 
 from starmart.llm import minhash
@@ -89,20 +90,33 @@ def test_against_all_pairs(spark, words):
     assert sorted(map(tuple, minhash.near_duplicates(df, words).collect())) == brute(docs, words, 80)
 
 
-def test_unsettled_buckets_need_more_centres(spark, monkeypatch):
-    """With one hash a collection whole families share buckets, and most pairs aren't with the first text."""
-    monkeypatch.setattr(minhash, "MORE_CENTRES", 2)
+@pytest.mark.parametrize("side", [2, 128])
+def test_families_of_which_most_are_not_near_their_centre(spark, monkeypatch, side):
+    monkeypatch.setattr(minhash, "SIDE", side)
     rng = random.Random(9)
     base = drifting(rng, 1, 60, 0)[0].split()
     texts = []
     for f in range(6):
         own = [f"f{f}x{i}" for i in range(30)]
         texts += [" ".join(base + own + [f"r{rng.randrange(10**6)}" for _ in range(3)]) for _ in range(4)]
+    for k in range(25):  # copies of one text with more and more changes, from both ends
+        words = list(base)
+        for _ in range(k % 13):
+            words[rng.randrange(len(words))] = f"c{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    rng.shuffle(texts)
     docs = list(enumerate(texts))
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert sorted(map(tuple, minhash.near_duplicates(df, 2).collect())) == brute(docs, 2, 80)
 
 
+def test_shared_counts():
+    rng = np.random.default_rng(4)
+    left, right = ([np.unique(rng.integers(0, 60, rng.integers(0, 50))).astype(np.uint64) for _ in range(9)] for _ in range(2))
+    got = minhash.shared_counts(left, right)
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in right] for a in left]
+
+
 def test_long_texts_in_blocks(monkeypatch):
     text = " ".join(str(i * 7919 % 10_007) for i in range(2000))
     whole = minhash.collections(minhash.shingles(text, 2))
