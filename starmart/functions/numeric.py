@@ -30,11 +30,6 @@ def to_int(c) -> Column:
     return F.rint(as_col(c).cast("double")).cast("int")
 
 
-def to_long(c) -> Column:
-    """Double -> bigint with half-to-even rounding."""
-    return F.rint(as_col(c).cast("double")).cast("long")
-
-
 def pct(part, whole, digits: int = 2) -> Column:
     """``part * 100.0 / whole`` as DOUBLE, rounded (never a DECIMAL)."""
     return dround(as_col(part).cast("double") * F.lit(100.0) / as_col(whole).cast("double"), digits)

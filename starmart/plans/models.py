@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.specs import HEALTH_SPECS
 from starmart.functions import features as feat
 from starmart.functions.dates import try_date, week_of_month
 from starmart.functions.numeric import count_if, dround, rate, ravg, to_int
@@ -81,22 +82,11 @@ def stage_date(raw: DataFrame) -> DataFrame:
     )
 
 
-FACT_LONGS = ("fact_id", "student_key", "lifestyle_key", "health_key", "activity_key",
-              "sleep_key", "date_key")
-FACT_DOUBLES = ("bmi", "sleep_duration", "exercise_duration", "calorie_expenditure",
-                "water_intake")
-FACT_INTS = ("heart_rate", "stress_level", "step_count")
-FACT_ORDER = ("fact_id", "student_key", "lifestyle_key", "health_key", "activity_key",
-              "sleep_key", "date_key", "bmi", "heart_rate", "stress_level", "sleep_duration",
-              "step_count", "exercise_duration", "calorie_expenditure", "water_intake")
-
-
 def stage_fact(raw: DataFrame) -> DataFrame:
     """Strict casts (a bad value raises under ANSI); doubles -> int half to even."""
-    exprs = {c: F.col(c).cast("long") for c in FACT_LONGS}
-    exprs.update({c: F.col(c).cast("double") for c in FACT_DOUBLES})
-    exprs.update({c: to_int(c) for c in FACT_INTS})
-    return raw.select(*[exprs[c].alias(c) for c in FACT_ORDER])
+    whole = ("heart_rate", "stress_level", "step_count")
+    return raw.select(*[(to_int(c) if c in whole else F.col(c).cast(t)).alias(c)
+                        for c, t in HEALTH_SPECS["fact_health_analytics"].types])
 
 
 STAGERS = {

@@ -705,7 +705,18 @@ METRIC_TABLES = {"mrt_health_distribution": METRIC_DISTRIBUTION, "mrt_bmi_by_gen
 FEATURES = """bmi_class, composite_activity_score, health_trend_indicator, sleep_quality_encoded,
   physical_activity_encoded, smoking_alcohol_encoded"""
 
+def _contract_rows(name, named):
+    checks = {"file_exists": "TRUE", "file_not_empty": "TRUE", "header_present": "TRUE",
+              "required_columns": named, "pii_columns_present": named}
+    parts = [f"SELECT '{name}' AS table_name, '{c}' AS check_name, {ok} AS passed, "
+             f"CAST(NULL AS BIGINT) AS row_count" for c, ok in checks.items()]
+    return parts + [f"SELECT '{name}', 'min_rows', COUNT(*) >= 1, COUNT(*) FROM customer"]
+
+
 ORACLE.update({
+    "csv_contract_checks": "\nUNION ALL\n".join(
+        _contract_rows("customer", "TRUE") + _contract_rows("unnamed", "FALSE")
+        + ["SELECT 'missing', 'file_exists', FALSE, CAST(NULL AS BIGINT)"]),
     "csv_text_documents": "SELECT doc_id, nullif(text, '') AS text, nullif(lang, '') AS lang, "
                           "nullif(source, '') AS source, n_chars FROM documents",
     "csv_text_pages": "SELECT page_id, nullif(url, '') AS url, nullif(html, '') AS html "

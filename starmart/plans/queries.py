@@ -798,7 +798,27 @@ def completeness_found(spark, sf):
         "delta", F.col("cur_complete") - F.col("base_complete"))
 
 
+def csv_contract_checks(spark, sf):
+    """Contract of CSV extracts, one without its PII column and one missing (S-01, S-02, S-11)."""
+    from starmart.session import scratch_path
+    from starmart.sources.csv import write_csv_extract
+    from starmart.specs import TableSpec
+    root = scratch_path(spark, "contract")
+    customer = D.read(spark, sf, "customer")
+    write_csv_extract(customer, f"{root}/customer")
+    write_csv_extract(customer.drop("c_name"), f"{root}/unnamed")
+    reports = {}
+    for name in ("customer", "unnamed", "missing"):
+        spec = TableSpec(name, tuple((f.name, f.dataType) for f in customer.schema.fields),
+                         pii=("c_name",), min_rows=1)
+        reports[name] = K.csv_contract(spark, f"{root}/{name}", spec)
+    rows = F.when(F.col("check_name") == "min_rows", F.col("observed"))
+    return K.contract_all(reports).select("table_name", "check_name", "passed",
+                                          rows.alias("row_count"))
+
+
 QUERIES.update({
+    "csv_contract_checks": csv_contract_checks,
     "csv_text_documents": csv_text_documents,
     "csv_text_pages": csv_text_pages,
     "scd_valid_at": scd_valid_at,

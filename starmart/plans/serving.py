@@ -18,7 +18,7 @@ from starmart.plans.models import METRIC_ORDER, sort_columns
 from starmart.sources.layers import bools_to_int, replace_parquet
 from starmart.functions.text import mask_prefix
 
-# The 27 fields of a published student record (key column(s) first).
+# The fields of a published student record behind its key column(s).
 RECORD_FIELDS = (
     "student_key", "national_id_hashed", "gender", "age_derived",
     "health_condition", "severity_level", "treatment_type",

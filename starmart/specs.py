@@ -114,7 +114,7 @@ HEALTH_SPECS: dict[str, TableSpec] = {
 # Source file name of each table (upper case, .csv).
 HEALTH_FILES = {name: f"{name.upper()}.csv" for name in HEALTH_SPECS}
 
-# Declared column tests per model: (unique columns, not-null columns).
+# Declared column tests per model, (unique columns, not-null columns).
 MODEL_TESTS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "stg_student": (("student_key",), ("student_key", "national_id", "gender", "is_current")),
     "stg_health": (("health_key",), ("health_key", "health_condition", "severity_level")),

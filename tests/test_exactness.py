@@ -242,3 +242,30 @@ def test_rows_come_in_the_order_of_the_sql(spark, name):
     order = ", ".join(f"{k} NULLS LAST" for k in ORDERS[name].split(", "))
     want = db.sql(f"SELECT {', '.join(keys)} FROM ({ORACLE[name]}) q ORDER BY {order}").fetchall()
     assert got == want and got
+
+
+# ---------------------------------------------------------------- incremental loads, catalog tables
+
+
+def test_changed_rows_and_watermark(spark):
+    from starmart.operators.incremental import after_watermark, changed_rows
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "k long, v string")
+    new = spark.createDataFrame([(1, "a"), (2, "c"), (3, None)], "k long, v string")
+    assert sorted(map(tuple, changed_rows(new, old).collect()), key=str) == [(2, "c"), (3, None)]
+    assert [r.k for r in after_watermark(new, "k", 2).collect()] == [3]
+
+
+def test_only_the_batch_s_partitions_are_overwritten(spark, tmp_path):
+    from starmart.operators.incremental import write_partitions
+    path = str(tmp_path / "p")
+    write_partitions(spark.createDataFrame([(1, 1), (2, 2)], "v long, p long"), path, ["p"])
+    write_partitions(spark.createDataFrame([(9, 2)], "v long, p long"), path, ["p"])
+    assert sorted((r.v, r.p) for r in spark.read.parquet(path).collect()) == [(1, 1), (9, 2)]
+
+
+def test_save_table_replaces(spark):
+    from starmart.sources.layers import save_table
+    name = save_table(spark.range(3), "exactness", "t")
+    save_table(spark.range(5), "exactness", "t")
+    assert spark.table(name).count() == 5
+    spark.sql("DROP DATABASE exactness CASCADE")
