@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import picked
+from starmart.session import ensure_checkpoint_dir
 
 THRESHOLD = 0.8
 TOKEN = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
@@ -92,13 +93,15 @@ def anchors(templates: list[tuple[str, dict[str, int]]], idf: dict[str, float],
 def own_licences(files: DataFrame, templates: tuple, threshold: float) -> DataFrame:
     """(file, licence, similarity): the best template of each file that reaches the threshold."""
     spark = files.sparkSession
+    ensure_checkpoint_dir(spark)
     parsed = template_tokens(templates)
     idf, other = weights(files, {t for _, counts in parsed for t in counts})
     pattern = "(?<![a-z0-9])(?:" + "|".join(map(re.escape, anchors(parsed, idf, threshold))) + ")(?![a-z0-9])"
     whole = F.when(F.col("path").rlike(LICENCE_FILE), F.array("text")).otherwise(F.array().cast("array<string>"))
     units = F.filter(F.concat(F.split("text", "\n", -1), whole), lambda u: lowered(u).rlike(pattern))
     holding = files.where(lowered(F.col("text")).rlike(pattern)).select("file", F.explode(units).alias("unit"))
-    keyed = holding.select("file", F.sha2(F.encode("unit", "UTF-8"), 256).alias("key"), "unit")
+    # The few units that hold an anchor are used four times below: cut here, the texts are read once.
+    keyed = holding.select("file", F.sha2(F.encode("unit", "UTF-8"), 256).alias("key"), "unit").checkpoint()
     distinct = keyed.groupBy("key").agg(F.first("unit").alias("unit"))
     counted = distinct.select("key", F.explode(tokens(F.col("unit"))).alias("token")).groupBy("key", "token").agg(F.count(F.lit(1)).alias("tf"))
     idf_table = spark.createDataFrame([(t, w) for t, w in idf.items()], "token string, idf double")
@@ -111,7 +114,7 @@ def own_licences(files: DataFrame, templates: tuple, threshold: float) -> DataFr
     best = F.max(F.struct(F.round(F.col("dot") / F.col("norm"), 6).alias("similarity"), F.col("licence")))
     scored = dots.join(norms, "key").where(F.col("dot") / F.col("norm") >= threshold).groupBy("key").agg(best.alias("best"))
     found = keyed.select("file", "key").distinct().join(scored, "key").groupBy("file").agg(F.max("best").alias("best"))
-    return found.select("file", "best.licence", "best.similarity")
+    return found.select("file", "best.licence", "best.similarity").checkpoint()
 
 
 def parent(path: Column) -> Column:
