@@ -65,7 +65,7 @@ class Merges:
         if known is None:
             if len(self._border) >= REMEMBERED:
                 self._border.clear()
-            known = self.merged(self.symbols(left) + self.symbols(right)) == [left, right]
+            known = self.whole(right) and self.merged(self.symbols(left) + self.symbols(right)) == [left, right]
             self._border[left, right] = known
         return known
 
@@ -74,15 +74,19 @@ class Merges:
 
         ``before[i]`` is the last token of its first ``i`` symbols ("" for none).
         """
-        text, n = prefix + end, len(prefix)
-        found, start = [], n - 1
-        while start >= 0 and (token := self.tails.get(text[start:])) is not None:
-            if token:
-                found.append(start)
-            start -= 1
-        for start in reversed(found):
+        text = prefix + end
+        tails, found, start = self.tails, [], len(prefix) - 1
+        while start >= 0:
             token = text[start:]
-            if self.whole(token) and (not start or self.joined(before[start], token)):
+            ends = tails.get(token)
+            if ends is None:
+                break
+            if ends:
+                found.append((start, token))
+            start -= 1
+        border = self._border
+        for start, token in reversed(found):
+            if self.whole(token) if not start else border.get((before[start], token)) or self.joined(before[start], token):
                 return token
         raise ValueError(f"no token ends at {text[-40:]!r}")
 
@@ -135,15 +139,20 @@ def trie_encode(merges: Merges, words: Iterable[str], end: str = "") -> dict[str
     while stack:
         node, prefix, depth = stack.pop()
         del last[depth:]
-        if node.get(Trie.END) is not None:
+        inner = len(node)
+        if Trie.END in node:
+            inner -= 1
             token = merges.last(prefix, last, end)
             back, at = [ids[token]], depth - (len(token) - len(end))
             while at:
                 token = last[at]
                 back.append(ids[token])
                 at -= len(token)
-            out[prefix] = back[::-1]
-        if len(node) > (Trie.END in node):
+            back.reverse()
+            out[prefix] = back
+        if inner:
             last.append(merges.state(prefix, last))
-            stack.extend((child, prefix + c, depth + 1) for c, child in node.items() if c)
+            for c, child in node.items():
+                if c:
+                    stack.append((child, prefix + c, depth + 1))
     return out

@@ -22,6 +22,8 @@ from starmart.llm.common import WordCache, map_slices, picked
 
 #: Distinct words in one trie.
 TRIE_WORDS = 20_000
+#: Words whose ids a worker remembers; their chunks are cheap to put together again.
+WORDS_KEPT = 700_000
 #: White space of str.split() that the file's \\s doesn't hold.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -51,7 +53,7 @@ class WordVocabulary:
         self.words = regex.compile(pattern)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.alphabet = byte_alphabet()
-        self.of_word = WordCache()
+        self.of_word = WordCache(WORDS_KEPT)
         self.of_chunk = WordCache()
 
     def _symbols(self, token: str) -> list[str]:
@@ -75,9 +77,9 @@ class WordVocabulary:
     def learn(self, chunks: set[str]) -> None:
         """Fill the cache with the ids of the given chunks (LE uint32 bytes)."""
         words = {c: [self.byte_word(w) for w in self.words.findall(c)] for c in chunks}
-        fresh = sorted({w for ws in words.values() for w in ws} - self.of_word.keys())
-        self.of_word.make_room(len(fresh))
-        fresh = sorted({w for ws in words.values() for w in ws if w not in self.of_word})
+        needed = {w for ws in words.values() for w in ws}
+        self.of_word.make_room(sum(w not in self.of_word for w in needed))
+        fresh = [w for w in needed if w not in self.of_word]
         for start in range(0, len(fresh), TRIE_WORDS):
             for word, ids in bpe.trie_encode(self.merges, fresh[start : start + TRIE_WORDS], self.end).items():
                 self.of_word[word] = np.array(ids, "<u4").tobytes()
