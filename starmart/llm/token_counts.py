@@ -20,6 +20,8 @@ from starmart.llm import bpe
 from starmart.llm.common import WordCache, map_slices, picked
 
 BLANK = "▁"
+#: Words whose counts a worker remembers.
+WORDS_KEPT = 700_000
 
 
 class PieceVocabulary:
@@ -39,7 +41,7 @@ class PieceVocabulary:
             raise ValueError("a piece holds a blank behind another character")
         self.merges = bpe.Merges(ids, lambda a, b: cost.get(a + b))
         self.known = frozenset(c for c in "".join(ids))
-        self.of_word = WordCache()  # by the word behind a single blank
+        self.of_word = WordCache(WORDS_KEPT)  # by the word behind a single blank
         self.of_unit = WordCache(100_000)
 
     def units(self, text: str) -> list[str]:
