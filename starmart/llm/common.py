@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -36,6 +37,21 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[source].alias(name) for name, source in columns.items()])
 
 
+#: Functions that drop what a worker remembers for an operator.
+forgets: list[Callable] = []
+_working_for: list[str] = [""]
+
+
+def working_for(operator: str) -> None:
+    """Called where a task's Python code starts.  Spark uses workers again: what another
+    operator remembers in this one goes, so that a pipeline's stages don't add up."""
+    if _working_for[0] != operator:
+        _working_for[0] = operator
+        for forget in forgets:
+            forget()
+        gc.collect()
+
+
 def map_slices(df: DataFrame, fn: Callable, schema: T.StructType) -> DataFrame:
     """``fn`` over slices of at most SLICE_ROWS rows of every partition.
 
@@ -47,6 +63,7 @@ def map_slices(df: DataFrame, fn: Callable, schema: T.StructType) -> DataFrame:
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working_for(fn.__module__)
         out = to_arrow_schema(schema)
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
@@ -63,6 +80,7 @@ def filter_texts(df: DataFrame, keep: Callable, text_col: str = "text") -> DataF
     """The rows that ``keep`` (a list of texts to a list of booleans) accepts, unchanged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working_for(keep.__module__)
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)

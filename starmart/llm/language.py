@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import WordCache, crc32_fold, filter_texts, hash_sample, map_slices, picked
+from starmart.llm.common import WordCache, crc32_fold, filter_texts, forgets, hash_sample, map_slices, picked
 
 HIDDEN = 24
 SEGMENT = 32
@@ -229,6 +229,7 @@ def predict(df: DataFrame, model: tuple, id_col: str = "doc_id", text_col: str =
 
 
 _latest: list = []
+forgets.append(_latest.clear)
 
 
 def identifier(model: tuple) -> Identifier:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import map_slices, mix64, picked
+from starmart.llm.common import map_slices, mix64, picked, working_for
 from starmart.llm.components import connected_components
 from starmart.session import ensure_checkpoint_dir
 
@@ -106,6 +106,7 @@ def with_centres(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -
     both = pairs.join(member, "doc").join(middle, "centre").select("doc", "text", "centre", "centre_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working_for(__name__)
         last, held = object(), np.empty(0, np.uint64)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
@@ -180,6 +181,7 @@ def outside_centres(pairs: DataFrame, groups: DataFrame, texts: DataFrame, words
         def answer(found: list[tuple[int, int]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else [[]] * 2)], names=["a", "b"])
 
+        working_for(__name__)
         unit, rows = None, []
         for batch in batches:
             for row in zip(*batch.to_pydict().values(), strict=True):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import WordCache, map_slices, picked
+from starmart.llm.common import WordCache, forgets, map_slices, picked
 from starmart.llm.word_encoding import byte_alphabet
 from starmart.session import ensure_checkpoint_dir
 
@@ -94,6 +94,9 @@ def vocabulary(path: str) -> ByteVocabulary:
     return ByteVocabulary(path)
 
 
+forgets.append(vocabulary.cache_clear)
+
+
 def token_pieces(df: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents as token pieces: doc_id, piece, start, length, ids (binary, LE uint32).
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from starmart.llm import bpe
-from starmart.llm.common import WordCache, map_slices, picked
+from starmart.llm.common import WordCache, forgets, map_slices, picked
 
 BLANK = "▁"
 #: Words whose counts a worker remembers.
@@ -114,6 +114,9 @@ def vocabulary(path: str) -> PieceVocabulary:
     return PieceVocabulary(path)
 
 
+forgets.append(vocabulary.cache_clear)
+
+
 def count_tokens(df: DataFrame, path: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokens of every whole text: doc_id, n_bytes, n_tokens (long), over_limit (n_tokens > limit).
 

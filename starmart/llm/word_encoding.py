@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from starmart.llm import bpe
-from starmart.llm.common import WordCache, map_slices, picked
+from starmart.llm.common import WordCache, forgets, map_slices, picked
 
 #: Distinct words in one trie.
 TRIE_WORDS = 20_000
@@ -117,6 +117,9 @@ def vocabulary(path: str) -> WordVocabulary:
     return WordVocabulary(path)
 
 
+forgets.append(vocabulary.cache_clear)
+
+
 def encode_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode every whole text and decode the ids again.
 

@@ -174,3 +174,14 @@ def test_packing_query_on_the_small_tables(spark):
         assert at == len(ids)
     assert not by
     assert check_packing(rows, 2048) <= total // 2048 + 2
+
+
+def test_a_worker_forgets_what_another_operator_left():
+    from starmart.llm import common
+
+    common.working_for("one")
+    kept = token_counts.vocabulary(PIECES)
+    common.working_for("one")
+    assert token_counts.vocabulary(PIECES) is kept
+    common.working_for("two")
+    assert token_counts.vocabulary(PIECES) is not kept
