@@ -1,10 +1,15 @@
 """Licence scan: TF-IDF cosine to templates, then inheritance from ancestor directories.
 
-Units are the lines of every text (headers and notices, wherever they stand)
-and, for files named like a licence, the text as a whole.  Token weights use
-document frequencies over all texts.  A unit that reaches the threshold with a
-template must hold one of the template's heaviest tokens, so many that the
-others alone can't reach it; only such units are scored, and equal units once.
+Units are the lines of every text, the text as a whole, and windows of each
+template's number of tokens, across line breaks: at every token of a statement,
+every sixteenth of a header's length, every eighth of a licence text's.  Token
+weights use document frequencies over all texts.  A unit that reaches the
+threshold with a template must hold one of its anchors, tokens without which
+the others can't reach it, and its text tokens that make up the threshold's
+share of the template; windows are cut only there, and equal texts and equal
+units are worked out once.
+
+An SPDX tag states its licence itself, with similarity 1.
 
 A file's licence holds for its directory; where files of a directory differ,
 the most similar one does, then the first by name and path.  A file without a
@@ -16,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,10 +32,15 @@ from starmart.session import ensure_checkpoint_dir
 THRESHOLD = 0.8
 TOKEN = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Files named like a licence; the scan reads every text as a whole, whatever its name.
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)[^/]*$"
+#: The licence, or the expression of licences, behind an SPDX tag.
+SPDX = r"(?i)spdx-license-identifier:[ \t]*\(?([a-z0-9][a-z0-9.+-]*(?:[ \t]+(?:and|or|with)[ \t]+[a-z0-9][a-z0-9.+-]*)*)"
+#: Templates with more tokens are licence texts.
+LONG = 130
 
-# Licence statements to compare with.
-TEMPLATES = (
+# Licence statements, headers and (in the folder) texts to compare with.
+STATEMENTS = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
     ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
@@ -45,6 +56,19 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
+HEADERS = (
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("BSD-2-Clause", "Use of this source code is governed by a BSD 2-Clause license that can be found in the LICENSE file."),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+)
+TEXTS = tuple((f.stem, f.read_text()) for f in sorted((Path(__file__).parent / "licences").glob("*.txt")))
+TEMPLATES = STATEMENTS + HEADERS + TEXTS
 
 
 def lowered(text: Column) -> Column:
@@ -68,53 +92,101 @@ def weights(files: DataFrame, vocabulary: set[str]) -> tuple[dict[str, float], f
 
     The driver gets one count for each token of the templates.
     """
-    words = F.array(*[F.lit(t) for t in sorted(vocabulary)])
-    seen = files.select(F.explode(F.array_intersect(tokens(F.col("text")), words)).alias("token"))
+    words = files.sparkSession.createDataFrame([(t,) for t in sorted(vocabulary)], "token string")
+    seen = files.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("token")).join(F.broadcast(words), "token")
     counts = {r.token: r.n for r in seen.groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
     n = files.count()
     return {t: math.log((1 + n) / (1 + counts.get(t, 0))) + 1 for t in vocabulary}, math.log(1 + n) + 1
 
 
 def anchors(templates: list[tuple[str, dict[str, int]]], idf: dict[str, float], threshold: float) -> list[str]:
-    """Tokens of which a unit holds at least one if it reaches the threshold with any template."""
+    """Tokens of which a unit holds at least one if it reaches the threshold with any template.
+
+    Tokens with much weight that few texts hold come first.
+    """
     out = set()
     for _, counts in templates:
-        squares = sorted(((n * idf[t]) ** 2 for t, n in counts.items()), reverse=True)
-        order = sorted(counts, key=lambda t: (-((counts[t] * idf[t]) ** 2), t))
-        rest = total = sum(squares)
-        for token in order:
+        squares = {t: (n * idf[t]) ** 2 for t, n in counts.items()}
+        rest = total = sum(squares.values())
+        for token in sorted(counts, key=lambda t: (-math.log(squares[t]) - idf[t], t)):
             if rest < (threshold * threshold - 1e-6) * total:
                 break
             out.add(token)
-            rest -= (counts[token] * idf[token]) ** 2
+            rest -= squares[token]
     return sorted(out)
 
 
+def forms(templates: list[tuple[str, dict[str, int]]], idf: dict[str, float], threshold: float) -> list[tuple]:
+    """(template, length, step, starts, needed): how windows for a template are cut."""
+    out = []
+    for k, (licence, counts) in enumerate(templates):
+        n = sum(counts.values())
+        if n > LONG:
+            out.append((k, n, n // 8, [], []))
+        else:
+            step = max(1, n // 16)
+            out.append((k, n, step, sorted(counts) if step == 1 else [], anchors([(licence, counts)], idf, threshold)))
+    return out
+
+
+def windows(found: Column, form: Column) -> Column:
+    """Units of a form's length from an array of tokens, as texts: one at every step and one at the end.
+
+    They begin with one of ``starts`` and hold one of ``needed``, where these aren't empty.
+    """
+    length, starts, needed = form["length"], form["starts"], form["needed"]
+    last = F.greatest(F.size(found) - length, F.lit(0))
+    begin = F.array_union(F.sequence(F.lit(0), last, form["step"]), F.array(last))
+    begin = F.filter(begin, lambda k: (F.size(starts) == 0) | F.array_contains(starts, F.get(found, k)))
+    units = F.transform(begin, lambda k: F.slice(found, k + 1, length))
+    units = F.filter(units, lambda u: (F.size(needed) == 0) | F.arrays_overlap(u, needed))
+    return F.transform(units, lambda u: F.array_join(u, " "))
+
+
 def own_licences(files: DataFrame, templates: tuple, threshold: float) -> DataFrame:
     """(file, licence, similarity): the best template of each file that reaches the threshold."""
     spark = files.sparkSession
     ensure_checkpoint_dir(spark)
     parsed = template_tokens(templates)
     idf, other = weights(files, {t for _, counts in parsed for t in counts})
-    pattern = "(?<![a-z0-9])(?:" + "|".join(map(re.escape, anchors(parsed, idf, threshold))) + ")(?![a-z0-9])"
-    whole = F.when(F.col("path").rlike(LICENCE_FILE), F.array("text")).otherwise(F.array().cast("array<string>"))
-    units = F.filter(F.concat(F.split("text", "\n", -1), whole), lambda u: lowered(u).rlike(pattern))
-    holding = files.where(lowered(F.col("text")).rlike(pattern)).select("file", F.explode(units).alias("unit"))
-    # The few units that hold an anchor are used four times below: cut here, the texts are read once.
-    keyed = holding.select("file", F.sha2(F.encode("unit", "UTF-8"), 256).alias("key"), "unit").checkpoint()
-    distinct = keyed.groupBy("key").agg(F.first("unit").alias("unit"))
-    counted = distinct.select("key", F.explode(tokens(F.col("unit"))).alias("token")).groupBy("key", "token").agg(F.count(F.lit(1)).alias("tf"))
+    words = [*anchors(parsed, idf, threshold), "spdx-license-identifier"]
+    pattern = "(?<![a-z0-9])(?:" + "|".join(map(re.escape, words)) + ")(?![a-z0-9])"
+    lines = F.filter(F.split("text", "\n", -1), lambda u: lowered(u).rlike(pattern))
+    tags = F.transform(F.regexp_extract_all("text", F.lit(SPDX), F.lit(1)), lambda t: F.regexp_replace(t, "(?i)-(only|or-later)(?![a-z0-9.+-])", ""))
+    # The few texts that hold an anchor are used several times below: cut here, the table is read once.
+    holding = files.where(lowered(F.col("text")).rlike(pattern) & F.col("file").isNotNull())
+    doc = F.sha2(F.encode("text", "UTF-8"), 256)
+    holding = holding.select("file", doc.alias("doc"), lines.alias("lines"), tags.alias("tags"), tokens(F.col("text")).alias("found")).checkpoint()
+    texts = holding.groupBy("doc").agg(*[F.first(c).alias(c) for c in ("lines", "tags", "found")])
+
     idf_table = spark.createDataFrame([(t, w) for t, w in idf.items()], "token string, idf double")
     size = {k: math.sqrt(sum((n * idf[t]) ** 2 for t, n in counts.items())) for k, (_, counts) in enumerate(parsed)}
     entries = [(t, k, licence, n * idf[t] / size[k]) for k, (licence, counts) in enumerate(parsed) for t, n in counts.items()]
     template_table = spark.createDataFrame(entries, "token string, template int, licence string, part double")
+    form_table = spark.createDataFrame(forms(parsed, idf, threshold), "template int, length int, step int, starts array<string>, needed array<string>")
+
+    # A unit's cosine is at most the root of the template's share that lies in the text's tokens.
+    held = texts.select("doc", F.explode(F.array_distinct("found")).alias("token")).join(F.broadcast(template_table), "token")
+    near = held.groupBy("doc", "template").agg(F.sum(F.col("part") * F.col("part")).alias("share"))
+    near = near.where(F.col("share") >= threshold * threshold - 1e-6).join(F.broadcast(form_table), "template")
+    forms_of = near.groupBy("doc").agg(F.collect_list(F.struct("length", "step", "starts", "needed")).alias("forms"))
+    cut = F.flatten(F.transform("forms", lambda f: windows(F.col("found"), f)))
+    units = F.array_distinct(F.concat("lines", F.array(F.array_join("found", " ")), cut))
+    unit = texts.join(forms_of, "doc").select("doc", F.explode(units).alias("unit"))
+    keyed = unit.select("doc", F.sha2(F.encode("unit", "UTF-8"), 256).alias("key"), "unit").checkpoint()
+
+    distinct = keyed.groupBy("key").agg(F.first("unit").alias("unit"))
+    counted = distinct.select("key", F.explode(tokens(F.col("unit"))).alias("token")).groupBy("key", "token").agg(F.count(F.lit(1)).alias("tf"))
     weighed = counted.join(F.broadcast(idf_table), "token", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(other)))
     norms = weighed.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = weighed.join(F.broadcast(template_table), "token").groupBy("key", "template", "licence").agg(F.sum(F.col("w") * F.col("part")).alias("dot"))
     best = F.max(F.struct(F.round(F.col("dot") / F.col("norm"), 6).alias("similarity"), F.col("licence")))
     scored = dots.join(norms, "key").where(F.col("dot") / F.col("norm") >= threshold).groupBy("key").agg(best.alias("best"))
-    found = keyed.select("file", "key").distinct().join(scored, "key").groupBy("file").agg(F.max("best").alias("best"))
-    return found.select("file", "best.licence", "best.similarity").checkpoint()
+    stated = texts.select("doc", F.explode("tags").alias("licence")).select("doc", F.struct(F.lit(1.0).alias("similarity"), "licence").alias("best"))
+    found = keyed.select("doc", "key").distinct().join(scored, "key").select("doc", "best").unionByName(stated)
+    by_text = found.groupBy("doc").agg(F.max("best").alias("best"))
+    mine = holding.select("file", "doc").join(by_text, "doc").groupBy("file").agg(F.max("best").alias("best"))
+    return mine.select("file", "best.licence", "best.similarity").checkpoint()
 
 
 def parent(path: Column) -> Column:

@@ -84,3 +84,26 @@ def test_query_equals_the_sql(spark, sf):
     got = sorted(map(str, map(tuple, rows.collect())))
     assert got == sorted(map(str, db.sql(ORACLE["op1_license_scan"]).fetchall()))
     assert any("'own'" in r for r in got)
+
+
+def test_statements_inside_lines_across_lines_and_whole_texts(spark):
+    text = dict(ls.TEXTS)
+    wrapped = "This work is licensed under the\nGNU General Public License,\nversion 3."
+    header = [t for name, t in ls.HEADERS if name == "Apache-2.0"][0]
+    rows = [
+        ("// Copyright 2020 Jane Doe. Released under the MIT License.", "MIT"),
+        ("Notes. Released under the MIT License. See the appendix.", "MIT"),
+        ("A long paragraph on other things, and then: Licensed under CC BY-NC 4.0. It goes on for some more words.", "CC-BY-NC-4.0"),
+        ("first\n" + wrapped + "\nlast", "GPL-3.0"),
+        ("/*\n * Copyright 2021 X\n *\n * " + "\n * ".join(re.findall(r"(?:\S+\s*){1,9}", header)) + "\n */\nint main() {}", "Apache-2.0"),
+        ("// SPDX-License-Identifier: Zlib\ncode", "Zlib"),
+        ("/* SPDX-License-Identifier: (GPL-2.0-only OR MIT) */", "GPL-2.0 OR MIT"),
+        ("nothing of the kind; the license of this is unclear", None),
+        ("Third party parts\n\n" + "some words about them\n" * 40 + text["ISC"] + "more words " * 50, "ISC"),
+    ]
+    rows += [("Copyright (c) 2020 Some One\n\n" + t, name) for name, t in text.items()]
+    # Enough other texts that the weights are those of a table, not of the licences.
+    data = [(i, f"{i}/x.py", t) for i, (t, _) in enumerate(rows)] + [(1000 + i, f"others/{i}", f"the words of an other text {i} and that is all to it for you or me") for i in range(300)]
+    got = {r.doc_id: r for r in ls.scan(spark.createDataFrame(data, "doc_id long, path string, text string"), "doc_id", "path").collect()}
+    assert {i: got[i].licence for i in range(len(rows))} == {i: name for i, (_, name) in enumerate(rows)}
+    assert all(r.origin == "none" for i, r in got.items() if i >= 1000)
