@@ -1,13 +1,14 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-A lower-cased text is cut at white space into segments (long ones every
-SEGMENT bytes).  One recurrent layer reads a segment's bytes forwards and one
-backwards; at every byte a softmax over both states gives language
-probabilities, and a document's are the mean over all its bytes.  A segment's
-outcome depends on its bytes alone, so equal segments are worked out once.
-
-The network is trained in numpy by backpropagation through time, on the most
-frequent words of each language in a bounded sample of documents.
+A lower-cased text is cut at character borders into segments of about SEGMENT
+bytes, blanks and all, and CONTEXT bytes of its neighbours are read with each.
+One recurrent layer reads these bytes forwards and one backwards; at every byte
+a softmax over both states gives language probabilities.  A document's are the
+mean over all its bytes, a character's label is that of its last byte.  Equal
+segments are worked out once.
+
+The network is trained in numpy by backpropagation through time, on a bounded
+sample of the segments of each language's documents, cut by the same function.
 """
 
 from __future__ import annotations
@@ -18,13 +19,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import WordCache, crc32_fold, filter_texts, forgets, hash_sample, map_slices, picked
+from starmart.llm.common import WordCache, crc32_fold, filter_texts, forgets, map_slices, picked
 
 HIDDEN = 24
-SEGMENT = 32
-#: Most documents (about) and words of a language to learn from.
-TRAIN_DOCS, TRAIN_WORDS = 4_000, 6_000
-BATCH, EPOCHS, RATE, SEED = 128, 6, 0.01, 11
+SEGMENT, CONTEXT = 256, 16
+#: Most documents (about) and segments of a language to learn from.
+TRAIN_DOCS, TRAIN_SEGMENTS = 1_000, 500
+BATCH, EPOCHS, LEAST_STEPS, RATE, SEED = 32, 6, 60, 0.01, 11
+#: Segments worked out at a time, and remembered by a worker.
+TOGETHER, REMEMBERED = 512, 40_000
 UNDETERMINED = "und"
 #: Documents with a lower score are rejected by ``accept``.
 LEAST_SCORE = 0.4
@@ -134,8 +137,10 @@ def train(words: list[tuple[bytes, int, int]], languages: int) -> dict[str, np.n
     text = [w for w, _, _ in words]
     label = np.array([y for _, y, _ in words])
     weight = np.sqrt(np.array([n for _, _, n in words], np.float32))
-    total = EPOCHS * -(-len(words) // BATCH)
-    for _ in range(EPOCHS):
+    batches = -(-len(words) // BATCH)
+    epochs = max(EPOCHS, -(-LEAST_STEPS // batches))
+    total = epochs * batches
+    for _ in range(epochs):
         order = rng.permutation(len(words))
         for start in range(0, len(words), BATCH):
             rows = order[start : start + BATCH]
@@ -149,11 +154,65 @@ def train(words: list[tuple[bytes, int, int]], languages: int) -> dict[str, np.n
     return params
 
 
+def lean(params: dict[str, np.ndarray], words: list[bytes]) -> np.ndarray:
+    """The probabilities of ``network`` (steps, batch, languages) for words in order of falling length."""
+    data, mask, flip = padded(words)
+    active = mask.sum(1)
+    logits = np.tile(params["bias"], (*data.shape, 1))
+    for name, rows, half in (("ahead", data, slice(HIDDEN)), ("back", np.take_along_axis(data, flip, 0), slice(HIDDEN, None))):
+        # A gate is (tanh(x / 2) + 1) / 2: the halves are taken into the weights.
+        scale = np.float32([0.5] * (2 * HIDDEN) + [1] * HIDDEN)
+        inputs, recurrent = params[f"{name}_in"] * scale, params[f"{name}_re"] * scale
+        gates_in, inner_in = np.ascontiguousarray(inputs[:, : 2 * HIDDEN]), np.ascontiguousarray(inputs[:, 2 * HIDDEN :])
+        gates_re, inner_re = np.ascontiguousarray(recurrent[:, : 2 * HIDDEN]), np.ascontiguousarray(recurrent[:, 2 * HIDDEN :])
+        states = np.zeros((*data.shape, HIDDEN), np.float32)
+        h = np.zeros((len(words), HIDDEN), np.float32)
+        room, less = np.empty((len(words), 2 * HIDDEN), np.float32), np.empty_like(h)
+        for t, n in enumerate(active):
+            h, at = h[:n], rows[t, :n]
+            g = np.dot(h, gates_re)
+            g += np.take(gates_in, at, 0, out=room[:n], mode="clip")
+            np.tanh(g, out=g)
+            g += 1
+            g *= np.float32(0.5)
+            c = np.dot(h, inner_re)
+            c *= g[:, HIDDEN:]
+            c += np.take(inner_in, at, 0, out=less[:n], mode="clip")
+            np.tanh(c, out=c)
+            new = np.subtract(h, c, out=states[t, :n])
+            new *= g[:, :HIDDEN]
+            new += c
+            h = new
+        out = (states.reshape(-1, HIDDEN) @ params["out"][half]).reshape(logits.shape)
+        logits += out if name == "ahead" else np.take_along_axis(out, flip[:, :, None], 0)
+    logits -= logits.max(axis=2, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=2, keepdims=True)
+    return logits
+
+
+def lowered(text: str) -> str:
+    """Lower-cased character by character, so that positions stay."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
+
+
+def cut(data: bytes) -> list[tuple[int, int, int, int]]:
+    """(first, begin, end, last) of every segment, at character borders: begin to end is its own, the rest context."""
+
+    def border(k: int) -> int:
+        while 0 < k < len(data) and data[k] & 0xC0 == 0x80:
+            k -= 1
+        return max(0, min(k, len(data)))
+
+    ends = [border(k) for k in range(0, len(data), SEGMENT)] + [len(data)]
+    return [(border(a - CONTEXT), a, b, border(b + CONTEXT)) for a, b in zip(ends, ends[1:], strict=False)]
+
+
 def segments(text: str) -> list[bytes]:
-    out = text.lower().encode().split()
-    if any(len(w) > SEGMENT for w in out):
-        return [w[i : i + SEGMENT] for w in out for i in range(0, len(w), SEGMENT)]
-    return out
+    """The bytes of every segment, with its context; surrogates alone, which UTF-8 hasn't, as '?'."""
+    data = lowered(text).encode(errors="replace")
+    return [data[first:last] for first, _, _, last in cut(data)]
 
 
 class Identifier:
@@ -161,69 +220,97 @@ class Identifier:
 
     def __init__(self, params: dict[str, np.ndarray], languages: list[str]):
         self.params, self.languages = params, languages
-        self.row = WordCache()
-        self.sums = np.empty((0, len(languages)), np.float32)
-
-    def learn(self, wanted: set[bytes]) -> None:
-        """Sums of the probabilities over the bytes of segments, kept by row."""
-        fresh = [w for w in wanted if w not in self.row]
-        if len(self.row) + len(fresh) > self.row.limit:
-            self.row.clear()
-            self.sums = self.sums[:0]
-            fresh = list(wanted)
-        fresh.sort(key=lambda w: (len(w), w))
-        parts = [self.sums]
-        for start in range(0, len(fresh), 1024):
-            p, mask, _ = network(self.params, fresh[start : start + 1024])
-            parts.append((p * mask[:, :, None]).sum(0))
-        base = len(self.sums)
-        self.row.update((w, base + i) for i, w in enumerate(fresh))
-        self.sums = np.concatenate(parts)
+        self.row = WordCache(REMEMBERED)
+
+    def learn(self, wanted: set[tuple[bytes, int, int]]) -> dict:
+        """Sums of the probabilities over a segment's own bytes, and the best language at each of them."""
+        fresh = sorted((w for w in wanted if w not in self.row), key=lambda w: (-len(w[0]), w))
+        known = {w: self.row[w] for w in wanted if w in self.row}
+        for start in range(0, len(fresh), TOGETHER):
+            part = fresh[start : start + TOGETHER]
+            p = lean(self.params, [w for w, _, _ in part])
+            best = p.argmax(2).astype(np.uint16)
+            for i, (w, a, b) in enumerate(part):
+                known[w, a, b] = p[a:b, i].sum(0), best[a:b, i].copy()
+        self.row.make_room(len(fresh))
+        self.row.update((w, known[w]) for w in fresh[: self.row.limit])
+        return known
+
+    def work_out(self, texts: list[str | None]) -> list[tuple[bytes, list] | None]:
+        """Bytes and outcomes of the segments of every text; None for those without a letter."""
+        out, wanted = [], set()
+        for t in texts:
+            if not t or not self.languages or not any(map(str.isalpha, t)):
+                out.append(None)
+                continue
+            data = lowered(t).encode(errors="replace")
+            keys = [(data[first:last], a - first, b - first) for first, a, b, last in cut(data)]
+            wanted.update(keys)
+            out.append((data, keys))
+        known = self.learn(wanted)
+        return [x and (x[0], [known[k] for k in x[1]]) for x in out]
+
+    def total(self, found: tuple[bytes, list] | None) -> tuple[str, float]:
+        if not found:
+            return UNDETERMINED, 0.0
+        pooled = np.sum([sums for sums, _ in found[1]], axis=0, dtype=np.float64)
+        best = int(pooled.argmax())
+        return self.languages[best], float(min(1.0, pooled[best] / len(found[0])))
+
+    def runs(self, found: tuple[bytes, list] | None) -> list[dict]:
+        """start, end (in code points) and lang of runs of characters with one label."""
+        if not found:
+            return []
+        data = np.frombuffer(found[0] + b" ", np.uint8)
+        last = (data[1:] & 0xC0) != 0x80  # where a character ends
+        labels = np.concatenate([best for _, best in found[1]])[last]
+        edges = [0, *(np.flatnonzero(labels[1:] != labels[:-1]) + 1).tolist(), len(labels)]
+        return [{"start": a, "end": b, "lang": self.languages[labels[a]]} for a, b in zip(edges, edges[1:], strict=False)]
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        cut = [segments(t) if t and self.languages and any(map(str.isalpha, t)) else [] for t in texts]
-        missing = {w for ws in cut for w in ws if w not in self.row}
-        if missing:
-            self.learn({w for ws in cut for w in ws} if len(self.row) + len(missing) > self.row.limit else missing)
-        out, row = [], self.row.__getitem__
-        for ws in cut:
-            if not ws:
-                out.append((UNDETERMINED, 0.0))
-                continue
-            pooled = self.sums[np.fromiter(map(row, ws), np.int64, len(ws))].sum(0, dtype=np.float64)
-            best = int(pooled.argmax())
-            out.append((self.languages[best], float(min(1.0, pooled[best] / sum(map(len, ws))))))
-        return out
+        return [self.total(x) for x in self.work_out(texts)]
 
 
-def frequent_words(docs: DataFrame) -> list[tuple[str, str, int]]:
-    """(lang, word, count): the most frequent words of each language in the sample."""
+def sampled_segments(docs: DataFrame) -> list[tuple[str, bytes, int]]:
+    """(lang, segment, count) from about TRAIN_DOCS documents of each language, chosen by a hash of the id."""
     learnt = picked(docs, doc_id="doc_id", text="text", lang="lang").where(
-        (crc32_fold("doc_id", 4) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()
+        (crc32_fold("doc_id", 4) != 2) & F.col("lang").isNotNull() & (F.length("text") > 0)
     )
-    words = hash_sample(learnt, TRAIN_DOCS).select("lang", F.explode(F.split(F.lower("text"), r"\s+")).alias("word"))
-    counted = words.where(F.length("word").between(1, SEGMENT)).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = counted.withColumn("_rank", rank).where(F.col("_rank") <= TRAIN_WORDS).orderBy("lang", "_rank")
-    return [(r.lang, r.word, r.n) for r in top.collect()]  # bounded: TRAIN_WORDS for each language
+    scale = 1 << 30
+    share = learnt.groupBy("lang").agg((F.lit(float(scale * TRAIN_DOCS)) / F.count(F.lit(1))).alias("below"))
+    some = learnt.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(scale)) < F.col("below"))
+    schema = T.StructType().add("lang", "string").add("segments", T.ArrayType(T.BinaryType()))
+    parts = map_slices(some.select("lang", "text"), lambda rows: [rows["lang"], [segments(t) for t in rows["text"]]], schema)
+    counted = parts.select("lang", F.explode("segments").alias("segment")).groupBy("lang", "segment").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("segment"), "segment"))
+    top = counted.withColumn("_rank", rank).where(F.col("_rank") <= TRAIN_SEGMENTS).orderBy("lang", "_rank")
+    return [(r.lang, bytes(r.segment), r.n) for r in top.collect()]  # bounded: TRAIN_SEGMENTS for each language
 
 
 def fit(docs: DataFrame) -> tuple[dict[str, np.ndarray], list[str]]:
     """Network and languages learnt from rows whose crc32 fold isn't 2."""
-    words = frequent_words(docs)
+    words = sampled_segments(docs)
     languages = sorted({lang for lang, _, _ in words})
-    rows = [(w.encode()[:SEGMENT], languages.index(lang), n) for lang, w, n in words]
+    rows = [(w, languages.index(lang), n) for lang, w, n in words]
     return (train(rows, len(languages)) if rows else {}), languages
 
 
+POSITIONS = T.ArrayType(T.StructType().add("start", "long").add("end", "long").add("lang", "string"))
+
+
 def predict(df: DataFrame, model: tuple, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score of every row; ``und`` and 0 for a null text or one without a letter."""
+    """doc_id, lang_pred, score, positions of every row; ``und``, 0 and none for a null text or one without a letter.
+
+    ``positions``: start, end (in code points) and lang of runs of characters with the same label.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType().add("doc_id", df.schema[id_col].dataType).add("lang_pred", "string").add("score", "double")
+    schema = T.StructType().add("doc_id", df.schema[id_col].dataType).add("lang_pred", "string").add("score", "double").add("positions", POSITIONS)
 
     def run(rows: dict[str, list]) -> list[list]:
-        found = identifier(shared.value).predict(rows["text"])
-        return [rows["doc_id"], [x for x, _ in found], [s for _, s in found]]
+        reader = identifier(shared.value)
+        outcomes = reader.work_out(rows["text"])
+        found = [reader.total(x) for x in outcomes]
+        return [rows["doc_id"], [x for x, _ in found], [s for _, s in found], [reader.runs(x) for x in outcomes]]
 
     return map_slices(picked(df, doc_id=id_col, text=text_col), run, schema)
 
@@ -240,9 +327,9 @@ def identifier(model: tuple) -> Identifier:
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every document."""
+    """doc_id, held_out, lang_pred, score, positions of every document."""
     return predict(docs, fit(docs)).select(
-        "doc_id", F.coalesce(crc32_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
+        "doc_id", F.coalesce(crc32_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "positions"
     )
 
 

@@ -116,3 +116,33 @@ def test_sample_is_bounded_and_repeatable(spark, limit):
     df = spark.range(10_000).withColumnRenamed("id", "doc_id")
     assert abs(hash_sample(df, 100).count() - 100) < 50
     assert hash_sample(df, limit).count() <= max(limit * 20, 10_000 if limit > 1 else 20)
+
+
+def test_long_runs_are_learnt_and_read_whole(spark):
+    rng = np.random.default_rng(3)
+    draw = lambda first, n: "".join(chr(first + k) for k in rng.integers(0, 40, n))
+    rows = [(i, draw(0x4E00, 60 + i % 300), "zh") for i in range(60)] + [(100 + i, draw(0x0E01, 60 + i % 300), "th") for i in range(60)]
+    rows += [(200 + i, "the cat and the dog are in the house " * 3, "en") for i in range(60)]
+    mixed = "the cat and the dog are in the house " * 3 + draw(0x4E00, 100)
+    rows += [(300, mixed, None), (301, "İ" + draw(0x4E00, 50), None), (302, "12", None)]
+    got = {r.doc_id: r for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i].lang_pred == lang for i, _, lang in rows if lang)
+    for i, text, _ in rows:
+        runs = [(p.start, p.end) for p in got[i].positions]
+        assert not runs if i == 302 else runs[0][0] == 0 and runs[-1][1] == len(text)
+        assert all(a[1] == b[0] for a, b in zip(runs, runs[1:], strict=False))
+    at = lambda i, k: next(p.lang for p in got[i].positions if p.start <= k < p.end)
+    assert at(300, 50) == "en" and at(300, len(mixed) - 20) == "zh"
+
+
+def test_segments_hold_every_byte_once_at_character_borders():
+    for text in ("", "a", "日本語" * 500, "x" * 1000, "é" * 129, "a " * 400):
+        data = language.lowered(text).encode()
+        parts = language.cut(data)
+        assert b"".join(data[a:b] for _, a, b, _ in parts) == data
+        assert all(data[i:j].decode() for first, a, b, last in parts for i, j in ((first, last), (a, b)))
+        assert [data[first:last] for first, _, _, last in parts] == language.segments(text)
+    params = language.initial(3)
+    words = sorted(language.segments("some words " * 60), key=len, reverse=True)
+    p, mask, _ = language.network(params, words)
+    assert np.abs((language.lean(params, words) - p) * mask[:, :, None]).max() < 1e-5
