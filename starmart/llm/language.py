@@ -29,8 +29,8 @@ BATCH, EPOCHS, LEAST_STEPS, RATE, SEED = 32, 6, 60, 0.01, 11
 #: Segments worked out at a time, and remembered by a worker.
 TOGETHER, REMEMBERED = 512, 40_000
 UNDETERMINED = "und"
-#: Documents with a lower score are rejected by ``accept``.
-LEAST_SCORE = 0.4
+#: ``accept`` rejects no document by its score, only those without a determined language.
+LEAST_SCORE = 0.0
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -334,10 +334,10 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def accept(docs: DataFrame) -> DataFrame:
-    """The documents whose language is determined with LEAST_SCORE or more, with all their columns."""
+    """The documents whose language is determined, whatever its score, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs))
 
     def keep(texts: list[str | None]) -> list[bool]:
-        return [lang != UNDETERMINED and s >= LEAST_SCORE for lang, s in identifier(shared.value).predict(texts)]
+        return [lang != UNDETERMINED for lang, _ in identifier(shared.value).predict(texts)]
 
     return filter_texts(docs, keep)

@@ -146,3 +146,12 @@ def test_segments_hold_every_byte_once_at_character_borders():
     words = sorted(language.segments("some words " * 60), key=len, reverse=True)
     p, mask, _ = language.network(params, words)
     assert np.abs((language.lean(params, words) - p) * mask[:, :, None]).max() < 1e-5
+
+
+def test_no_document_is_rejected_by_its_score(spark, monkeypatch):
+    """Many languages of the same words: every score is low, and all documents stay."""
+    monkeypatch.setattr(language, "LEAST_STEPS", 1)
+    rows = [(i, "the same words in all of them", f"l{i % 5}") for i in range(40)] + [(50, "12 34", "l0"), (51, None, "l0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert max(r.score for r in language.identify(docs).collect()) < 0.4
+    assert sorted(r.doc_id for r in language.accept(docs).collect()) == list(range(40))
