@@ -1,10 +1,10 @@
 """Filtered, sorted and paged reads (F-03 ... F-05, O-03 ... O-05).
 
 A page is ``ORDER BY keys LIMIT n OFFSET k`` over a total order, NULLs last.
-Spark sorts by range and skips the offset.  For a run of deep pages, keyset
-paging (``after=``) needs no offset at all, and ``page_deep`` is a separate
-operator that finds a page by the row counts of ranges, so that no task
-gathers the ``k`` rows before it; both give the rows that ``page`` gives.
+For ``OFFSET k LIMIT n`` Spark keeps ``k + n`` rows of every partition and
+merges them in one task, so every page is found by the row counts of ranges
+instead, and no task gathers the ``k`` rows before it.  For a run of deep
+pages, keyset paging (``after=``) needs no offset at all and gives the same rows.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.session import ensure_checkpoint_dir
+
 MAX_LIMIT = 500
 DEFAULT_LIMIT = 50
 
@@ -57,7 +59,7 @@ def page(df: DataFrame, keys: Sequence[str], limit: int = DEFAULT_LIMIT, offset:
     validate_page(limit, offset)
     if after is not None:
         df = df.where(after_key(keys, after))
-    return df.orderBy(*_order(keys)).offset(offset).limit(limit)
+    return page_deep(df, keys, limit, offset)
 
 
 def page_deep(df: DataFrame, keys: Sequence[str], limit: int, offset: int,
@@ -69,6 +71,7 @@ def page_deep(df: DataFrame, keys: Sequence[str], limit: int, offset: int,
     per partition reaches the driver to find where the page starts.
     """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranked = (df.repartitionByRange(n, *_order(keys)).sortWithinPartitions(*_order(keys))
               .withColumn("__pid", F.spark_partition_id())

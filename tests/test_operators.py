@@ -42,6 +42,15 @@ def test_pages_put_nulls_last(spark):
     assert [r.k for r in paging.page(df, ["k"], 3, 0, after=[17]).collect()] == want
 
 
+def test_no_task_gathers_the_rows_before_a_page(spark):
+    df = spark.range(0, 30_000).select(F.when(F.col("id") < 29_990, F.col("id")).alias("k"), F.col("id").alias("j")).repartition(5)
+    for offset in (0, 100, 20_000, 29_980, 40_000):
+        got = paging.page(df, ["k", "j"], 20, offset)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("TakeOrdered", "GlobalLimit", "CollectLimit")), plan
+        assert [r.j for r in got.collect()] == list(range(30_000))[offset : offset + 20]
+
+
 def test_falsy_filters_are_ignored(numbers):
     assert paging.apply_filters(numbers, {"g": 0}).count() == 2000
     assert paging.apply_filters(numbers, {"g": 3}).count() == numbers.where("g = 3").count()
