@@ -50,6 +50,109 @@ SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_
 FROM embeddings e JOIN smallest USING (vec_id) LEFT JOIN counts ON counts.x = e.vec_id
 """
 
+#: CRC-32 is linear: a feature's value is the exclusive or of what each byte contributes at its
+#: distance from the end, and of the start value moved on by the length.
+OP11 = r"""
+WITH RECURSIVE texts AS (
+  SELECT 's' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 't', item_id, text FROM benchmark
+), words AS (
+  SELECT side, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts
+), features AS (
+  SELECT side, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM words
+), spelt AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM features)),
+bytes AS (
+  SELECT f, len(h) // 2 - i AS back,
+    16 * (instr('0123456789ABCDEF', substr(h, 2 * i - 1, 1)) - 1) + instr('0123456789ABCDEF', substr(h, 2 * i, 1)) - 1 AS byte
+  FROM (SELECT f, h, unnest(range(1, len(h) // 2 + 1)) AS i FROM spelt)
+), one AS (
+  SELECT b, list_reduce(list_concat([b], range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+  FROM (SELECT unnest(range(256)) AS b)
+), longest AS (SELECT max(len(h) // 2) AS n FROM spelt),
+moved(back, b, v) AS (
+  SELECT 0::BIGINT, b, v FROM one
+  UNION ALL SELECT moved.back + 1, moved.b, xor(moved.v // 256, one.v)
+  FROM moved JOIN one ON one.b = moved.v % 256 WHERE moved.back < (SELECT n FROM longest)
+), begun(n, v) AS (
+  SELECT 0::BIGINT, 4294967295::BIGINT
+  UNION ALL SELECT begun.n + 1, xor(begun.v // 256, one.v) FROM begun JOIN one ON one.b = begun.v % 256 WHERE begun.n < (SELECT n FROM longest)
+), crc AS (
+  SELECT f, xor(xor(bit_xor(moved.v), any_value(begun.v)), 4294967295) % 10000 AS bucket
+  FROM bytes JOIN moved ON moved.back = bytes.back AND moved.b = bytes.byte
+  JOIN spelt USING (f) JOIN begun ON begun.n = len(spelt.h) // 2 GROUP BY f
+), held AS (SELECT side, id, bucket FROM features JOIN crc USING (f)),
+counts AS (
+  SELECT b AS bucket, CAST(count(*) FILTER (side = 's') AS DOUBLE) AS s, CAST(count(*) FILTER (side = 't') AS DOUBLE) AS t
+  FROM (SELECT unnest(range(10000)) AS b) LEFT JOIN held ON held.bucket = b GROUP BY b
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(((t + 1) * (sum(s) OVER () + 10000)) / ((s + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain FROM counts
+), summed AS (
+  SELECT id, count(*) AS n_features, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+  FROM held JOIN gains USING (bucket) WHERE side = 's' GROUP BY id
+), scored AS (
+  SELECT id AS doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    CAST(('0x' || substr(sha256('7:' || id), 1, 8)) AS BIGINT) AS h
+  FROM words LEFT JOIN summed USING (id) WHERE side = 's'
+), final AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM scored
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) FILTER (n_words >= 20) OVER () AS n FROM final
+)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+  CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN CAST(place AS BIGINT) END AS rank
+FROM placed
+"""
+
+OP12 = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS view
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words)
+), firsts AS (SELECT view, min(doc_id) AS first FROM windows GROUP BY view),
+covered AS (
+  SELECT doc_id, list(DISTINCT k) AS gone
+  FROM (SELECT doc_id, unnest(range(i, i + 50)) AS k FROM windows JOIN firsts USING (view) WHERE first < doc_id)
+  GROUP BY doc_id
+), left_over AS (
+  SELECT doc_id, array_to_string(list(word ORDER BY k), ' ') AS kept
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM words)
+  WHERE (doc_id, k) NOT IN (SELECT doc_id, unnest(gone) FROM covered)
+  GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN left_over USING (doc_id)
+"""
+
+OP13 = r"""
+WITH parts AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+    sha256('42:' || doc_id) AS hex
+  FROM documents
+), hashed AS (
+  SELECT *, len(u) AS n, list_transform([1, 9, 17, 25], lambda i: CAST(('0x' || substr(hex, i, 8)) AS BIGINT)) AS h FROM parts
+), cut AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b FROM hashed
+), cased AS (
+  SELECT doc_id, text, n,
+    array_to_string(u[1 : a], '') AS pre, array_to_string(u[a + 1 : b], '') AS mid, array_to_string(u[b + 1 : n], '') AS suf,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 50 THEN 'plain'
+      WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(len(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(len(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cased
+"""
+
 #: The statements of the licence scan, spelt out for the SQL.
 STATEMENTS = """
   (1, 'Apache-2.0', 'Licensed under the Apache License, Version 2.0.'),

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import embeddings, fingerprints, language, license_scan, minhash, oracle, packing, pii, quality, token_counts, word_encoding
+from starmart.llm import (
+    embeddings, fingerprints, infill, language, license_scan, minhash, oracle, packing, pii, quality, resampling, substrings, token_counts, word_encoding,
+)
 from starmart.llm.common import table
 
 TOKEN_LIMIT = 4096
@@ -79,6 +81,25 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A draw of documents that resemble the benchmark texts, with the rank of each."""
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that documents with smaller ids hold."""
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a fill-in-the-middle example, and restored from it."""
+    made = infill.restore(infill.transform(table(spark, sf_dir, "documents")))
+    digests = [F.sha2(F.encode(c, "UTF-8"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_minhash": op2_minhash,
@@ -90,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_word_encoding": op9_word_encoding,
     "op10_fingerprints": op10_fingerprints,
+    "op11_resampling": op11_resampling,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_infill": op13_infill,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
@@ -97,4 +121,7 @@ ORACLE: dict[str, str] = {
     "op1_license_scan": oracle.op1(license_scan.THRESHOLD),
     "op2_minhash": oracle.OP2,
     "op5_embeddings": oracle.OP5,
+    "op11_resampling": oracle.OP11,
+    "op12_substring_dedup": oracle.OP12,
+    "op13_infill": oracle.OP13,
 }
