@@ -43,7 +43,14 @@ PARTS = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
-_hash_of = WordCache()
+
+class WordHashes(WordCache):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_hash_of = WordHashes(1_000_000)
 forgets.append(_hash_of.clear)
 
 
@@ -54,11 +61,7 @@ def split(text: str | None) -> list[bytes]:
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
     _hash_of.make_room(len(words))
-    found = list(map(_hash_of.get, words))
-    for i, h in enumerate(found):
-        if h is None:
-            found[i] = _hash_of[words[i]] = xxhash.xxh3_64_intdigest(words[i])
-    return np.array(found, np.uint64)
+    return np.fromiter(map(_hash_of.__getitem__, words), np.uint64, len(words))
 
 
 class Segments:
@@ -106,11 +109,11 @@ def segments(docs: DataFrame, window: int, phrase: int) -> DataFrame:
             if len(words) < window or doc_id is None:
                 continue
             found = Segments(words, window, phrase)
-            pairs = np.unique(np.stack([found.anchor, found.key], axis=1), axis=0) if len(found.low) > 1 else np.stack([found.anchor, found.key], axis=1)
+            pairs = set(zip(_signed(found.anchor), _signed(found.key), strict=True))
             ids += [doc_id] * len(pairs)
             parts += [part] * len(pairs)
-            anchors += _signed(np.ascontiguousarray(pairs[:, 0]))
-            keys += _signed(np.ascontiguousarray(pairs[:, 1]))
+            anchors += [a for a, _ in pairs]
+            keys += [k for _, k in pairs]
         return [ids, parts, anchors, keys]
 
     return map_slices(docs, run, schema)
@@ -151,8 +154,21 @@ def passages(docs: DataFrame, recurring: DataFrame, window: int, phrase: int) ->
     return map_slices(held, run, schema)
 
 
+#: Characters that a word is spelt with inside an automaton, and how many there are at each place:
+#: nodes have few branches, and no phrase is found across the border of two words.
+LETTERS, SPREAD = 3, 128
+UNKNOWN = "\0" * LETTERS
+#: A phrase with more passages than this finds whole windows in a table instead.
+FEW = 8
+
+
+def spelling(n: int) -> str:
+    """The characters of word number ``n``, an own set for each place."""
+    return "".join(chr(1 + SPREAD * k + n // SPREAD**k % SPREAD) for k in range(LETTERS))
+
+
 class PhraseAutomaton:
-    """Phrases of passages in an Aho-Corasick automaton that reads one character for each word."""
+    """Phrases of passages in an Aho-Corasick automaton that reads whole words, spelt with few characters."""
 
     def __init__(self, window: int, phrase: int):
         import ahocorasick
@@ -162,52 +178,74 @@ class PhraseAutomaton:
         self.held: dict[str, list[tuple]] = {}
         self.automaton = ahocorasick.Automaton()
 
-    def _coded(self, words: list[bytes]) -> str:
+    def add(self, owner: object, at: int, passage: str) -> None:
+        words = passage.encode().split()
         for word in words:
             if word not in self.code:
-                n = len(self.code) + 1
-                self.code[word] = chr(n if n < 0xD800 else n + 0x800)
-        return "".join(map(self.code.__getitem__, words))
-
-    def add(self, owner: object, at: int, passage: str) -> None:
-        coded = self._coded(passage.encode().split())
-        self.held.setdefault(coded[at : at + self.phrase], []).append((owner, at, coded))
+                self.code[word] = spelling(len(self.code))
+        coded = "".join(map(self.code.__getitem__, words))
+        self.held.setdefault(coded[at * LETTERS : (at + self.phrase) * LETTERS], []).append((owner, at * LETTERS, coded))
 
     def full(self) -> bool:
         return len(self.code) >= AUTOMATON_WORDS
 
     def compile(self) -> None:
         for phrase, passages in self.held.items():
-            self.automaton.add_word(phrase, passages)
-        self.automaton.make_automaton()
+            self.automaton.add_word(phrase, (passages, self._table(passages) if len(passages) > FEW else None))
+        if self.held:
+            self.automaton.make_automaton()
+        self.held = {}
+
+    def _table(self, passages: list[tuple]) -> dict[str, object]:
+        """The windows of all passages, and the smallest owner of each."""
+        size, table = self.window * LETTERS, {}
+        for owner, _, coded in passages:
+            for low in range(0, len(coded) - size + 1, LETTERS):
+                view = coded[low : low + size]
+                if view not in table or owner < table[view]:
+                    table[view] = owner
+        return table
 
     def found(self, doc_id: object, words: list[bytes]) -> Iterator[tuple[int, int]]:
         """First word and the one behind the last of all that smaller documents hold too."""
-        get = self.code.get
-        text = "".join([get(w, "\0") for w in words])
-        for end, passages in self.automaton.iter(text):
-            start = end - self.phrase + 1
+        if not self.code:
+            return
+        get, size, length = self.code.get, self.window * LETTERS, self.phrase * LETTERS
+        text = "".join([get(w, UNKNOWN) for w in words])
+        for end, (passages, table) in self.automaton.iter(text):
+            start = end + 1 - length
+            if table is not None:
+                for low in range(max(0, end + 1 - size), min(start, len(text) - size) + 1, LETTERS):
+                    owner = table.get(text[low : low + size])
+                    if owner is not None and owner < doc_id:
+                        yield low // LETTERS, (low + size) // LETTERS
+                continue
             for owner, at, passage in passages:
                 if owner >= doc_id:
                     continue
                 low = start - at
                 if low >= 0 and text.startswith(passage, low):
-                    yield low, low + len(passage)
+                    yield low // LETTERS, (low + len(passage)) // LETTERS
                     continue
-                left = common(text[max(0, low) : start][::-1], passage[:at][::-1])
-                right = self.phrase + common(text[end + 1 : low + len(passage)], passage[at + self.phrase :])
+                left = common(text[max(0, low) : start][::-1], passage[:at][::-1]) // LETTERS
+                right = common(text[start : low + len(passage)], passage[at:]) // LETTERS
                 if left + right >= self.window:
-                    yield start - left, start + right
+                    yield start // LETTERS - left, start // LETTERS + right
 
 
 def common(a: str, b: str) -> int:
     """How many characters agree from the start."""
-    n = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        n += 1
-    return n
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    low = 0  # the first ``low`` characters agree, the first ``n`` don't
+    while n - low > 1:
+        middle = (low + n) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            n = middle
+    return low
 
 
 def remove_repeats(df: DataFrame, window: int = WINDOW, phrase: int = PHRASE, id_col: str = "doc_id", text_col: str = "text",
