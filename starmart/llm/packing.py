@@ -15,12 +15,11 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import WordCache, forgets, map_slices, picked
+from starmart.llm.common import forgets, map_slices, picked
 from starmart.llm.word_encoding import byte_alphabet
 from starmart.session import ensure_checkpoint_dir
 
@@ -28,7 +27,6 @@ from starmart.session import ensure_checkpoint_dir
 SHARD_PIECES = 50_000
 #: Fixed value: how the byte-level vocabulary cuts a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SPACE = regex.compile(r"\s")
 
 
 class ByteVocabulary:
@@ -43,50 +41,10 @@ class ByteVocabulary:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in spec["model"]["vocab"].items() if t not in special}
         self.library = tiktoken.Encoding("byte_bpe", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
-        self.special = special
-        self.behind_blank = WordCache()
-        self.line_start = WordCache()
-        self.newline = self._ids("\n")
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, allowed_special="all"), "<u4").tobytes()
-
-    def _run(self, words: list[str], blank: bool) -> list[bytes] | None:
-        """Ids of blank-separated words; None where the blanks aren't single."""
-        cache, lead = (self.behind_blank, " ") if blank else (self.line_start, "")
-        found = list(map(cache.get, words))
-        if None in found:
-            for i, word in enumerate(words):
-                if found[i] is None:
-                    if not word or SPACE.search(word) or any(s in word for s in self.special):
-                        return None
-                    found[i] = ids = self._ids(lead + word)
-                    if len(word) <= 64:
-                        cache.make_room(1)
-                        cache[word] = ids
-        return found
 
     def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers.
-
-        Between two visible characters a single blank begins a word of the
-        vocabulary's pattern and a single line break is one by itself, so what
-        lies between them is encoded alone and remembered; other texts go to
-        the library as they are.
-        """
-        if not text:
-            return b""
-        out: list[bytes] = []
-        for n, line in enumerate(text.split("\n")):
-            first, *rest = line.split(" ")
-            head, tail = self._run([first], False), self._run(rest, True)
-            if head is None or tail is None:
-                return self._ids(text)
-            if n:
-                out.append(self.newline)
-            out += head
-            out += tail
-        return b"".join(out)
+        """Ids of a whole text as little-endian unsigned 32-bit integers."""
+        return np.array(self.library.encode(text, allowed_special="all"), "<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
