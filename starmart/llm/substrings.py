@@ -35,11 +35,13 @@ from pyspark.sql import types as T
 from starmart.llm.common import SLICE_ROWS, WordCache, forgets, map_slices, mix64, picked, working_for
 from starmart.session import scratch_path
 
-WINDOW, PHRASE = 50, 20
+WINDOW, PHRASE = 50, 16
 #: Bytes of text in a shard, and distinct words in an automaton: bound a task's memory.
-SHARD_BYTES, AUTOMATON_WORDS = 16 << 20, 500_000
+SHARD_BYTES, AUTOMATON_WORDS = 4 << 20, 500_000
+#: A phrase with more than this share of all segments is matched by a broadcast; there are at most as many.
+HOT = 10_000
 #: Parts that documents are dealt to before the number of shards is known.
-PARTS = 1 << 20
+PARTS = 1 << 30
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -50,7 +52,7 @@ class WordHashes(WordCache):
         return h
 
 
-_hash_of = WordHashes(1_000_000)
+_hash_of = WordHashes(500_000)
 forgets.append(_hash_of.clear)
 
 
@@ -271,9 +273,21 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, phrase: int = PHRASE, id
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shard = F.pmod("part", F.lit(min(PARTS, total // shard_bytes + 1))).alias("shard")
 
-    classes = found.groupBy("anchor", "key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
-    anchors = classes.groupBy("anchor").agg(F.min("owner").alias("first"), F.max("last").alias("end"), F.count("*").alias("n")).where(F.col("first") < F.col("end"))
-    recurring = classes.join(anchors.select("anchor", (F.col("n") > 1).alias("several")), "anchor")
+    path = scratch_path(spark, "phrases")
+    ends = found.groupBy("anchor").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("end"), F.count("*").alias("n"))
+    ends.where(F.col("first") < F.col("end")).select("anchor", "n").write.parquet(path)
+    phrases = spark.read.parquet(path)
+    least = found.count() // HOT + 1
+    hot = F.broadcast(phrases.where(F.col("n") >= least).select("anchor"))  # at most HOT rows
+    path = scratch_path(spark, "met")
+    met = found.join(hot, "anchor", "left_anti").join(phrases.where(F.col("n") < least), "anchor", "left_semi")
+    met = met.unionByName(found.join(hot, "anchor", "left_semi"))
+    met.withColumn("shard", shard).drop("part").write.parquet(path)
+    met = spark.read.parquet(path)
+
+    classes = met.groupBy("anchor", "key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
+    several = classes.groupBy("anchor").agg((F.count("*") > 1).alias("several"))
+    recurring = classes.join(several, "anchor")
     path = scratch_path(spark, "passages")
     passages(docs, recurring, window, phrase).write.parquet(path)
     held = spark.read.parquet(path)
@@ -284,7 +298,7 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, phrase: int = PHRASE, id
     several = views.select("anchor", "key", "view").join(first, ["anchor", "view"]).select("anchor", "key", "source").distinct()
     single = held.where(F.col("windows").isNull()).select("anchor", "key", F.col("key").alias("source"))
 
-    there = found.groupBy("anchor", "key", shard).agg(F.max("doc_id").alias("end"))
+    there = met.groupBy("anchor", "key", "shard").agg(F.max("doc_id").alias("end"))
     needs = there.join(single.union(several), ["anchor", "key"]).groupBy("anchor", "source", "shard").agg(F.max("end").alias("end"))
     sources = held.select("anchor", F.col("key").alias("source"), "owner", "at", "passage")
     dealt = needs.join(sources, ["anchor", "source"]).where(F.col("owner") < F.col("end"))
