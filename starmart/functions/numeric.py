@@ -85,6 +85,50 @@ def exact_avg(c, scale: int = EXACT_SCALE) -> Column:
     return sum_value(exact, plain, n, fit, scale) / n.cast("double")
 
 
+def square_parts(c, prefix: str, scale: int = EXACT_SCALE) -> list[Column]:
+    """Partial sums of squares beside ``sum_parts``: exact (a decimal) and plain.
+
+    The square of a whole number of 10**-scale below 3e9 fits a bigint; the sum
+    of such squares is a decimal and does not depend on the order of the rows.
+    """
+    v = as_col(c).cast("double")
+    whole = F.rint(v * F.lit(10.0 ** scale))
+    fits = (F.abs(whole) < F.lit(3.0e9)) & (whole / F.lit(10.0 ** scale) == v)
+    w = F.when(fits, whole.cast("long"))
+    return [F.try_sum((w * w).cast("decimal(19,0)")).alias(f"{prefix}_squares"),
+            F.sum(v * v).alias(f"{prefix}_plain_squares"), F.count(w).alias(f"{prefix}_square_fit")]
+
+
+def sample_stddev(exact, plain, n, fit, squares, plain_squares, square_fit,
+                  scale: int = EXACT_SCALE) -> Column:
+    """Sample standard deviation from ``sum_parts`` and ``square_parts``, as DOUBLE.
+
+    ``n * sum of squares - square of sum`` is worked out in decimals if all
+    values were exact and it fits, else in doubles.  NULL for fewer than two values.
+    """
+    k = as_col(n)
+    s = as_col(exact).cast("decimal(19,0)")
+    spread = F.try_subtract(F.try_multiply(k.try_cast("decimal(12,0)"), as_col(squares).try_cast("decimal(25,0)")),
+                            F.try_multiply(s, s))
+    all_exact = (k == as_col(fit)) & (k == as_col(square_fit)) & spread.isNotNull()
+    pairs = k.cast("double") * (k - F.lit(1)).cast("double")
+    rough = F.greatest(F.lit(0.0), k.cast("double") * as_col(plain_squares) - as_col(plain) * as_col(plain))
+    rough = F.when(F.isnan(as_col(plain_squares)) | F.isnan(as_col(plain)), F.lit(float("nan"))).otherwise(rough)
+    var = F.when(all_exact, spread.cast("double") / F.lit(10.0 ** (2 * scale))).otherwise(rough) / pairs
+    return F.when(k > 1, F.sqrt(var))
+
+
+def exact_stddev(c, scale: int = EXACT_SCALE) -> Column:
+    """STDDEV_SAMP that does not depend on the order of the rows, where values are
+    whole numbers of 10**-scale; others use the engine's own."""
+    exact, _, n, fit = sum_parts(c, "p", scale)
+    squares, _, square_fit = square_parts(c, "p", scale)
+    null = F.lit(None).cast("double")
+    return F.coalesce(
+        F.when((n == fit) & (n == square_fit), sample_stddev(exact, null, n, fit, squares, null, square_fit, scale)),
+        F.stddev_samp(as_col(c)))
+
+
 def ravg(c, digits: int = 2) -> Column:
     """Rounded exact average of a column (NULL for no non-NULL value)."""
     return dround(exact_avg(c), digits)

@@ -5,8 +5,8 @@ A check report has one row per check::
     model, column_name, check_name, failures
 
 All row-level checks of a table (not_null, accepted_values, range) are folded
-into a single global aggregate, combined map side.  Each ``unique`` key costs
-one grouped count of the key alone and each ``relationships`` check one
+into a single global aggregate, combined map side.  A ``unique`` key costs one
+grouped count of the key alone, several of them one scan together; each ``relationships`` check one
 left-anti join of the distinct child keys, both combined map side first, so
 that a hot value is one row for each task.  A model that is expensive to
 compute should be stored before it is checked.
@@ -52,6 +52,40 @@ def unique_failures(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
             .where(F.col("n_rows") > 1))
 
 
+def unique_report(df: DataFrame, model: str, keys: Sequence[str | Sequence[str]]) -> DataFrame:
+    """Report rows of many unique keys from one scan: one Expand over the key sets,
+    counted by (key set, key) with partial counts, so that a hot key - or the
+    NULLs, which are no failures - costs one row for each task.
+
+    Columns model, column_name, check_name, failures (key values that occur
+    more than once) and surplus_rows (rows beyond the first of each).
+    """
+    sets = [[k] if isinstance(k, str) else list(k) for k in keys]
+    columns = list(dict.fromkeys(c for s in sets for c in s))
+    keyed = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("key_set"),
+                 *[(F.col(c) if c in s else F.lit(None).cast(df.schema[c].dataType)).alias(f"k{j}")
+                   for j, c in enumerate(columns)])
+        for i, s in enumerate(sets)])).alias("e")).select("e.*")
+    whole = F.lit(False)
+    for i, s in enumerate(sets):
+        held = F.col("key_set") == i
+        for c in s:
+            held = held & F.col(f"k{columns.index(c)}").isNotNull()
+        whole = whole | held
+    counted = keyed.where(whole).groupBy("key_set", *[f"k{j}" for j in range(len(columns))]) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    more = F.col("n") > 1
+    found = counted.groupBy("key_set").agg(F.sum(F.when(more, 1).otherwise(0)).alias("failures"),
+                                           F.sum(F.col("n") - 1).alias("surplus_rows"))
+    names = df.sparkSession.createDataFrame([(i, _name(s if len(s) > 1 else s[0])) for i, s in enumerate(sets)],
+                                            "key_set int, column_name string")
+    return names.join(found, "key_set", "left").select(
+        F.lit(model).alias("model"), "column_name", F.lit("unique").alias("check_name"),
+        F.coalesce("failures", F.lit(0)).cast("long").alias("failures"),
+        F.coalesce("surplus_rows", F.lit(0)).cast("long").alias("surplus_rows"))
+
+
 def not_null_failures(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
@@ -147,7 +181,9 @@ def run_checks(tables: Mapping[str, DataFrame], specs: Mapping[str, CheckSpec])
         rows = _row_checks(df, model, spec)
         if rows is not None:
             parts.append(rows)
-        for key in spec.unique:
+        if len(spec.unique) > 1:
+            parts.append(unique_report(df, model, spec.unique).drop("surplus_rows"))
+        for key in spec.unique if len(spec.unique) == 1 else ():
             failures = unique_failures(df, key).agg(F.count(F.lit(1)).cast("long").alias("f"))
             parts.append(failures.select(F.lit(model).alias("model"),
                                          F.lit(_name(key)).alias("column_name"),

@@ -50,3 +50,26 @@ def role_view(df: DataFrame, policies: Mapping[str, RolePolicy], role: str) -> D
     cond = F.expr(p.row_filter) if isinstance(p.row_filter, str) else p.row_filter
     out = df.where(cond) if cond is not None else df
     return out.select(*cols)
+
+
+def rows_of_role(df: DataFrame, grants: DataFrame, role: str, on: Mapping[str, str],
+                 role_col: str = "role") -> DataFrame:
+    """The rows that a table of grants gives ``role``: a semi-join, so no grant is no row.
+
+    ``on`` maps columns of ``df`` to columns of ``grants``.  A row covered by
+    several grants comes once; NULL on either side grants nothing.
+    """
+    mine = grants.where(F.col(role_col) == F.lit(role)).select(
+        *[F.col(g).alias(f"__g_{g}") for g in on.values()]).distinct()
+    cond = F.lit(True)
+    for c, g in on.items():
+        cond = cond & (df[c] == F.col(f"__g_{g}"))
+    return df.join(mine, cond, "left_semi")
+
+
+def granted_view(df: DataFrame, policies: Mapping[str, RolePolicy], grants: DataFrame, role: str,
+                 on: Mapping[str, str]) -> DataFrame:
+    """Rows by the grants, then columns by the policy; a role without a policy sees no row
+    and every column as NULL."""
+    policy = policies.get(role, RolePolicy(default="null", row_filter="false"))
+    return role_view(rows_of_role(df, grants, role, on), {role: policy}, role)

@@ -90,3 +90,69 @@ def derive_validity(df: DataFrame, keys: Sequence[str], start: str,
     valid_to = (F.when(F.col("__next").isNotNull(), ends("__next"))
                 .when(F.col("__nf").isNotNull(), ends("__nf")))
     return joined.select(*df.columns, valid_to.alias(end_col))
+
+
+def point_in_time(facts: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, start: str,
+                  end: str, columns: Sequence[str], tie_break: Sequence[str] = (),
+                  partitions: int | None = None) -> DataFrame:
+    """Every fact row with the version of its key that was valid on its own date.
+
+    That is the version with the greatest ``start`` up to the fact's ``at`` (of
+    equal starts the greatest ``tie_break``), unless its ``end`` is on or before
+    ``at`` (NULL: still valid).  Without one - no version yet, a gap, a NULL key
+    or date - ``columns`` and ``start`` and ``end`` are NULL; no fact row is lost.
+    Output names must not clash with those of the facts.
+
+    Versions and facts are range-partitioned together on (key, date), so the
+    rows of a hot key spread over partitions, those of one date by a hash of
+    the row.  In a partition every fact takes the last version before it; what
+    a partition ends with is carried to the next ones (one row for each).
+    """
+    spark = facts.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    taken = [start, end, *columns]
+    clash = set(taken) & set(facts.columns)
+    if clash:
+        raise ValueError(f"columns in both tables: {sorted(clash)}")
+    able = F.col(at).isNotNull()
+    for k in keys:
+        able = able & F.col(k).isNotNull()
+    key_names = [f"__k{i}" for i in range(len(keys))]
+    tie_names = [f"__t{i}" for i in range(len(tie_break))]
+    whole = F.struct(*[F.col(c) for c in facts.columns])
+    dated = facts.where(able).select(
+        *[F.col(k).alias(a) for k, a in zip(keys, key_names)], F.col(at).alias("__at"), F.lit(1).alias("__kind"),
+        F.xxhash64(*facts.columns).alias("__salt"), whole.alias("__fact"))
+    known = versions.where(F.col(start).isNotNull())
+    for k in keys:
+        known = known.where(F.col(k).isNotNull())
+    version = F.struct(*[F.col(k).alias(a) for k, a in zip(keys, key_names)], F.col(start).alias("__start"),
+                       *[F.col(c) for c in taken])
+    known = known.select(
+        *[F.col(k).alias(a) for k, a in zip(keys, key_names)], F.col(start).alias("__at"), F.lit(0).alias("__kind"),
+        *[F.col(c).alias(a) for c, a in zip(tie_break, tie_names)], version.alias("__version"))
+    rows = known.unionByName(dated, allowMissingColumns=True)
+    order = [*key_names, "__at", "__kind", *tie_names, "__salt"]
+    # Written once: the borders and the rows must come from the same partitions.
+    placed = (rows.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
+              .checkpoint(eager=True))
+    within = Window.partitionBy("__pid").orderBy(*order)
+    seen = placed.withColumn("__last", F.last("__version", ignorenulls=True).over(
+        within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # The last version of every partition (the greatest in the order), then of all before it.
+    ends = placed.where(F.col("__kind") == 0).groupBy("__pid").agg(
+        F.max(F.struct(*key_names, "__at", *tie_names, "__version")).alias("__end"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    carried = placed.select("__pid").distinct().join(ends, "__pid", "left").select(
+        "__pid", F.last("__end.__version", ignorenulls=True).over(before).alias("__carried"))
+    joined = seen.where(F.col("__kind") == 1).join(F.broadcast(carried), "__pid", "left")  # one row a partition
+    last = F.coalesce("__last", "__carried")
+    joined = joined.withColumn("__found", last)
+    valid = F.col(f"__found.{end}").isNull() | (F.col(f"__found.{end}") > F.col("__at"))
+    for a in key_names:
+        valid = valid & (F.col(f"__found.{a}") == F.col(a))
+    out = joined.select(*[F.col(f"__fact.{c}") for c in facts.columns],
+                        *[F.when(valid, F.col(f"__found.{c}")).alias(c) for c in taken])
+    types = {f.name: f.dataType for f in out.schema}
+    rest = facts.where(~F.coalesce(able, F.lit(False))).select("*", *[F.lit(None).cast(types[c]).alias(c) for c in taken])
+    return out.unionByName(rest)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from starmart.specs import HEALTH_SPECS
 from starmart.functions import features as feat
 from starmart.functions.dates import try_date, week_of_month
-from starmart.functions.numeric import count_if, dround, rate, ravg, to_int
+from starmart.functions.numeric import count_if, dround, exact_stddev, rate, ravg, to_int
 from starmart.functions.text import clean, clean_lower, clean_upper
 from starmart.operators.metrics import grouped_metrics, reaggregate
 from starmart.operators.star import Dim, star_join
@@ -252,7 +252,7 @@ def metric_bmi_by_gender(fact: DataFrame) -> DataFrame:
         [ravg("bmi").alias("avg_bmi"),
          dround(F.min("bmi"), 2).alias("min_bmi"),
          dround(F.max("bmi"), 2).alias("max_bmi"),
-         dround(F.stddev_samp("bmi"), 2).alias("stddev_bmi"),
+         dround(exact_stddev("bmi"), 2).alias("stddev_bmi"),
          ravg("composite_activity_score").alias("avg_activity_score"),
          ravg("age_derived", 1).alias("avg_age"),
          ravg("calorie_expenditure", 0).alias("avg_calories"),

@@ -837,3 +837,7 @@ QUERIES.update({
     "pii_scan_text": pii_scan_text,
     "completeness_found": completeness_found,
 })
+
+from starmart.plans.lifecycle import QUERIES as _LIFECYCLE  # noqa: E402
+
+QUERIES.update(_LIFECYCLE)

@@ -9,7 +9,7 @@ quarantine output.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,18 +135,28 @@ def cast_failure_metrics(spec: TableSpec) -> list[Column]:
 
 
 def split_quarantine(raw: DataFrame, bronze_path: str) -> tuple[DataFrame, DataFrame]:
-    """(well-formed rows, malformed lines with their raw text).
+    """(well-formed rows, malformed lines with their raw text); see ``land_quarantine``."""
+    good, bad, _ = land_quarantine(raw, bronze_path)
+    return good, bad
+
+
+def land_quarantine(raw: DataFrame, bronze_path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Well-formed rows, malformed lines with their raw text, and how many there are of both.
 
     Spark's CSV reader only tokenises the columns a query needs, so the
     field-count check behind ``_corrupt_record`` is reliable only when every
     column is parsed.  The full parse is therefore landed once as a bronze
-    Parquet table (one CSV pass, lineage cut); both sides are read from it.
+    Parquet table (one CSV pass, lineage cut); both sides are read from it.  The
+    counts are observed on that write.
     """
     cols = [c for c in raw.columns if c != CORRUPT_COL]
+    seen = Observation()
+    corrupt = F.col(CORRUPT_COL).isNotNull()
     raw.withColumn("source_file", F.input_file_name()) \
+        .observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(corrupt).alias("malformed")) \
         .write.mode("overwrite").parquet(bronze_path)
     bronze = raw.sparkSession.read.parquet(bronze_path)
     good = bronze.where(F.col(CORRUPT_COL).isNull()).select(*cols)
     bad = bronze.where(F.col(CORRUPT_COL).isNotNull()).select(
         F.col(CORRUPT_COL).alias("raw_line"), "source_file", *cols)
-    return good, bad
+    return good, bad, {k: int(v or 0) for k, v in seen.get.items()}

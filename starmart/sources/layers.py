@@ -141,6 +141,42 @@ def save_table(df: DataFrame, database: str, table: str) -> str:
     return full
 
 
+def publish_table(df: DataFrame, database: str, table: str, root: str) -> str:
+    """Create or replace ``database.table`` with ``df`` under ``root`` (S-10).
+
+    The data goes to a new version folder (``replace_parquet``); the catalog's
+    entry is then pointed at it in one step, so there is always a table, and a
+    reader of the version before keeps its files.
+    """
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root}/{database}'")
+    path = f"{root}/{database}/{table}"
+    replace_parquet(df, path)
+    at, full = current_path(spark, path), f"`{database}`.`{table}`"
+    if spark.catalog.tableExists(f"{database}.{table}"):
+        known = spark.table(full).schema
+        if known == spark.read.parquet(at).schema:
+            spark.sql(f"ALTER TABLE {full} SET LOCATION '{at}'")
+            spark.catalog.refreshTable(full)
+            return full
+        spark.sql(f"DROP TABLE {full}")  # other columns; an external table's files stay
+    spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{at}'")
+    return full
+
+
+def catalog_counts(spark: SparkSession, databases: Sequence[str]) -> DataFrame:
+    """Every table that the catalog lists in ``databases``, with its row count (S-13, S-14)."""
+    out = None
+    for r in list_tables(spark, databases).collect():  # one row a table
+        one = spark.table(f"`{r.database}`.`{r.table_name}`").agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(r.database).alias("database"), F.lit(r.table_name).alias("table_name"),
+            F.lit(r.table_type).alias("table_type"), "row_count")
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        return spark.createDataFrame([], "database string, table_name string, table_type string, row_count bigint")
+    return out
+
+
 def register_layer(spark: SparkSession, root: str, layer: str, tables: Sequence[str]) -> list[str]:
     """Expose written layer folders as catalog tables ``layer.table`` (no copy)."""
     from starmart.session import path_exists

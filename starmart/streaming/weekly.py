@@ -91,3 +91,16 @@ def run_weekly_stream(spark: SparkSession, source_dir: str, schema: T.StructType
     if available_now:
         query.awaitTermination()
     return query
+
+
+def forget_last_commit(spark: SparkSession, checkpoint: str) -> int | None:
+    """Remove the record that the last batch was done, as after a crash before it was
+    written: the next start runs that batch again.  Returns its number."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = folder.getFileSystem(conf)
+    done = sorted(int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit())
+    if not done:
+        return None
+    fs.delete(jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/{done[-1]}"), False)
+    return done[-1]
