@@ -18,6 +18,8 @@ from collections.abc import Callable, Iterable
 
 #: Borders and prefixes remembered by a worker; a memory bound, not a limit on results.
 REMEMBERED = 400_000
+#: Characters of the longest prefix that is remembered.
+REMEMBERED_LENGTH = 32
 
 
 class Merges:
@@ -32,6 +34,8 @@ class Merges:
         self.ids, self.rank, self.symbols = ids, rank, symbols
         #: Every ending of a token: whether it is itself a token.
         self.tails = {t[i:]: False for t in ids for i in range(len(t))} | dict.fromkeys(ids, True)
+        #: Characters at a prefix's end that decide its last token (more, so that remembered prefixes are whole).
+        self.reach = max(REMEMBERED_LENGTH + 1, max(map(len, ids), default=1))
         self._prefix: dict[str, str] = {}
         self._whole: dict[str, bool] = {}
         self._border: dict[tuple[str, str], bool] = {}
@@ -72,9 +76,11 @@ class Merges:
     def last(self, prefix: str, before: list[str], end: str = "") -> str:
         """The last token of a prefix whose final symbol carries the mark ``end``.
 
-        ``before[i]`` is the last token of its first ``i`` symbols ("" for none).
+        ``before[i]`` is the last token of its first ``i`` symbols ("" for none),
+        for all shorter prefixes; of the prefix itself the last ``reach`` symbols do.
         """
         text = prefix + end
+        skipped = len(before) - len(prefix)
         tails, found, start = self.tails, [], len(prefix) - 1
         while start >= 0:
             token = text[start:]
@@ -82,7 +88,7 @@ class Merges:
             if ends is None:
                 break
             if ends:
-                found.append((start, token))
+                found.append((start + skipped, token))
             start -= 1
         border = self._border
         for start, token in reversed(found):
@@ -97,16 +103,16 @@ class Merges:
             if len(self._prefix) >= REMEMBERED:
                 self._prefix.clear()
             token = self.last(prefix, before)
-            if len(prefix) <= 32:
+            if len(prefix) <= REMEMBERED_LENGTH:
                 self._prefix[prefix] = token
         return token
 
 
 def prefix_counts(merges: Merges, word: str) -> list[int]:
     """Token counts of all prefixes of a word: entry i is that of ``word[:i]``."""
-    last, counts = [""], [0]
+    last, counts, reach = [""], [0], merges.reach
     for i in range(1, len(word) + 1):
-        token = merges.state(word[:i], last) if i <= 32 else merges.last(word[:i], last)
+        token = merges.state(word[:i], last) if i <= REMEMBERED_LENGTH else merges.last(word[max(0, i - reach) : i], last)
         last.append(token)
         counts.append(counts[i - len(token)] + 1)
     return counts
@@ -130,12 +136,13 @@ def trie_encode(merges: Merges, words: Iterable[str], end: str = "") -> dict[str
     """Ids of every distinct word, its last symbol carrying the mark ``end``.
 
     A depth-first walk keeps the last-token states of the path it stands on, so
-    a prefix that many words share is worked out once for all of them.
+    a prefix that many words share is worked out once for all of them.  Only the
+    end of a long path is kept as text, so the work is linear in a word's length.
     """
     out: dict[str, list[int]] = {}
     last = [""]
     stack = [(child, c, 1) for c, child in Trie(words).root.items() if c]
-    ids = merges.ids
+    ids, reach = merges.ids, merges.reach
     while stack:
         node, prefix, depth = stack.pop()
         del last[depth:]
@@ -149,10 +156,10 @@ def trie_encode(merges: Merges, words: Iterable[str], end: str = "") -> dict[str
                 back.append(ids[token])
                 at -= len(token)
             back.reverse()
-            out[prefix] = back
+            out[node[Trie.END]] = back
         if inner:
             last.append(merges.state(prefix, last))
             for c, child in node.items():
                 if c:
-                    stack.append((child, prefix + c, depth + 1))
+                    stack.append((child, (prefix + c)[-reach:], depth + 1))
     return out

@@ -185,3 +185,15 @@ def test_a_worker_forgets_what_another_operator_left():
     assert token_counts.vocabulary(PIECES) is kept
     common.working_for("two")
     assert token_counts.vocabulary(PIECES) is not kept
+
+
+@pytest.mark.parametrize("run", ["a", "漢", " ", "ab", "q7"])
+def test_long_runs_equal_the_libraries(run):
+    """A run without blanks is worked through once, whatever its length."""
+    text = (run * 40_000)[:40_000]
+    assert token_counts.vocabulary(PIECES).count(text) == len(sentencepiece.SentencePieceProcessor(model_file=PIECES).encode(text))
+    words = word_encoding.vocabulary(WORDS)
+    want = Tokenizer.from_file(WORDS).encode(text[:4000], add_special_tokens=False).ids
+    assert np.frombuffer(words.encode_texts([text[:4000]])[0], "<u4").tolist() == want
+    ids = np.frombuffer(words.encode_texts([text])[0], "<u4")
+    assert "".join(words.token[i] for i in ids.tolist()).replace("</w>", "") == words.byte_word(text.strip())
