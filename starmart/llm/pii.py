@@ -278,9 +278,16 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
 
 
 def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with every span of its text replaced by ``<kind>``; overlapping spans by the first one's kind."""
-    rows = decided(candidates(df, text_col))
-    text, name = F.col(text_col), F.array(*map(F.lit, KINDS))
+    """``df`` with every span of its text replaced by ``<kind>``; overlapping spans by the first one's kind.
+
+    All other columns come back as they are, whatever their names.  The texts
+    are searched once: rows are checkpointed with their candidates.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    others = [c for c in df.columns if c != text_col]
+    kept = F.struct(F.lit(0).alias("n"), *[df[c].alias(f"c{i}") for i, c in enumerate(others)])
+    rows = decided(candidates(df.select(kept.alias("kept"), df[text_col].alias("text"))).checkpoint())
+    text, name = F.col("text"), F.array(*map(F.lit, KINDS))
     ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
     def step(acc: Column, s: Column) -> Column:
@@ -290,4 +297,5 @@ def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     built = F.aggregate(ordered, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
-    return rows.withColumn(text_col, F.when(F.size("spans") > 0, built).otherwise(text)).select(df.columns)
+    changed = F.when(F.size("spans") > 0, built).otherwise(text)
+    return rows.select(*[changed.alias(c) if c == text_col else F.col(f"kept.c{others.index(c)}").alias(c) for c in df.columns])

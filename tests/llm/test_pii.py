@@ -92,6 +92,16 @@ def test_redaction(spark):
     assert got == {1: "mail <email> or <phone> now", 2: None, 3: "nothing", 4: ""}
 
 
+def test_redaction_keeps_columns_of_any_name(spark):
+    names = ["_email", "spans", "candidates", "_weights", "kept", "text", "_base", "n"]
+    row = ["a@b.com", "s", None, "w", "k", "call +1 415 555 2671", "b", "7"]
+    df = spark.createDataFrame([row], ", ".join(f"{n} string" for n in names))
+    got = pii.redact(df)
+    assert got.columns == names and list(got.first()) == [*row[:5], "call <phone>", *row[6:]]
+    alone = spark.createDataFrame([("a@b.com",), (None,)], "body string")
+    assert sorted(map(tuple, pii.redact(alone, "body").collect()), key=repr) == [("<email>",), (None,)]
+
+
 def test_empty_table(spark):
     assert pii.find(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     assert pii.redact(spark.createDataFrame([], "doc_id long, text string")).collect() == []
