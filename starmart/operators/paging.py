@@ -16,13 +16,14 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_LIMIT = 500
 DEFAULT_LIMIT = 50
 
 #: Rows of a key range that one task may sort to cut a page out of it.
-ROWS_AT_ONCE = 20_000
-#: Bounds by which a range is divided, and sampled keys for each bound.
+ROWS_AT_ONCE = 100_000
+#: Bounds by which a range is divided, and sampled keys for each bound of a text key.
 BOUNDS, SAMPLED = 64, 20
 
 
@@ -104,8 +105,8 @@ class KeyIndex:
     A level is one grouped count of the key column alone: every row finds its
     range among at most ``BOUNDS`` bounds by binary search, equal to a bound or
     between two of them, so that a key with many rows is a range of its own and
-    is divided by the next key.  Bounds come from a sample; the counts are
-    exact.  The driver holds ``2 * BOUNDS + 2`` counts for each refined range.
+    is divided by the next key.  Bounds are approximate quantiles, or of a sample
+    for text; the counts are exact.  The driver holds ``2 * BOUNDS + 2`` counts for each refined range.
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], rows_at_once: int = ROWS_AT_ONCE,
@@ -113,38 +114,49 @@ class KeyIndex:
         self.df, self.keys = df, list(keys)
         self.rows_at_once, self.bounds = rows_at_once, bounds
         self._divided: dict[KeyRange, list[KeyRange]] = {}
-        self._all: KeyRange | None = None
+        self._first: tuple[KeyRange, list] | None = None
 
     @property
     def all(self) -> KeyRange:
-        if self._all is None:
-            self._all = KeyRange(self.df.count())
-        return self._all
+        if self._first is None:
+            rows, marks = self._quantiles(self.df.select(F.col(self.keys[0]).alias("k")))
+            self._first = KeyRange(rows), marks
+        return self._first[0]
+
+    def _quantiles(self, values: DataFrame) -> tuple[int, list]:
+        """The row count and, unless the key is text, approximate quantiles: one pass."""
+        aggs = [F.count(F.lit(1)).alias("n")]
+        kind = values.schema["k"].dataType
+        if isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+            shares = F.array(*[F.lit((i + 0.5) / self.bounds) for i in range(self.bounds)])
+            aggs.append(F.percentile_approx("k", shares, 20 * self.bounds).alias("marks"))
+        found = values.agg(*aggs).first()
+        return found["n"], list((found["marks"] if len(aggs) > 1 else None) or [])
 
     def _within(self, r: KeyRange) -> DataFrame:
         cond = r.condition(self.df, self.keys)
         return self.df if cond is None else self.df.where(cond)
 
-    def _bounds(self, values: DataFrame, rows: int) -> list:
-        share = min(1.0, self.bounds * SAMPLED / max(1, rows))
-        known = values.where(F.col("k").isNotNull())
-        sample = [r["k"] for r in known.sample(share, seed=17).orderBy("k").collect()]
-        if not sample:
-            least = known.agg(F.min("k")).first()[0]
-            return [] if least is None else [least]
-        step = max(1, len(sample) // self.bounds)
-        found: list = []
-        for v in sample[step // 2::step]:
-            if not found or v != found[-1]:
-                found.append(v)
-        return found
+    def _bounds(self, values: DataFrame, r: KeyRange) -> list:
+        """Distinct values, ascending, that divide ``r``; at least one if a value isn't NULL."""
+        marks = self._first[1] if r == self.all else self._quantiles(values)[1]
+        if not marks:
+            known = values.where(F.col("k").isNotNull())
+            share = min(1.0, self.bounds * SAMPLED / max(1, r.rows))
+            sample = [x["k"] for x in known.sample(share, seed=17).orderBy("k").collect()]
+            step = max(1, len(sample) // self.bounds)
+            marks = sample[step // 2::step]
+            if not marks:
+                least = known.agg(F.min("k")).first()[0]
+                marks = [] if least is None else [least]
+        return [v for i, v in enumerate(marks) if not i or v != marks[i - 1]]
 
     def divide(self, r: KeyRange) -> list[KeyRange]:
         """The parts of ``r`` in key order, those without rows left out."""
         if r in self._divided:
             return self._divided[r]
         values = self._within(r).select(F.col(self.keys[len(r.fixed)]).alias("k"))
-        marks = self._bounds(values, r.rows)
+        marks = self._bounds(values, r)
         key = self.keys[len(r.fixed)]
 
         def place(lo: int, hi: int) -> Column:

@@ -17,7 +17,6 @@ from starmart.operators import scd as SCD
 from starmart.operators import states as ST
 from starmart.plans import driver as D
 from starmart.plans import layered as L
-from starmart.plans import models as M
 from starmart.session import scratch_path
 from starmart.specs import DRIVER_SCHEMAS
 
@@ -198,13 +197,15 @@ def layers_gate(spark, sf):
                 "part": D.stage_lifestyle(bronze["part"])}
 
     def gold(tables):
-        weekly = M.metric_weekly_activity(D.mart_fact(spark, sf))
-        lines = tables["lineitem"].groupBy("year", "month").agg(F.count(F.lit(1)).alias("record_count"))
-        return {"monthly": lines, "weekly": weekly}
+        monthly = tables["lineitem"].groupBy("year", "month").agg(F.count(F.lit(1)).alias("record_count"))
+        lines = tables["lineitem"].join(tables["part"], F.col("l_partkey") == F.col("p_partkey"))
+        diets = lines.groupBy("diet_type", "physical_activity_level").agg(
+            F.count(F.lit(1)).alias("record_count"), F.min("bmi").alias("min_bmi"), F.max("bmi").alias("max_bmi"))
+        return {"monthly": monthly, "diets": diets}
 
     def checks(most):
         return {"monthly": C.CheckSpec(unique=[("year", "month")], not_null=["year", "month"], ranges={"month": (1, most)}),
-                "weekly": C.CheckSpec(ranges={"sleep_adequacy_rate_pct": (0.0, 100.0)})}
+                "diets": C.CheckSpec(ranges={"min_bmi": (1.0, 50.0)})}
 
     runs = [(run, L.run_layers(spark, root, run, sources, silver, gold, checks(most))) for run, most in (("first", 12), ("second", 11))]
     outcome = spark.createDataFrame([(run, r.published) for run, r in runs], "run string, passed boolean")

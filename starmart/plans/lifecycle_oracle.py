@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starmart.plans.oracle import METRIC_WEEKLY, with_star
+from starmart.plans.oracle import with_star
 
 SCD_POINT_IN_TIME = """
 WITH facts AS (
@@ -108,7 +108,8 @@ def _layer_rows() -> str:
     parts.append("SELECT 'silver', 'orders', COUNT(*) FROM orders JOIN customer ON o_custkey = c_custkey")
     parts += [f"SELECT 'silver', '{t}', COUNT(*) FROM {t}" for t in ("lineitem", "part")]
     parts.append("SELECT 'gold', 'monthly', COUNT(*) FROM (SELECT DISTINCT year(l_shipdate), month(l_shipdate) FROM lineitem)")
-    parts.append(f"SELECT 'gold', 'weekly', COUNT(*) FROM ({METRIC_WEEKLY}) w")
+    parts.append("SELECT 'gold', 'diets', COUNT(*) FROM (SELECT DISTINCT lower(trim(p_type)), "
+                 "CASE WHEN p_size < 10 THEN 1 WHEN p_size < 30 THEN 2 ELSE 3 END FROM lineitem JOIN part ON l_partkey = p_partkey)")
     return "\nUNION ALL\n".join(parts)
 
 

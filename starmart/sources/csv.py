@@ -147,7 +147,8 @@ def land_quarantine(raw: DataFrame, bronze_path: str) -> tuple[DataFrame, DataFr
     field-count check behind ``_corrupt_record`` is reliable only when every
     column is parsed.  The full parse is therefore landed once as a bronze
     Parquet table (one CSV pass, lineage cut); both sides are read from it.  The
-    counts are observed on that write.
+    counts are observed on that write.  A quote left open swallows the fields
+    behind it; in the last field it can't be told from text that begins with one.
     """
     cols = [c for c in raw.columns if c != CORRUPT_COL]
     seen = Observation()
