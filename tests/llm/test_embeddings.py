@@ -63,6 +63,40 @@ def test_plan_keeps_the_miss_rate():
         assert (1 - agree**signs) ** tables <= embeddings.MISS
 
 
+@pytest.mark.parametrize("spread", [0.05, 0.3])
+def test_large_components_whole_and_bucket_by_bucket(spark, monkeypatch, spread):
+    """A tight group is compared whole, a sphere of many small steps by its buckets; no link counts twice."""
+    monkeypatch.setattr(embeddings, "BLOCK", 16)
+    monkeypatch.setattr(embeddings, "BUCKET", 2)
+    rng = np.random.default_rng(8)
+    if spread < 0.1:
+        vectors = rng.standard_normal(8) + spread * rng.standard_normal((300, 8))
+    else:
+        vectors = rng.standard_normal((1200, 4))
+    rows = [(i, v.astype(np.float32).tolist(), 1, "x") for i, v in enumerate(vectors)]
+    chosen = []
+    whole = embeddings.loose
+    monkeypatch.setattr(embeddings, "loose", lambda *a: chosen.append(whole(*a)) or chosen[-1])
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert sorted(map(tuple, embeddings.near_duplicates(df).collect())) == brute(rows, 0.93)
+    assert chosen[0][0].isEmpty() == (spread < 0.1)
+
+
+def test_very_large_and_small_components_and_labels_of_text(spark):
+    rows = [(1, [1e200, 2e200], "a"), (2, [1e-200, 2e-200], "a"), (3, [1e200, 2.1e200], "a"), (4, [1e200, 2e200], "b"), (5, [-1e200, 2e200], "a")]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id int, embedding array<double>, label string"))
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got.collect()) == [(1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 0, 4), (5, 0, 5)]
+    with pytest.raises(TypeError):
+        embeddings.near_duplicates(spark.createDataFrame([("x", [1.0], 1)], "vec_id string, embedding array<double>, label int"))
+
+
+def test_signs_apart_keep_the_miss_rate():
+    rng = np.random.default_rng(2)
+    apart = embeddings.most_signs_apart(0.93)
+    differ = rng.binomial(embeddings.SIGNS, np.arccos(0.93) / np.pi, 1_000_000)
+    assert (differ > apart).mean() < 5 * embeddings.MISS and apart < embeddings.SIGNS / 4
+
+
 def test_query_equals_the_sql(spark):
     sf = "/root/testdata/sf0.01"
     db = duckdb.connect()
