@@ -1,13 +1,13 @@
 """Licence scan: TF-IDF cosine to templates, then inheritance from ancestor directories.
 
 Units are the lines of every text, the text as a whole, and windows of each
-template's number of tokens, across line breaks: at every token of a statement,
-every sixteenth of a header's length, every eighth of a licence text's.  Token
+template's number of tokens, across line breaks and at every token.  Token
 weights use document frequencies over all texts.  A unit that reaches the
 threshold with a template must hold one of its anchors, tokens without which
 the others can't reach it, and its text tokens that make up the threshold's
-share of the template; windows are cut only there, and equal texts and equal
-units are worked out once.
+share of the template; windows are looked for only there, and equal texts and
+equal units are worked out once.  Short windows are cut; of a header's or a
+licence text's windows running sums find the one of the highest cosine.
 
 An SPDX tag states its licence itself, with similarity 1.
 
@@ -23,7 +23,7 @@ import math
 import re
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.common import picked
@@ -36,8 +36,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)[^/]*$"
 #: The licence, or the expression of licences, behind an SPDX tag.
 SPDX = r"(?i)spdx-license-identifier:[ \t]*\(?([a-z0-9][a-z0-9.+-]*(?:[ \t]+(?:and|or|with)[ \t]+[a-z0-9][a-z0-9.+-]*)*)"
-#: Templates with more tokens are licence texts.
-LONG = 130
+#: Windows of longer templates are found by running sums.
+SHORT = 31
 
 # Licence statements, headers and (in the folder) texts to compare with.
 STATEMENTS = (
@@ -117,32 +117,61 @@ def anchors(templates: list[tuple[str, dict[str, int]]], idf: dict[str, float],
 
 
 def forms(templates: list[tuple[str, dict[str, int]]], idf: dict[str, float], threshold: float) -> list[tuple]:
-    """(template, length, step, starts, needed): how windows for a template are cut."""
+    """(template, length, short, starts, needed): how windows for a template are found."""
     out = []
     for k, (licence, counts) in enumerate(templates):
         n = sum(counts.values())
-        if n > LONG:
-            out.append((k, n, n // 8, [], []))
+        if n <= SHORT:
+            out.append((k, n, True, sorted(counts), anchors([(licence, counts)], idf, threshold)))
         else:
-            step = max(1, n // 16)
-            out.append((k, n, step, sorted(counts) if step == 1 else [], anchors([(licence, counts)], idf, threshold)))
+            out.append((k, n, False, [], []))
     return out
 
 
 def windows(found: Column, form: Column) -> Column:
-    """Units of a form's length from an array of tokens, as texts: one at every step and one at the end.
+    """Units of a short form's length from an array of tokens, as texts: one at every token.
 
-    They begin with one of ``starts`` and hold one of ``needed``, where these aren't empty.
+    They begin with one of ``starts`` and hold one of ``needed``.
     """
     length, starts, needed = form["length"], form["starts"], form["needed"]
-    last = F.greatest(F.size(found) - length, F.lit(0))
-    begin = F.array_union(F.sequence(F.lit(0), last, form["step"]), F.array(last))
-    begin = F.filter(begin, lambda k: (F.size(starts) == 0) | F.array_contains(starts, F.get(found, k)))
+    begin = F.sequence(F.lit(0), F.greatest(F.size(found) - length, F.lit(0)))
+    begin = F.filter(begin, lambda k: F.array_contains(starts, F.get(found, k)))
     units = F.transform(begin, lambda k: F.slice(found, k + 1, length))
-    units = F.filter(units, lambda u: (F.size(needed) == 0) | F.arrays_overlap(u, needed))
+    units = F.filter(units, lambda u: F.arrays_overlap(u, needed))
     return F.transform(units, lambda u: F.array_join(u, " "))
 
 
+def best_windows(texts: DataFrame, near: DataFrame, parts: DataFrame, idf: DataFrame, other: float, threshold: float) -> DataFrame:
+    """(doc, unit): of all windows of a long form's length, at every token, the one of the highest cosine.
+
+    From one window to the next a token leaves and one enters: both change the
+    dot product by their share, and the squared norm by their weight's square
+    times twice their count in the window more or less one.  Running sums of
+    these changes give every window's cosine at a cost of the text's length.
+    """
+    long = near.where(~F.col("short")).select("doc", "template", "length")
+    rows = texts.join(long, "doc").where(F.size("found") > F.col("length"))
+    rows = rows.select("doc", "template", "length", F.size("found").alias("size"), F.posexplode("found").alias("at", "token"))
+    rows = rows.join(F.broadcast(idf), "token", "left").join(F.broadcast(parts.select("token", "template", "part")), ["token", "template"], "left")
+    rows = rows.withColumn("w", F.coalesce("idf", F.lit(other))).withColumn("share", F.col("w") * F.coalesce("part", F.lit(0.0)))
+    rows = rows.repartition("doc", "template").withColumn("turn", F.col("at") / F.col("length"))
+    # Frames in lengths of the form; a little less than one leaves out the token just one length away.
+    counted = "count(1) over (partition by doc, template, token order by turn range between {} and {})"
+    rows = rows.withColumn("before", F.expr(counted.format("0.99999D preceding", "current row")))
+    rows = rows.withColumn("after", F.expr(counted.format("current row", "0.99999D following")))
+    square = F.col("w") * F.col("w")
+    enters = F.struct(F.col("at").alias("at"), F.col("share").alias("dot"), (square * (2 * F.col("before") - 1)).alias("norm"))
+    leaves = F.struct((F.col("at") + F.col("length")).alias("at"), (-F.col("share")).alias("dot"), (-square * (2 * F.col("after") - 1)).alias("norm"))
+    steps = rows.select("doc", "template", "length", "size", F.explode(F.array(enters, leaves)).alias("s")).select("doc", "template", "length", "size", "s.*")
+    upto = Window.partitionBy("doc", "template").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = steps.select("doc", "template", "length", "size", "at", F.sum("dot").over(upto).alias("dot"), F.sum("norm").over(upto).alias("norm"))
+    inside = summed.where((F.col("at") >= F.col("length") - 1) & (F.col("at") < F.col("size")) & (F.col("norm") > 0))
+    cosine = F.col("dot") / F.sqrt("norm")
+    best = inside.where(cosine >= threshold - 1e-6).groupBy("doc", "template").agg(F.max(F.struct(cosine.alias("cosine"), (-F.col("at")).alias("less"), "length")).alias("best"))
+    window = F.slice("found", 2 - F.col("best.less") - F.col("best.length"), F.col("best.length"))
+    return texts.join(best, "doc").select("doc", F.array_join(window, " ").alias("unit"))
+
+
 def own_licences(files: DataFrame, templates: tuple, threshold: float) -> DataFrame:
     """(file, licence, similarity): the best template of each file that reaches the threshold."""
     spark = files.sparkSession
@@ -163,16 +192,19 @@ def own_licences(files: DataFrame, templates: tuple, threshold: float) -> DataFr
     size = {k: math.sqrt(sum((n * idf[t]) ** 2 for t, n in counts.items())) for k, (_, counts) in enumerate(parsed)}
     entries = [(t, k, licence, n * idf[t] / size[k]) for k, (licence, counts) in enumerate(parsed) for t, n in counts.items()]
     template_table = spark.createDataFrame(entries, "token string, template int, licence string, part double")
-    form_table = spark.createDataFrame(forms(parsed, idf, threshold), "template int, length int, step int, starts array<string>, needed array<string>")
+    form_table = spark.createDataFrame(forms(parsed, idf, threshold), "template int, length int, short boolean, starts array<string>, needed array<string>")
 
     # A unit's cosine is at most the root of the template's share that lies in the text's tokens.
     held = texts.select("doc", F.explode(F.array_distinct("found")).alias("token")).join(F.broadcast(template_table), "token")
     near = held.groupBy("doc", "template").agg(F.sum(F.col("part") * F.col("part")).alias("share"))
     near = near.where(F.col("share") >= threshold * threshold - 1e-6).join(F.broadcast(form_table), "template")
-    forms_of = near.groupBy("doc").agg(F.collect_list(F.struct("length", "step", "starts", "needed")).alias("forms"))
+    near = near.select("doc", "template", "length", "short", "starts", "needed").checkpoint()
+    short = F.when(F.col("short"), F.struct("length", "starts", "needed"))
+    forms_of = near.groupBy("doc").agg(F.collect_list(short).alias("forms"))
     cut = F.flatten(F.transform("forms", lambda f: windows(F.col("found"), f)))
     units = F.array_distinct(F.concat("lines", F.array(F.array_join("found", " ")), cut))
     unit = texts.join(forms_of, "doc").select("doc", F.explode(units).alias("unit"))
+    unit = unit.unionByName(best_windows(texts, near, template_table, idf_table, other, threshold))
     keyed = unit.select("doc", F.sha2(F.encode("unit", "UTF-8"), 256).alias("key"), "unit").checkpoint()
 
     distinct = keyed.groupBy("key").agg(F.first("unit").alias("unit"))
