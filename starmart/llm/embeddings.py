@@ -171,6 +171,20 @@ def trees(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         tree = least
 
 
+def hung(tree: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """The row that each row hangs from, so that a tree is linked without one row of very many links.
+
+    A tree's rows, by node, hang eight from each; its smallest from itself.
+    """
+    order = np.lexsort((nodes, tree))
+    begins = np.flatnonzero(np.r_[True, tree[order][1:] != tree[order][:-1]])
+    first = np.repeat(begins, np.diff(np.r_[begins, len(tree)]))
+    place = np.arange(len(tree)) - first
+    above = np.empty_like(order)
+    above[order] = order[first + np.maximum(place - 1, 0) // 8]
+    return above
+
+
 def in_blocks(rows: DataFrame, by: list[str], sizes: DataFrame) -> DataFrame:
     """``rows`` dealt to units (unit, side): one for each value of ``by``, or one for each pair of its blocks.
 
@@ -206,9 +220,10 @@ def candidates(marked: DataFrame, apart: int) -> DataFrame:
                 signs = bits.astype(np.float32) * 2 - 1
                 i, j = pairs_where(unit["side"].to_numpy(), lambda a, b: signs[a] @ signs[b].T >= SIGNS - 2 * apart)  # noqa: B023
                 if len(i):
-                    nodes, tree = unit["node"].to_numpy(), trees(i, j, n)
-                    hung = np.flatnonzero(tree != np.arange(n))
-                    found.append((nodes[hung], nodes[tree[hung]]))
+                    nodes = unit["node"].to_numpy()
+                    above = hung(trees(i, j, n), nodes)
+                    moved = np.flatnonzero(above != np.arange(n))
+                    found.append((nodes[moved], nodes[above[moved]]))
             if len(found) >= 1000:
                 yield tables_of(found, ["a", "b"])
                 found = []
@@ -235,7 +250,7 @@ def compared(unit: pa.Table, threshold: float, kind: type) -> tuple | None:
     nodes, weight = unit["node"].to_numpy(), unit["weight"].to_numpy()
     found = (np.bincount(i, weight[j], n) + np.bincount(j, weight[i], n)).astype(np.int64)
     linked = np.flatnonzero(found)
-    return nodes[linked], found[linked], nodes[trees(i, j, n)[linked]]
+    return nodes[linked], found[linked], nodes[hung(trees(i, j, n), nodes)[linked]]
 
 
 def loose(groups: DataFrame, large: DataFrame, marked: DataFrame) -> tuple[DataFrame, DataFrame]:
