@@ -39,8 +39,12 @@ STRICT_IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 STRICT_PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 DIGIT_RUN = "(?<![0-9\ue000])[0-9][0-9\ue000]{12,36}(?![0-9\ue000])"
 # Looser patterns.
-AT, DOT = r"(?: ?[\[({](?i:at)[\])}] ?| (?i:at) )", r"(?: ?[\[({](?i:dot)[\])}] ?| (?i:dot) |\.)"
-LOOSE_EMAIL = rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++{AT}[A-Za-z0-9-]++(?:{DOT}[A-Za-z0-9-]++){{0,2}}{DOT}[A-Za-z]{{2,}}+"
+AT, DOT = r" ?[\[({](?i:at)[\])}] ?", r"(?: ?[\[({](?i:dot)[\])}] ?| (?i:dot) |\.)"
+LABEL = r"[A-Za-z0-9-]++"
+LOOSE_EMAIL = (
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:{AT}{LABEL}(?:{DOT}{LABEL}){{0,2}}{DOT}"
+    rf"| (?i:at) {LABEL}(?: (?i:dot) {LABEL}){{0,2}} (?i:dot) )[A-Za-z]{{2,}}+"
+)
 LOOSE_IP = r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"
 LOOSE_PHONE = (
     r"(?<![0-9+.-])(?:(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
@@ -153,7 +157,7 @@ def candidates(df: DataFrame, text_col: str = "text") -> DataFrame:
         "_ip": found(text.rlike(r"[0-9]\.[0-9]"), STRICT_IP),
         "_run": found(text.rlike("[0-9](?:[ -]?[0-9]){12}"), DIGIT_RUN, joined),
         "_phone": found(text.contains("+"), STRICT_PHONE),
-        "_email2": found(text.rlike(r"(?i)[\[({ ]at[\])} ]"), LOOSE_EMAIL),
+        "_email2": found(text.rlike(r"(?i)[\[({]at[\])}]| at [A-Za-z0-9-]+ dot "), LOOSE_EMAIL),
         "_ip2": found(number & text.rlike("(?:[0-9A-Fa-f]{1,4}:){7}"), LOOSE_IP),
         "_iban": found(number & text.rlike("[A-Z]{2}[0-9]{2}"), IBAN),
         "_phone2": found(number & text.rlike("[0-9]{3}[ .-][0-9]{4}|0[1-9][0-9]*[)]?[ ./-][0-9]"), LOOSE_PHONE),
