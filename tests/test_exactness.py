@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import os
+import random
+import time
 
 import duckdb
 import pytest
@@ -269,3 +271,30 @@ def test_save_table_replaces(spark):
     save_table(spark.range(5), "exactness", "t")
     assert spark.table(name).count() == 5
     spark.sql("DROP DATABASE exactness CASCADE")
+
+
+def test_searched_patterns_find_what_the_named_ones_find(spark):
+    """Value by value, over texts dense in the characters the patterns turn on."""
+    rng = random.Random(5)
+    parts = ["0", "1", "12", "1234", "12345678", " ", "-", "+", "a", "Z", "@", ".", "_", "%", "é", "٠", "𝒜", "\n", "\r\n", " ", "co", ","]
+    digits = ["0", "1", "12", "1234", " ", "-", "+", "a", "\n"]
+    mails = ["a", "Z", "1", "@", "@", ".", "co", "_", " ", "é"]
+    texts = [None, "", "a@b.co", "+1 555 123 4567", "123456789\n", "x123456789", "+123456789+"]
+    texts += ["".join(rng.choices(pick, k=rng.randint(1, 14))) for pick in (parts, digits, mails) for _ in range(20_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for name, pattern in checks.PII_PATTERNS.items():
+        named, searched = F.col("t").rlike(pattern), F.col("t").rlike(checks._SEARCHED[pattern])
+        got = df.agg(F.sum(F.when(named, 1).otherwise(0)), F.sum(F.when(named.eqNullSafe(searched), 0).otherwise(1))).first()
+        assert got[0] > 100 and got[1] == 0, name
+
+
+def test_pii_scan_reads_a_long_word_once(spark):
+    """A word of a million characters: a search from each of them takes many minutes."""
+    word = F.repeat(F.lit("a"), 1_000_000)
+    df = spark.range(3).select(F.when(F.col("id") == 1, F.concat(word, F.lit(" x@y.org 123456789"))).otherwise(word).alias("t"))
+    began = time.monotonic()
+    found = {r.check_name: r.failures for r in checks.pii_scan(df, "m").collect()}
+    assert found == {"pii_pattern_email": 1, "pii_pattern_phone": 1, "pii_pattern_national_id": 1}
+    assert time.monotonic() - began < 60
+    own = checks.pii_scan(df, "m", patterns={"own": "a x"}).collect()
+    assert [(r.check_name, r.failures) for r in own] == [("pii_pattern_own", 1)]
