@@ -155,40 +155,64 @@ def train(words: list[tuple[bytes, int, int]], languages: int) -> dict[str, np.n
 
 
 def lean(params: dict[str, np.ndarray], words: list[bytes]) -> np.ndarray:
-    """The probabilities of ``network`` (steps, batch, languages) for words in order of falling length."""
-    data, mask, flip = padded(words)
+    """The probabilities of ``network`` (steps, batch, languages) for words in order of falling length.
+
+    The words that are still read at a step are the first ones, so the layer that reads
+    backwards starts each word where it ends, and nothing is turned round.  One language's
+    probabilities lie together in memory: what is taken over languages runs over whole arrays.
+    """
+    data, mask, _ = padded(words)
     active = mask.sum(1)
-    logits = np.tile(params["bias"], (*data.shape, 1))
-    for name, rows, half in (("ahead", data, slice(HIDDEN)), ("back", np.take_along_axis(data, flip, 0), slice(HIDDEN, None))):
+    logits = np.empty((len(params["bias"]), data.size), np.float32)
+    logits[:] = params["bias"][:, None]
+    states = np.zeros((*data.shape, HIDDEN), np.float32)
+    wide = [np.empty((len(words), 2 * HIDDEN), np.float32) for _ in range(2)]
+    narrow = [np.empty((len(words), HIDDEN), np.float32) for _ in range(3)]
+    for name, order, half in (("ahead", range(len(data)), slice(HIDDEN)), ("back", range(len(data) - 1, -1, -1), slice(HIDDEN, None))):
         # A gate is (tanh(x / 2) + 1) / 2: the halves are taken into the weights.
-        scale = np.float32([0.5] * (2 * HIDDEN) + [1] * HIDDEN)
-        inputs, recurrent = params[f"{name}_in"] * scale, params[f"{name}_re"] * scale
-        gates_in, inner_in = np.ascontiguousarray(inputs[:, : 2 * HIDDEN]), np.ascontiguousarray(inputs[:, 2 * HIDDEN :])
+        inputs, recurrent = params[f"{name}_in"], params[f"{name}_re"] * np.float32(0.5)
+        gates_in, inner_in = inputs[:, : 2 * HIDDEN] * np.float32(0.5), np.ascontiguousarray(inputs[:, 2 * HIDDEN :])
         gates_re, inner_re = np.ascontiguousarray(recurrent[:, : 2 * HIDDEN]), np.ascontiguousarray(recurrent[:, 2 * HIDDEN :])
-        states = np.zeros((*data.shape, HIDDEN), np.float32)
-        h = np.zeros((len(words), HIDDEN), np.float32)
-        room, less = np.empty((len(words), 2 * HIDDEN), np.float32), np.empty_like(h)
-        for t, n in enumerate(active):
-            h, at = h[:n], rows[t, :n]
-            g = np.dot(h, gates_re)
-            g += np.take(gates_in, at, 0, out=room[:n], mode="clip")
+        start, before, n = np.zeros((len(words), HIDDEN), np.float32), None, 0
+        for t in order:
+            last, n = n, active[t]
+            if before is None:
+                h = start[:n]
+            elif n <= last:
+                h = states[before, :n]
+            else:  # more words begin here
+                h = start[:n]
+                h[:last] = states[before, :last]
+            at, (g, x), (c, y, d) = data[t, :n], (w[:n] for w in wide), (w[:n] for w in narrow)
+            np.dot(h, gates_re, out=g)
+            gates_in.take(at, 0, x, "clip")
+            g += x
             np.tanh(g, out=g)
             g += 1
-            g *= np.float32(0.5)
-            c = np.dot(h, inner_re)
+            np.dot(h, inner_re, out=c)
             c *= g[:, HIDDEN:]
-            c += np.take(inner_in, at, 0, out=less[:n], mode="clip")
+            inner_in.take(at, 0, y, "clip")
+            c += y
             np.tanh(c, out=c)
-            new = np.subtract(h, c, out=states[t, :n])
-            new *= g[:, :HIDDEN]
-            new += c
-            h = new
-        out = (states.reshape(-1, HIDDEN) @ params["out"][half]).reshape(logits.shape)
-        logits += out if name == "ahead" else np.take_along_axis(out, flip[:, :, None], 0)
-    logits -= logits.max(axis=2, keepdims=True)
+            np.subtract(h, c, out=d)
+            d *= g[:, :HIDDEN]
+            d *= np.float32(0.5)
+            np.add(c, d, out=states[t, :n])
+            before = t
+        logits += params["out"][half].T @ states.reshape(-1, HIDDEN).T
+    logits -= logits.max(axis=0)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=2, keepdims=True)
-    return logits
+    logits /= logits.sum(axis=0)
+    return logits.reshape(-1, *data.shape).transpose(1, 2, 0)
+
+
+def likeliest(p: np.ndarray) -> np.ndarray:
+    """The first language of the greatest probability at every byte (steps, batch)."""
+    best, top = np.zeros(p.shape[:2], np.uint16), p[:, :, 0].copy()
+    for k in range(1, p.shape[2]):
+        np.copyto(best, k, where=p[:, :, k] > top)
+        np.maximum(top, p[:, :, k], out=top)
+    return best
 
 
 def lowered(text: str) -> str:
@@ -229,9 +253,12 @@ class Identifier:
         for start in range(0, len(fresh), TOGETHER):
             part = fresh[start : start + TOGETHER]
             p = lean(self.params, [w for w, _, _ in part])
-            best = p.argmax(2).astype(np.uint16)
+            best = likeliest(p).T.copy()
+            begin, end, step = np.array([a for _, a, _ in part]), np.array([b for _, _, b in part]), np.arange(len(p))[:, None]
+            p *= ((begin <= step) & (step < end))[:, :, None]
+            sums = p.sum(0)
             for i, (w, a, b) in enumerate(part):
-                known[w, a, b] = p[a:b, i].sum(0), best[a:b, i].copy()
+                known[w, a, b] = sums[i].copy(), best[i, a:b].copy()
         self.row.make_room(len(fresh))
         self.row.update((w, known[w]) for w in fresh[: self.row.limit])
         return known

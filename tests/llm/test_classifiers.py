@@ -155,3 +155,15 @@ def test_no_document_is_rejected_by_its_score(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert max(r.score for r in language.identify(docs).collect()) < 0.4
     assert sorted(r.doc_id for r in language.accept(docs).collect()) == list(range(40))
+
+
+def test_lean_reads_words_of_falling_length_both_ways():
+    """Words that end at every step, read backwards from there; each language's probabilities lie together."""
+    params = language.initial(5)
+    words = [("ab cé"[k % 4 :] * 90).encode()[: 200 - 3 * k] for k in range(60)]
+    p, mask, _ = language.network(params, words)
+    got = language.lean(params, words)
+    assert got.shape == p.shape and np.abs((got - p) * mask[:, :, None]).max() < 1e-5
+    assert got[:, :, 0].flags["C_CONTIGUOUS"] and (language.likeliest(got) == got.argmax(2)).all()
+    one = language.lean(language.initial(1), words[:2])
+    assert (one == 1).all() and not language.likeliest(one).any()
