@@ -26,8 +26,8 @@ SEGMENT, CONTEXT = 256, 16
 #: Most documents (about) and segments of a language to learn from.
 TRAIN_DOCS, TRAIN_SEGMENTS = 1_000, 500
 BATCH, EPOCHS, LEAST_STEPS, RATE, SEED = 32, 6, 60, 0.01, 11
-#: Segments worked out at a time, and remembered by a worker.
-TOGETHER, REMEMBERED = 512, 40_000
+#: Segments worked out at a time, steps whose states are held for the output layer, segments remembered by a worker.
+TOGETHER, BLOCK, REMEMBERED = 512, 4, 40_000
 UNDETERMINED = "und"
 #: ``accept`` rejects no document by its score, only those without a determined language.
 LEAST_SCORE = 0.0
@@ -154,56 +154,67 @@ def train(words: list[tuple[bytes, int, int]], languages: int) -> dict[str, np.n
     return params
 
 
-def lean(params: dict[str, np.ndarray], words: list[bytes]) -> np.ndarray:
-    """The probabilities of ``network`` (steps, batch, languages) for words in order of falling length.
+def lean(params: dict[str, np.ndarray], words: list[bytes], read: np.ndarray | None = None) -> np.ndarray:
+    """The probabilities of ``network`` (steps, batch, languages), for words in order of falling ``read``.
 
-    The words that are still read at a step are the first ones, so the layer that reads
-    backwards starts each word where it ends, and nothing is turned round.  One language's
-    probabilities lie together in memory: what is taken over languages runs over whole arrays.
+    Each direction reads that many bytes of a word, from the end where it starts (all, if not
+    given); probabilities are right where both have read.  Both directions go side by side, the
+    words still read at a step are the first ones, and a gate's values lie together, as one
+    language's probabilities do: what is taken over them runs over whole arrays.
     """
-    data, mask, _ = padded(words)
-    active = mask.sum(1)
-    logits = np.empty((len(params["bias"]), data.size), np.float32)
-    logits[:] = params["bias"][:, None]
-    states = np.zeros((*data.shape, HIDDEN), np.float32)
-    wide = [np.empty((len(words), 2 * HIDDEN), np.float32) for _ in range(2)]
-    narrow = [np.empty((len(words), HIDDEN), np.float32) for _ in range(3)]
-    for name, order, half in (("ahead", range(len(data)), slice(HIDDEN)), ("back", range(len(data) - 1, -1, -1), slice(HIDDEN, None))):
-        # A gate is (tanh(x / 2) + 1) / 2: the halves are taken into the weights.
-        inputs, recurrent = params[f"{name}_in"], params[f"{name}_re"] * np.float32(0.5)
-        gates_in, inner_in = inputs[:, : 2 * HIDDEN] * np.float32(0.5), np.ascontiguousarray(inputs[:, 2 * HIDDEN :])
-        gates_re, inner_re = np.ascontiguousarray(recurrent[:, : 2 * HIDDEN]), np.ascontiguousarray(recurrent[:, 2 * HIDDEN :])
-        start, before, n = np.zeros((len(words), HIDDEN), np.float32), None, 0
-        for t in order:
-            last, n = n, active[t]
-            if before is None:
-                h = start[:n]
-            elif n <= last:
-                h = states[before, :n]
-            else:  # more words begin here
-                h = start[:n]
-                h[:last] = states[before, :last]
-            at, (g, x), (c, y, d) = data[t, :n], (w[:n] for w in wide), (w[:n] for w in narrow)
-            np.dot(h, gates_re, out=g)
-            gates_in.take(at, 0, x, "clip")
-            g += x
-            np.tanh(g, out=g)
-            g += 1
-            np.dot(h, inner_re, out=c)
-            c *= g[:, HIDDEN:]
-            inner_in.take(at, 0, y, "clip")
-            c += y
+    data, mask, flip = padded(words)
+    sizes, n = mask.sum(0), len(words)
+    read = sizes if read is None else read
+    steps = int(read[0])
+    active = (np.arange(steps)[:, None] < read).sum(1).tolist()
+    both = np.stack([data[:steps], np.take_along_axis(data, flip[:steps], 0)], 1).astype(np.intp)
+    both[:, 1] += 256  # the tables of the two directions stand one below the other
+
+    # A gate is (tanh(x / 2) + 1) / 2: the halves are taken into the weights.
+    update_in, reset_in, inner_in = (np.concatenate([params[f"{d}_in"][:, k : k + HIDDEN] for d in ("ahead", "back")]) for k in range(0, 3 * HIDDEN, HIDDEN))
+    update_in, reset_in = update_in * np.float32(0.5), reset_in * np.float32(0.5)
+    recurrent = np.stack([[params[f"{d}_re"][:, k : k + HIDDEN] for d in ("ahead", "back")] for k in range(0, 3 * HIDDEN, HIDDEN)]) * np.float32(0.5)
+    out = [np.ascontiguousarray(params["out"][half].T) for half in (slice(HIDDEN), slice(HIDDEN, None))]
+
+    logits, back = np.zeros((len(params["bias"]), *data.shape), np.float32), np.empty((len(params["bias"]), steps, n), np.float32)
+    states, h = np.zeros((BLOCK, 2, n, HIDDEN), np.float32), np.zeros((2, n, HIDDEN), np.float32)
+    room, m = [np.empty(k * h.size, np.float32) for k in (3, 1, 1)], 0
+    for first in range(0, steps, BLOCK):
+        for t in range(first, min(first + BLOCK, steps)):
+            if active[t] != m:
+                m = active[t]
+                h, size = h[:, :m], 2 * m * HIDDEN
+                u, x, d = (r[: len(r) // (2 * n * HIDDEN) * size].reshape(-1, 2, m, HIDDEN) for r in room)
+                gates, (z, r, c), x, d = u[:2], u, x[0], d[0]
+            at = both[t, :, :m]
+            np.matmul(h, recurrent, out=u)
+            update_in.take(at, 0, x, "clip")
+            z += x
+            reset_in.take(at, 0, x, "clip")
+            r += x
+            np.tanh(gates, out=gates)
+            gates += 1
+            c *= r
+            inner_in.take(at, 0, x, "clip")
+            c += x
             np.tanh(c, out=c)
             np.subtract(h, c, out=d)
-            d *= g[:, :HIDDEN]
+            d *= z
             d *= np.float32(0.5)
-            np.add(c, d, out=states[t, :n])
-            before = t
-        logits += params["out"][half].T @ states.reshape(-1, HIDDEN).T
+            h = states[t - first, :, :m]
+            np.add(c, d, out=h)
+        some = states[: t + 1 - first]
+        for k, to in enumerate((logits, back)):
+            np.matmul(out[k], some[:, k].transpose(0, 2, 1), out=to[:, first : t + 1].transpose(1, 0, 2))
+    logits += params["bias"][:, None, None]
+    # What was read backwards is turned round, for all words of one size together.
+    edges = np.flatnonzero(np.diff(sizes) | np.diff(read)) + 1
+    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), n], strict=True):
+        logits[:, sizes[a] - read[a] : sizes[a], a:b] += back[:, : read[a], a:b][:, ::-1]
     logits -= logits.max(axis=0)
     np.exp(logits, out=logits)
     logits /= logits.sum(axis=0)
-    return logits.reshape(-1, *data.shape).transpose(1, 2, 0)
+    return logits.transpose(1, 2, 0)
 
 
 def likeliest(p: np.ndarray) -> np.ndarray:
@@ -247,12 +258,17 @@ class Identifier:
         self.row = WordCache(REMEMBERED)
 
     def learn(self, wanted: set[tuple[bytes, int, int]]) -> dict:
-        """Sums of the probabilities over a segment's own bytes, and the best language at each of them."""
-        fresh = sorted((w for w in wanted if w not in self.row), key=lambda w: (-len(w[0]), w))
+        """Sums of the probabilities over a segment's own bytes, and the best language at each of them.
+
+        The context behind a segment doesn't change what is read forwards in it, nor does the
+        context before it what is read backwards.
+        """
+        reads = lambda w: max(w[2], len(w[0]) - w[1])
+        fresh = sorted((w for w in wanted if w not in self.row), key=lambda w: (-reads(w), -len(w[0]), w))
         known = {w: self.row[w] for w in wanted if w in self.row}
         for start in range(0, len(fresh), TOGETHER):
             part = fresh[start : start + TOGETHER]
-            p = lean(self.params, [w for w, _, _ in part])
+            p = lean(self.params, [w for w, _, _ in part], np.array([reads(w) for w in part]))
             best = likeliest(p).T.copy()
             begin, end, step = np.array([a for _, a, _ in part]), np.array([b for _, _, b in part]), np.arange(len(p))[:, None]
             p *= ((begin <= step) & (step < end))[:, :, None]

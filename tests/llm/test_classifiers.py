@@ -167,3 +167,22 @@ def test_lean_reads_words_of_falling_length_both_ways():
     assert got[:, :, 0].flags["C_CONTIGUOUS"] and (language.likeliest(got) == got.argmax(2)).all()
     one = language.lean(language.initial(1), words[:2])
     assert (one == 1).all() and not language.likeliest(one).any()
+
+
+def test_each_direction_reads_a_segment_and_the_context_before_it(monkeypatch):
+    """Sums and labels are those of the whole words, but no direction reads the context behind a segment."""
+    steps, lean = [], language.lean
+    monkeypatch.setattr(language, "TOGETHER", 7)
+    monkeypatch.setattr(language, "lean", lambda params, words, read: steps.append((words, read)) or lean(params, words, read))
+    model = language.Identifier(language.initial(3), ["a", "b", "c"])
+    wanted = set()
+    for text in ("some words " * 90, "é日本 " * 150, "x", "ab " * 87, "Hello wörld " * 25):
+        data = text.encode()
+        wanted |= {(data[first:last], a - first, b - first) for first, a, b, last in language.cut(data)}
+    found = model.learn(wanted)
+    assert len(wanted) > 14 and set(found) == wanted
+    for (word, a, b), (sums, best) in found.items():
+        p = language.network(model.params, [word])[0][a:b, 0]
+        assert np.abs(p.sum(0) - sums).max() < 1e-3 and (p.argmax(1) == best).all()
+    most = language.SEGMENT + language.CONTEXT + 6  # borders of characters
+    assert max(len(w) for words, _ in steps for w in words) > most and all(max(read) <= most for _, read in steps)
