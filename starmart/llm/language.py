@@ -174,9 +174,9 @@ def lean(params: dict[str, np.ndarray], words: list[bytes], read: np.ndarray | N
     update_in, reset_in, inner_in = (np.concatenate([params[f"{d}_in"][:, k : k + HIDDEN] for d in ("ahead", "back")]) for k in range(0, 3 * HIDDEN, HIDDEN))
     update_in, reset_in = update_in * np.float32(0.5), reset_in * np.float32(0.5)
     recurrent = np.stack([[params[f"{d}_re"][:, k : k + HIDDEN] for d in ("ahead", "back")] for k in range(0, 3 * HIDDEN, HIDDEN)]) * np.float32(0.5)
-    out = [np.ascontiguousarray(params["out"][half].T) for half in (slice(HIDDEN), slice(HIDDEN, None))]
+    out = params["out"].reshape(2, HIDDEN, -1)
 
-    logits, back = np.zeros((len(params["bias"]), *data.shape), np.float32), np.empty((len(params["bias"]), steps, n), np.float32)
+    parts = np.empty((2, steps, n, out.shape[2]), np.float32)
     states, h = np.zeros((BLOCK, 2, n, HIDDEN), np.float32), np.zeros((2, n, HIDDEN), np.float32)
     room, m = [np.empty(k * h.size, np.float32) for k in (3, 1, 1)], 0
     for first in range(0, steps, BLOCK):
@@ -203,10 +203,10 @@ def lean(params: dict[str, np.ndarray], words: list[bytes], read: np.ndarray | N
             d *= np.float32(0.5)
             h = states[t - first, :, :m]
             np.add(c, d, out=h)
-        some = states[: t + 1 - first]
-        for k, to in enumerate((logits, back)):
-            np.matmul(out[k], some[:, k].transpose(0, 2, 1), out=to[:, first : t + 1].transpose(1, 0, 2))
-    logits += params["bias"][:, None, None]
+        np.matmul(states[: t + 1 - first], out, out=parts[:, first : t + 1].transpose(1, 0, 2, 3))
+    ahead, back = parts.transpose(0, 3, 1, 2)
+    logits = np.zeros((out.shape[2], *data.shape), np.float32)
+    np.add(ahead, params["bias"][:, None, None], out=logits[:, :steps])
     # What was read backwards is turned round, for all words of one size together.
     edges = np.flatnonzero(np.diff(sizes) | np.diff(read)) + 1
     for a, b in zip([0, *edges.tolist()], [*edges.tolist(), n], strict=True):
