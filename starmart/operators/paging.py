@@ -206,13 +206,13 @@ class KeyIndex:
         limit = min(limit, r.rows - offset)
         if limit <= 0:
             return []
-        if r.rows <= self.rows_at_once or len(r.fixed) == len(self.keys):
+        if r.rows < self.rows_at_once or len(r.fixed) == len(self.keys):
             return [(r, offset, limit)]
         groups: list[tuple[int, list[KeyRange]]] = []
         start = 0
         for part in self.divide(r):
             if start < offset + limit and start + part.rows > offset:
-                if groups and sum(p.rows for p in groups[-1][1]) + part.rows <= self.rows_at_once:
+                if groups and sum(p.rows for p in groups[-1][1]) + part.rows < self.rows_at_once:
                     groups[-1][1].append(part)
                 else:
                     groups.append((start, [part]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from starmart.plans.oracle import ORACLE as KNOWN
 from starmart.plans.oracle import with_star
 
 SCD_POINT_IN_TIME = """
@@ -132,3 +133,5 @@ ORACLE = {
                    f"layer, table_name, row_count FROM (\n{_layer_rows()}\n) t UNION ALL "
                    f"SELECT 'second', FALSE, 5, 1, NULL, NULL, NULL",
 }
+
+KNOWN.update(ORACLE)
